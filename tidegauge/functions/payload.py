@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Texts that count as numbers. Digits may be grouped by single underscores.
@@ -12,6 +12,15 @@ INT_TEXT = rf"^[+-]?{_DIGITS}$"
 NON_FINITE_TEXT = r"^[+-]?(nan|inf|infinity)$"
 
 
+def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that later expressions refer to by value.
+
+    Plain columns are merged into every filter and projection that uses them, so a parse that twenty
+    expressions look at would run twenty times. A generated row is computed once and stays put.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def parse_json(raw: Column) -> Column:
     """The one JSON value that makes up the text, as VARIANT; NULL if there is none or more follows.
 

@@ -157,3 +157,31 @@ def instant_value(samples: DataFrame, name: str, at: str | None = None, default:
         F.max_by("value", F.struct("ts", "value")).alias("value")
     )
     return series.agg(F.coalesce(F.min_by("value", "_labels"), F.lit(default)).alias("value"))
+
+
+def cumulative_buckets(
+    df: DataFrame, seconds: str, bounds: Sequence[float], by: Sequence[str] = ()
+) -> DataFrame:
+    """Histogram of a duration: for each bound the number of values up to it, as ``(*by, le, value)``.
+
+    Each row is counted once, in its own bucket; the running sum goes over the few bounds only.
+    """
+    finite = sorted(bounds)
+    spot = F.lit(len(finite))
+    for i, bound in reversed(list(enumerate(finite))):
+        spot = F.when(F.col(seconds) <= bound, F.lit(i)).otherwise(spot)
+    own = df.groupBy(*by, spot.alias("_spot")).agg(F.count(F.lit(1)).alias("_n"))
+    names = F.array(*[F.lit(str(b)) for b in finite], F.lit("+Inf"))
+    counts = own.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("_spot", "_n"))).alias("_m"))
+    filled = F.transform(
+        F.sequence(F.lit(0), F.lit(len(finite))),
+        lambda i: F.struct(
+            F.element_at(names, i + 1).alias("le"),
+            F.aggregate(
+                F.sequence(F.lit(0), i),
+                F.lit(0).cast("long"),
+                lambda total, j: total + F.coalesce(F.try_element_at("_m", j), F.lit(0)),
+            ).cast("double").alias("value"),
+        ),
+    )
+    return counts.select(*by, F.inline(filled))

@@ -125,7 +125,8 @@ def refresh_rollup(
     merged = kept.unionByName(fresh).withColumn(PARTITION, _hour(F.col("bucket")))
 
     staged_at = scratch_path(spark, "rollup")
-    merged.write.partitionBy(PARTITION).parquet(staged_at)
+    # by ranges, so that a file holds few hours and an hour of many keys is many files
+    merged.repartitionByRange(PARTITION, "bucket").write.partitionBy(PARTITION).parquet(staged_at)
     staged = read_rollup(spark, staged_at, schema)
     if full:
         # the staged rows are the whole table, hours without rows included

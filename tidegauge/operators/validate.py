@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 
 from ..functions import payload as p
 
-_DOC = "_doc"
-
 
 def _split(checked: DataFrame, good: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     return (
@@ -29,7 +27,7 @@ _RECORD = {
 }
 
 
-def _document_reason(raw: Column, doc: Column) -> Column:
+def _document_reason(doc: Column) -> Column:
     return F.when(doc.isNull(), F.lit("bad_json")).when(~p.is_object(doc), F.lit("not_object"))
 
 
@@ -50,8 +48,8 @@ def _required_int(v: Column, name: str) -> Column:
 
 def check_frames(df: DataFrame, raw: str = "raw") -> DataFrame:
     """Parse frames: adds the VARIANT ``frame`` and ``reason``."""
-    parsed = df.withColumn("frame", p.parse_json(F.col(raw)))
-    return parsed.withColumn("reason", _document_reason(F.col(raw), F.col("frame")))
+    parsed = p.compute_once(df, frame=p.parse_json(F.col(raw)))
+    return p.compute_once(parsed, reason=_document_reason(F.col("frame")))
 
 
 def parse_frames(df: DataFrame, raw: str = "raw") -> tuple[DataFrame, DataFrame]:
@@ -82,10 +80,15 @@ def explode_trades(frames: DataFrame, raw: str = "raw") -> tuple[DataFrame, Data
 
 def check_trades(trades: DataFrame) -> DataFrame:
     """Rename and convert the fields of each trade; adds ``raw`` (its text) and ``reason``."""
+    kept = [c for c in trades.columns if c != "trade"]
     t = F.col("trade")
-    s, price, volume, time = (p.field(t, c) for c in ("s", "p", "v", "t"))
+    fields = p.compute_once(
+        p.compute_once(trades, _is_object=p.is_object(t)),
+        **{f"_{c}": F.when(F.col("_is_object"), p.field(t, c)) for c in "spvt"},
+    )
+    s, price, volume, time = (F.col(f"_{c}") for c in "spvt")
     reason = F.coalesce(
-        F.when(~p.is_object(t), F.lit("not_object")),
+        F.when(~F.col("_is_object"), F.lit("not_object")),
         _required_text(s, "symbol"),
         _required_float(price, "price"),
         # a volume that is left out is zero, one that is null is an error
@@ -93,15 +96,16 @@ def check_trades(trades: DataFrame) -> DataFrame:
         F.when(volume.isNotNull(), p.float_reason(volume, "volume")),
         _required_int(time, "event_time"),
     )
-    return trades.select(
-        *[c for c in trades.columns if c != "trade"],
-        F.to_json(t).alias("raw"),
-        p.text_of(s).alias("symbol"),
-        p.float_of(price).alias("price"),
-        F.when(volume.isNull(), F.lit(0.0)).otherwise(p.float_of(volume)).alias("volume"),
-        p.int_of(time).alias("event_time"),
-        reason.alias("reason"),
+    made = p.compute_once(
+        fields,
+        raw=F.to_json(t),
+        symbol=p.text_of(s),
+        price=p.float_of(price),
+        volume=F.when(volume.isNull(), F.lit(0.0)).otherwise(p.float_of(volume)),
+        event_time=p.int_of(time),
+        reason=reason,
     )
+    return made.select(*kept, "raw", "symbol", "price", "volume", "event_time", "reason")
 
 
 def normalise_trades(trades: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -122,26 +126,33 @@ def trades_of_frames(df: DataFrame, raw: str = "raw") -> tuple[DataFrame, DataFr
 # ---- tick and sensor records ----
 
 
+def _documents(df: DataFrame, raw: str, fields: Sequence[str]) -> DataFrame:
+    """The parsed text as ``_doc``, and its fields as VARIANT under ``_<name>``."""
+    parsed = p.compute_once(df, _doc=p.parse_json(F.col(raw)))
+    return p.compute_once(parsed, **{f"_{c}": p.field(F.col("_doc"), c) for c in fields})
+
+
 def check_ticks(df: DataFrame, raw: str = "raw") -> DataFrame:
-    parsed = df.withColumn(_DOC, p.parse_json(F.col(raw)))
-    doc = F.col(_DOC)
-    symbol, price, volume, time = (p.field(doc, c) for c in ("symbol", "price", "volume", "event_time"))
+    names = ("symbol", "price", "volume", "event_time")
+    parsed = _documents(df, raw, names)
+    symbol, price, volume, time = (F.col(f"_{c}") for c in names)
     reason = F.coalesce(
-        _document_reason(F.col(raw), doc),
+        _document_reason(F.col("_doc")),
         _required_text(symbol, "symbol"),
         _required_float(price, "price"),
         _required_int(time, "event_time"),
         # a volume that is left out is zero, one that is null stays null
         F.when(volume.isNotNull() & ~F.is_variant_null(volume), p.float_reason(volume, "volume")),
     )
-    return parsed.select(
-        *df.columns,
-        p.text_of(symbol).alias("symbol"),
-        p.float_of(price).alias("price"),
-        F.when(volume.isNull(), F.lit(0.0)).otherwise(p.float_of(volume)).alias("volume"),
-        p.int_of(time).alias("event_time"),
-        reason.alias("reason"),
+    made = p.compute_once(
+        parsed,
+        symbol=p.text_of(symbol),
+        price=p.float_of(price),
+        volume=F.when(volume.isNull(), F.lit(0.0)).otherwise(p.float_of(volume)),
+        event_time=p.int_of(time),
+        reason=reason,
     )
+    return made.select(*df.columns, *names, "reason")
 
 
 def parse_ticks(df: DataFrame, raw: str = "raw") -> tuple[DataFrame, DataFrame]:
@@ -150,25 +161,25 @@ def parse_ticks(df: DataFrame, raw: str = "raw") -> tuple[DataFrame, DataFrame]:
 
 
 def check_sensors(df: DataFrame, raw: str = "raw") -> DataFrame:
-    parsed = df.withColumn(_DOC, p.parse_json(F.col(raw)))
-    doc = F.col(_DOC)
-    names = ("machine_id", "sensor_id", "sensor_type")
-    texts = {c: p.field(doc, c) for c in names}
-    value, time = p.field(doc, "value"), p.field(doc, "event_time")
+    texts = ("machine_id", "sensor_id", "sensor_type")
+    names = (*texts, "value", "event_time", "anomaly_injected")
+    parsed = _documents(df, raw, names)
+    value, time = F.col("_value"), F.col("_event_time")
     reason = F.coalesce(
-        _document_reason(F.col(raw), doc),
-        *[_required_text(v, c) for c, v in texts.items()],
+        _document_reason(F.col("_doc")),
+        *[_required_text(F.col(f"_{c}"), c) for c in texts],
         _required_float(value, "value"),
         _required_int(time, "event_time"),
     )
-    return parsed.select(
-        *df.columns,
-        *[p.text_of(v).alias(c) for c, v in texts.items()],
-        p.float_of(value).alias("value"),
-        p.int_of(time).alias("event_time"),
-        F.try_variant_get(doc, "$.anomaly_injected", "boolean").alias("anomaly_injected"),
-        reason.alias("reason"),
+    made = p.compute_once(
+        parsed,
+        **{c: p.text_of(F.col(f"_{c}")) for c in texts},
+        value=p.float_of(value),
+        event_time=p.int_of(time),
+        anomaly_injected=F.try_variant_get(F.col("_anomaly_injected"), "$", "boolean"),
+        reason=reason,
     )
+    return made.select(*df.columns, *names, "reason")
 
 
 def parse_sensors(df: DataFrame, raw: str = "raw") -> tuple[DataFrame, DataFrame]:
