@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.times import flag_bit, time_window, width_seconds
-from ..session import scratch_path
 
 PARTITION = "bucket_hour"
 
@@ -94,9 +93,8 @@ def refresh_rollup(
     """Recompute the whole buckets inside ``[now - start_offset, now - end_offset)``.
 
     Buckets outside the range keep their rows; ``full`` starts the range at the first event.
-    ``rollup`` is ``rollup_ticks`` or ``rollup_sensors``. The new content of the touched hours is
-    staged first, as a table cannot be overwritten while it is read; running it again gives the
-    same table.
+    ``rollup`` is ``rollup_ticks`` or ``rollup_sensors``. Only the touched hours are rewritten, and
+    running it again gives the same table.
     """
     spark = raw.sparkSession
     seconds = dt.timedelta(seconds=1)
@@ -122,25 +120,24 @@ def refresh_rollup(
     fresh = rollup(raw.where(span), width).withColumn("_end", ends).where(in_range).select(*names)
     old = read_rollup(spark, path, schema).where(touched).withColumn("_end", ends)
     kept = old.where(~in_range).select(*names)
-    merged = kept.unionByName(fresh).withColumn(PARTITION, _hour(F.col("bucket")))
-
-    staged_at = scratch_path(spark, "rollup")
-    # by ranges, so that a file holds few hours and an hour of many keys is many files
-    merged.repartitionByRange(PARTITION, "bucket").write.partitionBy(PARTITION).parquet(staged_at)
-    staged = read_rollup(spark, staged_at, schema)
-    if full:
-        # the staged rows are the whole table, hours without rows included
-        staged.write.mode("overwrite").partitionBy(PARTITION).parquet(path)
-        return
-    # an hour left without rows is not replaced by a dynamic overwrite: empty it by itself
-    emptied = (
-        old.select(PARTITION).distinct().join(staged.select(PARTITION).distinct(), PARTITION, "left_anti")
+    before = old.select(PARTITION).distinct()
+    after = kept.select(_hour(F.col("bucket")).alias(PARTITION)).unionByName(
+        fresh.select(_hour(F.col("bucket")).alias(PARTITION))
     )
-    hours = [row[0] for row in emptied.collect()]  # at most the hours of the refresh range
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        PARTITION
-    ).parquet(path)
-    for hour in hours:
-        staged.where(F.lit(False)).drop(PARTITION).write.mode("overwrite").parquet(
-            f"{path}/{PARTITION}={hour}"
-        )
+    emptied = [row[0] for row in before.join(after.distinct(), PARTITION, "left_anti").collect()]
+    replace_hours(kept.unionByName(fresh), path)
+    # an hour left without rows is not replaced by a dynamic overwrite: empty it by itself
+    for hour in emptied:
+        fresh.where(F.lit(False)).write.mode("overwrite").parquet(f"{path}/{PARTITION}={hour}")
+
+
+def replace_hours(buckets: DataFrame, path: str) -> None:
+    """Replace the hours that ``buckets`` has rows in.
+
+    ``buckets`` may read the same table: the old files go when the new ones are complete. The rows
+    are spread by ranges, so that a file holds few hours and an hour of many keys is many files.
+    """
+    placed = buckets.withColumn(PARTITION, _hour(F.col("bucket")))
+    placed.repartitionByRange(PARTITION, "bucket").write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy(PARTITION).parquet(path)

@@ -178,7 +178,7 @@ def anomaly_flags(spark, sf_dir):
 
 def _sliding_sql(tables: str, table: str, key: str, value: str, frame: str, out: str) -> str:
     return f"""WITH {tables}, framed AS (
-  SELECT *, count(*) OVER w AS n, avg({value}) OVER w AS mean, stddev_samp({value}) OVER w AS sd, var_samp({value}) OVER w AS vs
+  SELECT *, count(*) OVER w AS n, avg({value}) OVER w AS mean, stddev_samp({value}) OVER w AS sd
   FROM {table} WINDOW w AS (PARTITION BY {key} ORDER BY seq ROWS BETWEEN {frame}))
 SELECT {out} FROM framed"""
 
@@ -190,7 +190,7 @@ _Z = "CASE WHEN n < 2 OR sd = 0 THEN 0.0 ELSE ({v} - mean) / sd END"
     "sliding_stats",
     _sliding_sql(
         _TICKS, "ticks", "symbol", "price", "199 PRECEDING AND CURRENT ROW",
-        "seq, symbol, price, n AS count, round(mean, 9) AS mean, round(coalesce(vs, 0), 6) AS variance",
+        "seq, symbol, price, n AS count, round(mean, 9) AS mean, round(coalesce(sd, 0), 6) AS stddev",
     ),
 )
 def sliding_stats(spark, sf_dir, size=200, **options):
@@ -198,7 +198,7 @@ def sliding_stats(spark, sf_dir, size=200, **options):
     found = scoring.sliding_stats(rows, ["symbol"], "price", ["seq"], size, **options)
     s = F.col("stats")
     return found.select(
-        *rows.columns, s["n"].alias("count"), s["mean"].alias("mean"), stats.variance(s).alias("variance")
+        *rows.columns, s["n"].alias("count"), s["mean"].alias("mean"), stats.stddev(s).alias("stddev")
     )
 
 
@@ -206,7 +206,7 @@ def sliding_stats(spark, sf_dir, size=200, **options):
     "sliding_stats_short",
     _sliding_sql(
         _TICKS, "ticks", "symbol", "price", "9 PRECEDING AND CURRENT ROW",
-        "seq, symbol, price, n AS count, round(mean, 9) AS mean, round(coalesce(vs, 0), 6) AS variance",
+        "seq, symbol, price, n AS count, round(mean, 9) AS mean, round(coalesce(sd, 0), 6) AS stddev",
     ),
 )
 def sliding_stats_short(spark, sf_dir):
@@ -277,10 +277,11 @@ marked AS (SELECT seq, ms, batch, watermark_ms, coalesce(ms < watermark_ms - {al
 SELECT {columns} FROM marked {where}"""
 
 
-@register("late_flags", _late_sql(5000, "seq, ms, batch, watermark_ms, late"))
+@register("late_flags", _late_sql(5000, "seq, ms, batch, coalesce(watermark_ms, -1) AS watermark_ms, late"))
 def late_flags(spark, sf_dir):
     rows = views.arrivals(spark, sf_dir).select("seq", "ms", "batch")
-    return lateness.mark_late(rows, "batch", "ms", 5000)
+    marked = lateness.mark_late(rows, "batch", "ms", 5000)
+    return marked.withColumn("watermark_ms", F.coalesce("watermark_ms", F.lit(-1)))
 
 
 @register("late_rows", _late_sql(600000, "seq, ms, batch, watermark_ms", "WHERE late"))
@@ -511,11 +512,14 @@ _SENSOR_CHECKED = f"""{_NAMES}, {_lines_sql(views.SENSOR_LINE, _SENSOR_PARTS)},
     "parse_sensors",
     f"""WITH {_SENSOR_CHECKED} SELECT seq, json_extract_string(j, '$.machine_id') AS machine_id,
   json_extract_string(j, '$.sensor_id') AS sensor_id, json_extract_string(j, '$.sensor_type') AS sensor_type,
-  {_float('value')} AS value, {_int('event_time')} AS event_time, CAST(json_extract(j, '$.anomaly_injected') AS BOOLEAN) AS anomaly_injected
+  {_float('value')} AS value, {_int('event_time')} AS event_time, json_exists(j, '$.anomaly_injected') AS labelled,
+  coalesce(CAST(json_extract(j, '$.anomaly_injected') AS BOOLEAN), false) AS anomaly_injected
 FROM checked WHERE reason IS NULL""",
 )
 def parse_sensors(spark, sf_dir):
-    return validate.parse_sensors(views.sensor_lines(spark, sf_dir))[0]
+    good = validate.parse_sensors(views.sensor_lines(spark, sf_dir))[0]
+    label = F.col("anomaly_injected")
+    return good.withColumn("labelled", label.isNotNull()).withColumn("anomaly_injected", F.coalesce(label, F.lit(False)))
 
 
 @register("reject_sensors", f"WITH {_SENSOR_CHECKED} SELECT seq, raw, reason FROM checked WHERE reason IS NOT NULL")
@@ -527,7 +531,7 @@ _FRAMES = f"""{_lines_sql(views.FRAME_LINE)}, frames AS (SELECT *, {_DOCUMENT} E
 trade_frames AS (SELECT *, json_exists(j, '$.data') AND json_type(j, '$.data') <> 'ARRAY' AS bad_data FROM frames
   WHERE reason IS NULL AND json_extract_string(j, '$.type') = 'trade'),
 trades AS (SELECT seq, i AS trade_index, json_extract(j, '$.data[' || i || ']') AS t FROM (
-  SELECT seq, j, CAST(unnest(generate_series(0, json_array_length(j, '$.data') - 1)) AS INTEGER) AS i
+  SELECT seq, j, CAST(unnest(generate_series(0, CAST(json_array_length(j, '$.data') AS BIGINT) - 1)) AS INTEGER) AS i
   FROM trade_frames WHERE NOT bad_data AND json_exists(j, '$.data'))),
 checked AS (SELECT *, CASE WHEN json_type(t) <> 'OBJECT' THEN 'not_object' {_text_reason('symbol', 't', 's')}
   {_float_reason('price', 't', 'p')} WHEN json_exists(t, '$.v') AND json_type(t, '$.v') = 'NULL' THEN 'null_volume'
@@ -565,12 +569,14 @@ def normalise_trades(spark, sf_dir):
 
 @register(
     "reject_trades",
-    f"""WITH {_FRAMES} SELECT seq, CAST(NULL AS INTEGER) AS trade_index, reason FROM frames WHERE reason IS NOT NULL
-UNION ALL SELECT seq, NULL, 'bad_data' FROM trade_frames WHERE bad_data
+    f"""WITH {_FRAMES} SELECT seq, CAST(-1 AS INTEGER) AS trade_index, reason FROM frames WHERE reason IS NOT NULL
+UNION ALL SELECT seq, -1, 'bad_data' FROM trade_frames WHERE bad_data
 UNION ALL SELECT seq, trade_index, reason FROM checked WHERE reason IS NOT NULL""",
 )
 def reject_trades(spark, sf_dir):
-    return validate.trades_of_frames(views.frame_lines(spark, sf_dir))[1].select("seq", "trade_index", "reason")
+    """Faulty frames have the index -1."""
+    bad = validate.trades_of_frames(views.frame_lines(spark, sf_dir))[1]
+    return bad.select("seq", F.coalesce("trade_index", F.lit(-1)).alias("trade_index"), "reason")
 
 
 @register(

@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.rollup import PARTITION, read_rollup
-from ..session import scratch_path
+from ..operators.rollup import PARTITION, read_rollup, replace_hours
 
 FLUSH_SECONDS = 1.0  # fixed value: longest time a row waits before it is written
 
@@ -66,11 +65,7 @@ def upsert_rollup(path: str, schema, keys: Sequence[str]) -> Callable[[DataFrame
         hours = changed.select(hour.alias(PARTITION)).distinct()
         old = read_rollup(spark, path, schema).join(hours, PARTITION, "left_semi").select(*names)
         kept = old.join(changed.select(*on), on, "left_anti")
-        staged_at = scratch_path(spark, "upsert")
-        kept.unionByName(changed).withColumn(PARTITION, hour).write.partitionBy(PARTITION).parquet(staged_at)
-        read_rollup(spark, staged_at, schema).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy(PARTITION).parquet(path)
+        replace_hours(kept.unionByName(changed), path)
         changed.unpersist()
 
     return run
