@@ -1,33 +1,51 @@
-"""Running-statistics expressions. A summary is ``struct(n, mean, m2)``."""
+"""Running-statistics expressions. A summary is ``struct(n, mean, m2, lo, hi)``.
+
+The extremes tell a flat baseline exactly: means of equal values can differ in the last bit, and a
+merge would take that for spread.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 # Fixed values of the detector.
 BASELINE_ROWS = 200
 Z_THRESHOLD = 3.0
 
 
-def summary(n: Column, mean: Column, m2: Column) -> Column:
+def summary(n: Column, mean: Column, m2: Column, lo: Column, hi: Column) -> Column:
     return F.struct(
-        n.cast("long").alias("n"), mean.cast("double").alias("mean"), m2.cast("double").alias("m2")
+        n.cast("long").alias("n"),
+        mean.cast("double").alias("mean"),
+        m2.cast("double").alias("m2"),
+        lo.cast("double").alias("lo"),
+        hi.cast("double").alias("hi"),
     )
 
 
-def summary_of(value: Column) -> Column:
-    """Aggregate ``value`` into a summary; Catalyst merges the partial moments itself."""
-    n = F.count(value)
+def summary_of(value: Column, window: WindowSpec | None = None) -> Column:
+    """Aggregate ``value`` into a summary, over a window if one is given.
+
+    Catalyst merges the partial moments of a grouped aggregate itself.
+    """
+
+    def over(aggregate: Column) -> Column:
+        return aggregate if window is None else aggregate.over(window)
+
+    n = over(F.count(value))
     return summary(
         n,
-        F.coalesce(F.avg(value), F.lit(0.0)),
-        F.coalesce(F.var_samp(value) * (n - 1), F.lit(0.0)),
+        F.coalesce(over(F.avg(value)), F.lit(0.0)),
+        F.coalesce(over(F.var_samp(value)) * (n - 1), F.lit(0.0)),
+        over(F.min(value)),
+        over(F.max(value)),
     )
 
 
 def empty_summary() -> Column:
-    return summary(F.lit(0), F.lit(0.0), F.lit(0.0))
+    return summary(F.lit(0), F.lit(0.0), F.lit(0.0), F.lit(None), F.lit(None))
 
 
 def merge_stats(a: Column, b: Column) -> Column:
@@ -39,6 +57,8 @@ def merge_stats(a: Column, b: Column) -> Column:
         n,
         a["mean"] + gap * nb / n,
         a["m2"] + b["m2"] + gap * gap * na * nb / n,
+        F.least(a["lo"], b["lo"]),
+        F.greatest(a["hi"], b["hi"]),
     )
     return (
         F.when(na.isNull() | (na == 0), F.coalesce(b, empty_summary()))
@@ -48,8 +68,8 @@ def merge_stats(a: Column, b: Column) -> Column:
 
 
 def variance(s: Column) -> Column:
-    """Sample variance; 0.0 below two points."""
-    return F.when(s["n"] < 2, F.lit(0.0)).otherwise(s["m2"] / (s["n"] - 1))
+    """Sample variance; 0.0 below two points, and for equal points."""
+    return F.when((s["n"] < 2) | (s["lo"] == s["hi"]), F.lit(0.0)).otherwise(s["m2"] / (s["n"] - 1))
 
 
 def stddev(s: Column) -> Column:

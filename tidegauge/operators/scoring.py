@@ -112,9 +112,7 @@ def _sliding(df, keys, value, order, size, current, **blocks) -> DataFrame:
     by_pos = Window.partitionBy(*keys, BLOCK).orderBy(POS)
     if size < TILED_FROM:
         frame = by_pos.rowsBetween(end - size + 1, end)
-        n = F.count(v).over(frame)
-        spread = F.coalesce(F.var_samp(v).over(frame) * (n - 1), F.lit(0.0))
-        found = stats.summary(n, F.coalesce(F.avg(v).over(frame), F.lit(0.0)), spread)
+        found = stats.summary_of(v, frame)
         return placed.withColumn("stats", found).where(OWN).select(*df.columns, "stats")
 
     # A frame over the last `size` rows would be summed up anew for each row. Cut the positions
@@ -122,21 +120,13 @@ def _sliding(df, keys, value, order, size, current, **blocks) -> DataFrame:
     # running summaries and one merge give it in constant time, without subtracting sums.
     tile = Window.partitionBy(*keys, BLOCK, _TILE)
 
-    def running(window) -> Column:
-        n = F.count(v).over(window)
-        return stats.summary(
-            n,
-            F.coalesce(F.avg(v).over(window), F.lit(0.0)),
-            F.coalesce(F.var_samp(v).over(window) * (n - 1), F.lit(0.0)),
-        )
-
     tail = tile.orderBy(F.desc(POS)).rowsBetween(Window.unboundedPreceding, 0)
     head = tile.orderBy(POS).rowsBetween(Window.unboundedPreceding, end)
     reach = size - 1 if current else size
     tiled = (
         placed.withColumn(_TILE, F.expr(f"{POS} div {size}"))
-        .withColumn("_tail", running(tail))
-        .withColumn("_head", running(head))
+        .withColumn("_tail", stats.summary_of(v, tail))
+        .withColumn("_head", stats.summary_of(v, head))
         .withColumn("_from", F.lag(_TILE, reach).over(by_pos))
         .withColumn("_tail", F.lag("_tail", reach).over(by_pos))
     )
@@ -155,7 +145,9 @@ def merge_summaries(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFram
     """Combine two tables of ``running_stats`` without going back to their rows."""
 
     def packed(df: DataFrame, name: str) -> DataFrame:
-        return df.select(*keys, stats.summary(F.col("count"), F.col("mean"), F.col("m2")).alias(name))
+        unknown = F.lit(None)
+        packed = stats.summary(F.col("count"), F.col("mean"), F.col("m2"), unknown, unknown)
+        return df.select(*keys, packed.alias(name))
 
     both = packed(a, "_a").join(packed(b, "_b"), list(keys), "full")
     merged = stats.merge_stats(

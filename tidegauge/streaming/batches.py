@@ -26,11 +26,12 @@ from ..sources.feeds import write_dead_letters
 from ..sources.tables import append_scored
 
 STATE_BROADCAST_ROWS = 1_000_000
+_MOMENTS = ("n", "mean", "m2", "lo", "hi")
 
 
 def empty_state(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     fields = [batch.schema[k] for k in keys]
-    counts = [T.StructField("n", T.LongType()), T.StructField("mean", T.DoubleType()), T.StructField("m2", T.DoubleType())]
+    counts = [T.StructField("n", T.LongType()), *[T.StructField(c, T.DoubleType()) for c in _MOMENTS[1:]]]
     return batch.sparkSession.createDataFrame([], T.StructType([*fields, *counts]))
 
 
@@ -44,12 +45,12 @@ def score_increment(
     threshold: float = Z_THRESHOLD,
     **blocks,
 ) -> DataFrame:
-    """Score the rows that follow on ``state`` (``n, mean, m2`` of each key's open epoch).
+    """Score the rows that follow on ``state``, the summary of each key's open epoch.
 
     Adds ``zscore``, ``is_anomaly`` and ``_epoch`` (0 for rows that go on with the stored epoch).
     """
     keys = list(keys)
-    carried = state.select(*keys, stats.summary(F.col("n"), F.col("mean"), F.col("m2")).alias("_carry"))
+    carried = state.select(*keys, stats.summary(*[F.col(c) for c in _MOMENTS]).alias("_carry"))
     side = F.broadcast(carried) if state.count() <= STATE_BROADCAST_ROWS else carried
     rows = batch.join(side, keys, "left")
     rows = rows.withColumn("_carry", F.coalesce("_carry", stats.empty_summary()))
@@ -60,14 +61,8 @@ def score_increment(
         Window.partitionBy(*keys, BLOCK, EPOCH).orderBy(POS).rowsBetween(Window.unboundedPreceding, -1)
     )
     v = F.col(value)
-    n = F.count(v).over(before)
-    local = stats.summary(
-        n,
-        F.coalesce(F.avg(v).over(before), F.lit(0.0)),
-        F.coalesce(F.var_samp(v).over(before) * (n - 1), F.lit(0.0)),
-    )
     base = F.when(F.col(EPOCH) == 0, stats.merge_stats(F.col("_carry"), F.col("_local"))).otherwise(F.col("_local"))
-    scored = placed.withColumn("_local", local).withColumn("_base", base)
+    scored = placed.withColumn("_local", stats.summary_of(v, before)).withColumn("_base", base)
     b = F.col("_base")
     return (
         scored.withColumn("zscore", stats.zscore(v, b["n"], b["mean"], stats.stddev(b)))
@@ -81,14 +76,14 @@ def next_state(scored: DataFrame, state: DataFrame, keys: Sequence[str], value:
     keys = list(keys)
     epochs = scored.groupBy(*keys, EPOCH).agg(stats.summary_of(F.col(value)).alias("_s"))
     last = epochs.groupBy(*keys).agg(F.max_by("_s", EPOCH).alias("_s"), F.max(EPOCH).alias(EPOCH))
-    old = state.select(*keys, stats.summary(F.col("n"), F.col("mean"), F.col("m2")).alias("_old"))
+    old = state.select(*keys, stats.summary(*[F.col(c) for c in _MOMENTS]).alias("_old"))
     merged = (
         F.when(F.col("_s").isNull(), F.col("_old"))
         .when((F.col(EPOCH) == 0) & F.col("_old").isNotNull(), stats.merge_stats(F.col("_old"), F.col("_s")))
         .otherwise(F.col("_s"))
     )
     both = old.join(last, keys, "full").select(*keys, merged.alias("_m"))
-    return both.select(*keys, F.col("_m")["n"].alias("n"), F.col("_m")["mean"].alias("mean"), F.col("_m")["m2"].alias("m2"))
+    return both.select(*keys, *[F.col("_m")[c].alias(c) for c in _MOMENTS])
 
 
 @dataclass(frozen=True)
