@@ -171,11 +171,16 @@ def test_drain_writes_what_has_arrived(spark, tmp_path):
 
 
 def test_idle_keys_are_accepted(spark, tmp_path):
+    """A query with timeouts has a batch to run at any time, so it is stopped and not drained."""
     folder = str(tmp_path / "in")
     write_files(spark, [(i, "a", float(i % 5)) for i in range(50)], folder, 1)
     stream = spark.readStream.schema(RECORD).parquet(folder)
     rows = []
     scored = state.score_stream(stream, ["k"], "x", idle_ms=60_000)
-    queries.start(scored, lambda df, i: rows.extend(df.collect()), str(tmp_path / "check"), None).awaitTermination()
+    query = queries.start(scored, lambda df, i: rows.extend(df.collect()), str(tmp_path / "check"), 0.2)
+    until = time.time() + 60
+    while len(rows) < 50 and time.time() < until and query.isActive:
+        time.sleep(0.2)
+    query.stop()
     got = [r.zscore for r in sorted(rows, key=lambda r: r.seq)]
     assert got == pytest.approx(epoch_scores([float(i % 5) for i in range(50)]))

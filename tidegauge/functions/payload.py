@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +13,7 @@ _DIGITS = r"\d+(_\d+)*"
 FLOAT_TEXT = rf"^[+-]?(({_DIGITS})(\.({_DIGITS})?)?|\.{_DIGITS})([eE][+-]?{_DIGITS})?$"
 INT_TEXT = rf"^[+-]?{_DIGITS}$"
 NON_FINITE_TEXT = r"^[+-]?(nan|inf|infinity)$"
+_BLANKS = r"^\s+|\s+$"
 
 
 def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
@@ -21,16 +25,18 @@ def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
 
 
-def parse_json(raw: Column) -> Column:
-    """The one JSON value that makes up the text, as VARIANT; NULL if there is none or more follows.
+def parse_json(df: DataFrame, raw: str, name: str) -> DataFrame:
+    """Add the one JSON value that makes up the text, as VARIANT; NULL if there is none or more follows.
 
     The parser stops at the end of the first value. Wrapping the text and asking for a field that
     follows it tells whether the text ended there too; the hash keeps the text from posing as it.
     """
     seal = F.xxhash64(raw)
-    wrapped = F.try_parse_json(F.concat(F.lit('{"v":'), raw, F.lit(',"end":'), seal.cast("string"), F.lit("}")))
-    whole = F.try_variant_get(wrapped, "$.end", "bigint") == seal
-    return F.when(whole, F.try_variant_get(wrapped, "$.v", "variant"))
+    text = F.concat(F.lit('{"v":'), F.col(raw), F.lit(',"end":'), seal.cast("string"), F.lit("}"))
+    parsed = compute_once(df, _wrapped=F.try_parse_json(text), _seal=seal)
+    whole = F.try_variant_get("_wrapped", "$.end", "bigint") == F.col("_seal")
+    made = compute_once(parsed, **{name: F.when(whole, F.try_variant_get("_wrapped", "$.v", "variant"))})
+    return made.drop("_wrapped", "_seal")
 
 
 def kind_of(v: Column) -> Column:
@@ -46,49 +52,70 @@ def field(v: Column, name: str) -> Column:
     return F.try_variant_get(v, f"$.{name}", "variant")
 
 
-def text_of(v: Column) -> Column:
-    """The value of a JSON string; NULL for any other kind."""
-    return F.when(kind_of(v) == "STRING", F.try_variant_get(v, "$", "string"))
+def with_fields(df: DataFrame, doc: Column, names: Sequence[str]) -> DataFrame:
+    """Add each field of the document as ``_<name>`` and its kind as ``_<name>_kind``."""
+    found = compute_once(df, **{f"_{c}": field(doc, c) for c in names})
+    return compute_once(found, **{f"_{c}_kind": kind_of(F.col(f"_{c}")) for c in names})
 
 
-def _trimmed(v: Column) -> Column:
-    return F.regexp_replace(text_of(v), r"^\s+|\s+$", "")
+@dataclass(frozen=True)
+class Field:
+    """A field added by ``with_fields``, and what it is called in reasons."""
 
+    key: str
+    name: str
 
-def float_of(v: Column) -> Column:
-    """A JSON number, boolean or number text as DOUBLE, perhaps not finite; NULL for the rest."""
-    text = _trimmed(v)
-    named = F.lower(text).rlike(NON_FINITE_TEXT)
-    plain = F.when(text.rlike(FLOAT_TEXT), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
-    return F.when(
-        kind_of(v) == "STRING", F.when(named, F.lit(float("nan"))).otherwise(plain)
-    ).otherwise(F.try_variant_get(v, "$", "double"))
+    @property
+    def variant(self) -> Column:
+        return F.col(f"_{self.key}")
 
+    @property
+    def kind(self) -> Column:
+        return F.col(f"_{self.key}_kind")
 
-def int_of(v: Column) -> Column:
-    """A JSON number cut to an integer, a boolean or an integer text; NULL for the rest."""
-    text = _trimmed(v)
-    plain = F.when(text.rlike(INT_TEXT), F.replace(text, F.lit("_"), F.lit("")).try_cast("bigint"))
-    return F.when(kind_of(v) == "STRING", plain).otherwise(F.try_variant_get(v, "$", "bigint"))
+    @property
+    def is_missing(self) -> Column:
+        return self.variant.isNull()
 
+    @property
+    def is_null(self) -> Column:
+        return self.kind == "VOID"
 
-def is_non_finite(x: Column) -> Column:
-    return F.coalesce(F.isnan(x) | (F.abs(x) == float("inf")), F.lit(False))
+    def text(self) -> Column:
+        """The value of a JSON string; NULL for any other kind."""
+        return F.when(self.kind == "STRING", F.try_variant_get(self.variant, "$", "string"))
 
+    def float(self) -> Column:
+        """A JSON number, boolean or number text as DOUBLE, perhaps not finite; NULL for the rest."""
+        text = F.regexp_replace(F.try_variant_get(self.variant, "$", "string"), _BLANKS, "")
+        named = F.lower(text).rlike(NON_FINITE_TEXT)
+        plain = F.when(text.rlike(FLOAT_TEXT), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
+        from_text = F.when(named, F.lit(float("nan"))).otherwise(plain)
+        return F.when(self.kind == "STRING", from_text).otherwise(F.try_variant_get(self.variant, "$", "double"))
 
-def presence(v: Column, name: str) -> Column:
-    """``missing_<name>`` or ``null_<name>``; NULL when there is a value."""
-    return F.when(v.isNull(), F.lit(f"missing_{name}")).when(F.is_variant_null(v), F.lit(f"null_{name}"))
+    def int(self) -> Column:
+        """A JSON number cut to an integer, a boolean or an integer text; NULL for the rest."""
+        text = F.regexp_replace(F.try_variant_get(self.variant, "$", "string"), _BLANKS, "")
+        plain = F.when(text.rlike(INT_TEXT), F.replace(text, F.lit("_"), F.lit("")).try_cast("bigint"))
+        return F.when(self.kind == "STRING", plain).otherwise(F.try_variant_get(self.variant, "$", "bigint"))
 
+    def presence(self) -> Column:
+        """``missing_<name>`` or ``null_<name>``; NULL when there is a value."""
+        return F.when(self.is_missing, F.lit(f"missing_{self.name}")).when(self.is_null, F.lit(f"null_{self.name}"))
 
-def float_reason(v: Column, name: str) -> Column:
-    x = float_of(v)
-    return F.when(x.isNull(), F.lit(f"bad_{name}")).when(is_non_finite(x), F.lit("non_finite"))
+    def fault(self, value: Column) -> Column:
+        """Why a present field gave this converted value; NULL if it can be used."""
+        bad = F.lit(f"bad_{self.name}")
+        # a number too large for an integer still converts to a double
+        beyond = (self.kind != "STRING") & is_non_finite(F.try_variant_get(self.variant, "$", "double"))
+        return F.when(value.isNull(), F.when(beyond, F.lit("non_finite")).otherwise(bad))
 
+    def float_fault(self, value: Column) -> Column:
+        return F.when(value.isNull(), F.lit(f"bad_{self.name}")).when(is_non_finite(value), F.lit("non_finite"))
 
-def int_reason(v: Column, name: str) -> Column:
-    return F.when(is_non_finite(float_of(v)), F.lit("non_finite")).when(int_of(v).isNull(), F.lit(f"bad_{name}"))
+    def text_fault(self, value: Column) -> Column:
+        return F.when(value.isNull(), F.lit(f"bad_{self.name}"))
 
 
-def text_reason(v: Column, name: str) -> Column:
-    return F.when(text_of(v).isNull(), F.lit(f"bad_{name}"))
+def is_non_finite(x: Column) -> Column:
+    return F.coalesce(F.isnan(x) | (F.abs(x) == float("inf")), F.lit(False))

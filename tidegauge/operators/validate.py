@@ -31,16 +31,8 @@ def _document_reason(doc: Column) -> Column:
     return F.when(doc.isNull(), F.lit("bad_json")).when(~p.is_object(doc), F.lit("not_object"))
 
 
-def _required_text(v: Column, name: str) -> Column:
-    return F.coalesce(p.presence(v, name), p.text_reason(v, name))
-
-
-def _required_float(v: Column, name: str) -> Column:
-    return F.coalesce(p.presence(v, name), p.float_reason(v, name))
-
-
-def _required_int(v: Column, name: str) -> Column:
-    return F.coalesce(p.presence(v, name), p.int_reason(v, name))
+def _required(f: p.Field, fault: Column) -> Column:
+    return F.coalesce(f.presence(), fault)
 
 
 # ---- vendor frames ----
@@ -48,7 +40,7 @@ def _required_int(v: Column, name: str) -> Column:
 
 def check_frames(df: DataFrame, raw: str = "raw") -> DataFrame:
     """Parse frames: adds the VARIANT ``frame`` and ``reason``."""
-    parsed = p.compute_once(df, frame=p.parse_json(F.col(raw)))
+    parsed = p.parse_json(df, raw, "frame")
     return p.compute_once(parsed, reason=_document_reason(F.col("frame")))
 
 
@@ -62,7 +54,8 @@ def parse_frames(df: DataFrame, raw: str = "raw") -> tuple[DataFrame, DataFrame]
 
 def only_trades(frames: DataFrame) -> DataFrame:
     """Frames of type ``trade``; the others are control messages, neither good nor bad."""
-    return frames.where(p.text_of(p.field(F.col("frame"), "type")) == "trade")
+    kind = p.field(F.col("frame"), "type")
+    return frames.where((F.try_variant_get(kind, "$", "string") == "trade") & (p.kind_of(kind) == "STRING"))
 
 
 def explode_trades(frames: DataFrame, raw: str = "raw") -> tuple[DataFrame, DataFrame]:
@@ -79,32 +72,31 @@ def explode_trades(frames: DataFrame, raw: str = "raw") -> tuple[DataFrame, Data
 
 
 def check_trades(trades: DataFrame) -> DataFrame:
-    """Rename and convert the fields of each trade; adds ``raw`` (its text) and ``reason``."""
+    """Rename and convert the fields of each trade; adds ``reason``, and ``raw`` for the bad ones."""
     kept = [c for c in trades.columns if c != "trade"]
     t = F.col("trade")
-    fields = p.compute_once(
-        p.compute_once(trades, _is_object=p.is_object(t)),
-        **{f"_{c}": F.when(F.col("_is_object"), p.field(t, c)) for c in "spvt"},
-    )
-    s, price, volume, time = (F.col(f"_{c}") for c in "spvt")
-    reason = F.coalesce(
-        F.when(~F.col("_is_object"), F.lit("not_object")),
-        _required_text(s, "symbol"),
-        _required_float(price, "price"),
-        # a volume that is left out is zero, one that is null is an error
-        F.when(F.is_variant_null(volume), F.lit("null_volume")),
-        F.when(volume.isNotNull(), p.float_reason(volume, "volume")),
-        _required_int(time, "event_time"),
+    marked = p.compute_once(trades, _is_object=p.is_object(t))
+    fields = p.with_fields(marked, F.when(F.col("_is_object"), t), ("s", "p", "v", "t"))
+    s, price, volume, time = (
+        p.Field(k, n) for k, n in (("s", "symbol"), ("p", "price"), ("v", "volume"), ("t", "event_time"))
     )
     made = p.compute_once(
         fields,
-        raw=F.to_json(t),
-        symbol=p.text_of(s),
-        price=p.float_of(price),
-        volume=F.when(volume.isNull(), F.lit(0.0)).otherwise(p.float_of(volume)),
-        event_time=p.int_of(time),
-        reason=reason,
+        symbol=s.text(),
+        price=price.float(),
+        # a volume that is left out is zero, one that is null is an error
+        volume=F.when(volume.is_missing, F.lit(0.0)).otherwise(volume.float()),
+        event_time=time.int(),
+    )
+    reason = F.coalesce(
+        F.when(~F.col("_is_object"), F.lit("not_object")),
+        _required(s, s.text_fault(F.col("symbol"))),
+        _required(price, price.float_fault(F.col("price"))),
+        F.when(volume.is_null, F.lit("null_volume")),
+        volume.float_fault(F.col("volume")),
+        _required(time, time.fault(F.col("event_time"))),
     )
+    made = p.compute_once(made, reason=reason, raw=F.when(reason.isNotNull(), F.to_json(t)))
     return made.select(*kept, "raw", "symbol", "price", "volume", "event_time", "reason")
 
 
@@ -126,33 +118,29 @@ def trades_of_frames(df: DataFrame, raw: str = "raw") -> tuple[DataFrame, DataFr
 # ---- tick and sensor records ----
 
 
-def _documents(df: DataFrame, raw: str, fields: Sequence[str]) -> DataFrame:
-    """The parsed text as ``_doc``, and its fields as VARIANT under ``_<name>``."""
-    parsed = p.compute_once(df, _doc=p.parse_json(F.col(raw)))
-    return p.compute_once(parsed, **{f"_{c}": p.field(F.col("_doc"), c) for c in fields})
+def _documents(df: DataFrame, raw: str, names: Sequence[str]) -> DataFrame:
+    return p.with_fields(p.parse_json(df, raw, "_doc"), F.col("_doc"), names)
 
 
 def check_ticks(df: DataFrame, raw: str = "raw") -> DataFrame:
     names = ("symbol", "price", "volume", "event_time")
-    parsed = _documents(df, raw, names)
-    symbol, price, volume, time = (F.col(f"_{c}") for c in names)
-    reason = F.coalesce(
-        _document_reason(F.col("_doc")),
-        _required_text(symbol, "symbol"),
-        _required_float(price, "price"),
-        _required_int(time, "event_time"),
+    symbol, price, volume, time = (p.Field(c, c) for c in names)
+    made = p.compute_once(
+        _documents(df, raw, names),
+        symbol=symbol.text(),
+        price=price.float(),
         # a volume that is left out is zero, one that is null stays null
-        F.when(volume.isNotNull() & ~F.is_variant_null(volume), p.float_reason(volume, "volume")),
+        volume=F.when(volume.is_missing, F.lit(0.0)).otherwise(volume.float()),
+        event_time=time.int(),
     )
-    made = p.compute_once(
-        parsed,
-        symbol=p.text_of(symbol),
-        price=p.float_of(price),
-        volume=F.when(volume.isNull(), F.lit(0.0)).otherwise(p.float_of(volume)),
-        event_time=p.int_of(time),
-        reason=reason,
+    reason = F.coalesce(
+        _document_reason(F.col("_doc")),
+        _required(symbol, symbol.text_fault(F.col("symbol"))),
+        _required(price, price.float_fault(F.col("price"))),
+        _required(time, time.fault(F.col("event_time"))),
+        F.when(~volume.is_null, volume.float_fault(F.col("volume"))),
     )
-    return made.select(*df.columns, *names, "reason")
+    return p.compute_once(made, reason=reason).select(*df.columns, *names, "reason")
 
 
 def parse_ticks(df: DataFrame, raw: str = "raw") -> tuple[DataFrame, DataFrame]:
@@ -163,23 +151,21 @@ def parse_ticks(df: DataFrame, raw: str = "raw") -> tuple[DataFrame, DataFrame]:
 def check_sensors(df: DataFrame, raw: str = "raw") -> DataFrame:
     texts = ("machine_id", "sensor_id", "sensor_type")
     names = (*texts, "value", "event_time", "anomaly_injected")
-    parsed = _documents(df, raw, names)
-    value, time = F.col("_value"), F.col("_event_time")
-    reason = F.coalesce(
-        _document_reason(F.col("_doc")),
-        *[_required_text(F.col(f"_{c}"), c) for c in texts],
-        _required_float(value, "value"),
-        _required_int(time, "event_time"),
-    )
+    value, time = p.Field("value", "value"), p.Field("event_time", "event_time")
     made = p.compute_once(
-        parsed,
-        **{c: p.text_of(F.col(f"_{c}")) for c in texts},
-        value=p.float_of(value),
-        event_time=p.int_of(time),
+        _documents(df, raw, names),
+        **{c: p.Field(c, c).text() for c in texts},
+        value=value.float(),
+        event_time=time.int(),
         anomaly_injected=F.try_variant_get(F.col("_anomaly_injected"), "$", "boolean"),
-        reason=reason,
     )
-    return made.select(*df.columns, *names, "reason")
+    reason = F.coalesce(
+        _document_reason(F.col("_doc")),
+        *[_required(f, f.text_fault(F.col(f.name))) for f in (p.Field(c, c) for c in texts)],
+        _required(value, value.float_fault(F.col("value"))),
+        _required(time, time.fault(F.col("event_time"))),
+    )
+    return p.compute_once(made, reason=reason).select(*df.columns, *names, "reason")
 
 
 def parse_sensors(df: DataFrame, raw: str = "raw") -> tuple[DataFrame, DataFrame]:

@@ -83,7 +83,8 @@ def score_stream(
 
     Rows of a micro-batch are put in ``order`` per key; micro-batches follow one another as the
     source delivers them. Limit the micro-batch at the source: a key's rows of one batch are held in
-    one task. ``score_batches`` splits them instead. ``idle_ms`` forgets keys not seen for so long.
+    one task. ``score_batches`` splits them instead. ``idle_ms`` forgets keys not seen for so
+    long; such a query always has another batch to run, so give it a processing-time trigger.
     """
     keys, order = list(keys), list(order)
     fields = [*stream.schema.fields, T.StructField("zscore", T.DoubleType()), T.StructField("is_anomaly", T.BooleanType())]
