@@ -95,13 +95,12 @@ def lines(rows):
     return out
 
 
-@pytest.mark.parametrize("options", [{}, {"block_rows": 200}])
-def test_pipeline_by_batches(spark, tmp_path, wanted, options):
+def test_pipeline_by_batches(spark, tmp_path, wanted):
     rows, epochs, _ = wanted
     folder, checkpoint = str(tmp_path / "topic"), str(tmp_path / "check")
     folders = batches.Folders(*[str(tmp_path / d) for d in ("table", "dead", "state", "metrics")])
     schema = "key string, value string, partition int, offset long"
-    score = batches.score_batches(batches.TICK_FEED, folders, **options)
+    score = batches.score_batches(batches.TICK_FEED, folders, block_rows=200)
     last = {}
 
     def write(batch, batch_id):
