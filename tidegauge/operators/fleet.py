@@ -45,7 +45,10 @@ def fleet_coverage(readings: DataFrame, dimension: DataFrame, width: str) -> Dat
     first = seen.agg(F.min("bucket")).scalar()
     last = seen.agg(F.max("bucket")).scalar()
     step = F.expr(f"INTERVAL {width_seconds(width)} SECONDS")
-    expected = dimension.withColumn("bucket", F.explode(F.sequence(first, last, step))).join(
+    # the sensors are few rows before they are spread over time: share them out first
+    tasks = int(readings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = dimension.repartition(tasks, "sensor_id")
+    expected = spread.withColumn("bucket", F.explode(F.sequence(first, last, step))).join(
         seen.select("bucket").distinct(), "bucket", "left_semi"
     )
     return expected.join(seen, ["bucket", "sensor_id"], "left_anti").select(
