@@ -68,6 +68,19 @@ def test_sliding_stats_hold_exactly_the_last_values(data, size, options):
             assert s.n == n and s.mean == pytest.approx(mean) and s.m2 == pytest.approx(m2, abs=1e-5)
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("options", [{}, {"block_rows": 400}])
+def test_scoring_shuffles_the_rows_once(data, options):
+    _, df = data
+    for scored in (scoring.score(df, ["k"], "x", **options), scoring.score_sliding(df, ["k"], "x", **options)):
+        plan = plan_of(scored)
+        assert plan.count("Exchange hashpartitioning") == 1
+        assert "SortMergeJoin" not in plan and "Python" not in plan
+
+
 def test_sliding_forgets(spark):
     df = spark.createDataFrame([("a", i, float(i)) for i in range(1, 6)], "k string, seq long, x double")
     last = scoring.sliding_stats(df, ["k"], "x", ["seq"], 3).orderBy(F.desc("seq")).first().stats

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidegauge.functions.times import time_filter
+from tidegauge.plans import panels
 from tidegauge.schemas import TICK_RECORD, TICKS
 from tidegauge.sources import feeds, tables
 
@@ -42,6 +43,11 @@ def test_time_filter_prunes_dates_and_pushes_the_range(spark, ticks, tmp_path):
     assert "ReadSchema: struct<event_time:timestamp>" in plan
 
 
+def test_latest_rows_are_taken_without_a_full_sort(ticks):
+    plan = plan_of(panels.price_anomalies(ticks, "2024-05-01", "2024-06-01", 10))
+    assert "TakeOrderedAndProject(limit=10" in plan and "Exchange" not in plan.split("InMemoryRelation")[0]
+
+
 def test_a_large_date_is_spread_over_files(spark, ticks, tmp_path):
     path = str(tmp_path / "ticks")
     tables.write_event_table(ticks, path, ["symbol", "event_time"], files=6)

@@ -107,7 +107,8 @@ def ordered_blocks(
 def _lookup(rows: DataFrame, table: DataFrame, on: list[str], limit: int, how: str) -> DataFrame:
     """Join a written lookup: broadcast while its counted rows are few, else by a plain join.
 
-    The plain join is even too, since no slice holds more than a part of a block.
+    The cuts stay within the limit by the choice of the block size. Only the final slices can exceed
+    it, after many levels of cuts, and they are even enough for a join: none exceeds 1/4 block.
     """
     return rows.join(F.broadcast(table) if table.count() <= limit else table, on, how)
 

@@ -58,7 +58,7 @@ def fleet_coverage(readings: DataFrame, dimension: DataFrame, width: str) -> Dat
 
 def detector_quality(scored: DataFrame, by: str = "sensor_type") -> DataFrame:
     """Confusion counts, precision and recall of the detector against the injected label."""
-    flagged, real = F.col("is_anomaly"), F.coalesce(F.col("anomaly_injected"), F.lit(False))
+    flagged, real = (F.coalesce(F.col(c), F.lit(False)) for c in ("is_anomaly", "anomaly_injected"))
 
     def counted(condition: Column, name: str) -> Column:
         return F.sum(F.when(condition, 1).otherwise(0)).alias(name)
