@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidegauge.llm.mix import op1_source_mix
 from tidegauge.llm.rans import op7_token_store
 from tidegauge.llm.simhash import op4_simhash_dedup
 from tidegauge.llm.substring import op10_substring_dedup
 from tidegauge.llm.tokencount import op8_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_source_mix": op1_source_mix,
     "op4_simhash_dedup": op4_simhash_dedup,
     "op7_token_store": op7_token_store,
     "op8_token_counts": op8_token_counts,
