@@ -6,13 +6,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm.words import text_bytes
 
 #: Rows of a class that a model may be fitted on; the bound of what the driver gathers.
-FIT_ROWS = 4000
+FIT_ROWS = 3000
 
 _PLAIN = np.arange(256, dtype=np.uint8)
 _PLAIN[:128] = 0x20
@@ -28,8 +29,8 @@ def mapped(column: pa.Array, table: np.ndarray) -> pa.Array:
 
 
 def plain(column: pa.Array) -> pa.Array:
-    """A-Z lower-cased and every other ASCII character but letters and digits a space."""
-    return mapped(column, _PLAIN)
+    """Letters lower-cased and every ASCII character but letters and digits a space."""
+    return mapped(pc.utf8_lower(column), _PLAIN)
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, rows: int = FIT_ROWS) -> DataFrame:

@@ -1,6 +1,6 @@
 """Toxicity by cumulative-link ordinal regression on sparse words.
 
-A text's features are the words of a vocabulary, valued log(1 + count). One weight per word is shared by all
+A text's features are the words and word beginnings (PREFIXES bytes) of a vocabulary, valued log(1 + count). One weight per word is shared by all
 ordered thresholds: P(grade > j) = sigmoid(w . x - theta_j), theta ascending. The output is the expected severity,
 the sum of P(grade > j), with the likeliest grade, and ``toxic``: P(grade > 0) at ``cut`` or more.
 
@@ -9,7 +9,7 @@ they hold fewer or more of the telling words than the median toxic row. Telling
 toxic rows is RATE times that in others or more.
 
 The model is fitted on at most FIT_ROWS labelled rows of each class (whole texts). Their words are counted by
-Spark; the VOCABULARY most telling (by likelihood ratio, in MIN_ROWS rows or more) are kept, and the driver holds
+Spark; the VOCABULARY most telling (by likelihood ratio, MIN_GAIN or more, in MIN_ROWS rows or more) are kept, and the driver holds
 these rows' counts only. Every row of ``documents`` is scored, whole.
 
 Null and empty texts have no features and get the severity of the thresholds alone. Without examples of both
@@ -29,10 +29,13 @@ from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StructField,
 
 from tidegauge.llm.common import table, write_through
 from tidegauge.llm.sample import FIT_ROWS, Rows, labelled, plain, sigmoid
-from tidegauge.llm.words import Words, slices
+from tidegauge.llm.words import Words, mixed, slices
 
-#: Words of the model; rows that a word must be in; what makes a word telling; the probability of a toxic text.
-VOCABULARY, MIN_ROWS, RATE, CUT = 2048, 8, 8.0, 0.5
+#: Words of the model; rows that a word must be in; its least log likelihood ratio; what makes a word telling; the probability of a toxic text.
+VOCABULARY, MIN_ROWS, MIN_GAIN, RATE, CUT = 2048, 8, 12.0, 8.0, 0.5
+
+#: Bytes of the word beginnings.
+PREFIXES = (4, 6, 8)
 
 #: Grades, steps of the fit, its step width, and the weight of the penalty.
 GRADES, STEPS, STEP, PENALTY = 3, 400, 0.05, 1e-4
@@ -50,14 +53,28 @@ class Severity:
         return sigmoid(rows.dot(self.weights)[:, None] - self.theta[None, :])
 
 
+def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The text and the hash of every word and of every beginning of a longer word."""
+    words = Words(plain(column))
+    texts, sizes = words.text_of_word(), words.ends - words.starts
+    ends = words.ends
+    all_texts, hashes = [texts], [words.hashes()]
+    for size in PREFIXES:
+        longer = sizes > size
+        words.ends = np.where(longer, words.starts + size, ends)
+        all_texts.append(texts[longer])
+        hashes.append(mixed(words.hashes()[longer] + np.uint64(size)))
+    return np.concatenate(all_texts), np.concatenate(hashes)
+
+
 def counted(column: pa.Array, vocabulary: np.ndarray) -> Rows:
     """log(1 + count) of each vocabulary word in each text."""
-    words = Words(plain(column))
-    hashes, size = words.hashes(), max(1, len(vocabulary))
+    texts, hashes = features(column)
+    size = max(1, len(vocabulary))
     at = np.searchsorted(vocabulary, hashes)
     at[at == len(vocabulary)] = 0
     known = vocabulary[at] == hashes if len(vocabulary) else np.zeros(len(hashes), bool)
-    pairs, counts = np.unique(words.text_of_word()[known] * size + at[known], return_counts=True)
+    pairs, counts = np.unique(texts[known] * size + at[known], return_counts=True)
     return Rows(np.bincount(pairs // size, minlength=len(column)), pairs % size, np.log1p(counts))
 
 
@@ -66,9 +83,8 @@ def word_rows(sample: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 16 << 20):
-                words = Words(plain(part.column(0)))
-                texts, hashes = words.text_of_word(), words.hashes()
+            for part in slices(batch, "text", 4 << 20):
+                texts, hashes = features(part.column(0))
                 order = np.lexsort((texts, hashes))
                 texts, hashes = texts[order], hashes[order]
                 first = np.ones(len(texts), bool)
@@ -97,7 +113,7 @@ def telling(words: DataFrame, sizes: list[int], most: int = VOCABULARY, min_rows
 
     ratio = (n1 + 0.5) / sizes[1] / ((n0 + 0.5) / sizes[0])
     scored = words.filter(both >= min_rows).select("word", (part(n0, sizes[0]) + part(n1, sizes[1])).alias("gain"), ratio.alias("rate"))
-    return scored.orderBy(F.desc("gain"), "word").limit(most)
+    return scored.filter(F.col("gain") >= MIN_GAIN).orderBy(F.desc("gain"), "word").limit(most)
 
 
 def fit_ordinal(rows: Rows, grades: np.ndarray, size: int, levels: int = GRADES, steps: int = STEPS) -> tuple[np.ndarray, np.ndarray]:
