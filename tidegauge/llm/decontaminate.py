@@ -11,7 +11,7 @@ BLOCK_WORDS words of it at a time, each block against all documents, without shu
 than PIECE words are cut into pieces that overlap by a window, so no overlap is lost.
 
 Null and empty texts, and items of fewer than SPAN words, overlap nothing. Repeated rows of documents give repeated
-results; equal items are reported each, by the smallest id of an equal id-less group (null ids are kept as null).
+results; equal items are reported each, under their own ids (null stays null).
 Empty tables give empty results. Columns but doc_id, item_id and text are ignored.
 """
 
@@ -191,13 +191,24 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, most: int = BLOCK_WORDS) ->
     return found.groupBy("row", "doc_id", "item_id").agg(best).select("row", "doc_id", "item_id", "best.*")
 
 
-def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that overlap no item."""
-    docs = write_through(docs.select("*", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_text")), "decontaminate-docs")
-    marked = docs.select("doc_id", "_text", "text").withColumnRenamed("doc_id", "_doc")
-    numbered = marked.select(F.monotonically_increasing_id().alias("doc_id"), "text")
-    hits = overlaps(numbered, benchmark).select(F.col("doc_id").alias("_row")).distinct()
-    return docs.withColumn("_row", F.monotonically_increasing_id()).join(hits, "_row", "left_anti").drop("_row", "_text")
+def clean(docs: DataFrame, benchmark: DataFrame, most: int = BLOCK_WORDS) -> DataFrame:
+    """The rows of ``docs`` that overlap no item, with their columns; between blocks what is left is a table."""
+    text = docs.columns.index("text")
+    for number, block in enumerate(blocks(benchmark, most)):
+        if number:
+            docs = write_through(docs, "decontaminate-rest")
+        shared = docs.sparkSession.sparkContext.broadcast(block)
+
+        def work(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for part in slices(batch, "text"):
+                    words = Words(plain(part.column(text)))
+                    keep = np.ones(part.num_rows, bool)
+                    keep[shared.value.overlaps(words.hashes(), words.first)[0]] = False
+                    yield part.filter(pa.array(keep))
+
+        docs = docs.mapInArrow(work, docs.schema)
+    return docs
 
 
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

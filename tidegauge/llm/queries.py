@@ -6,17 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidegauge.llm.decontaminate import op5_benchmark_decontamination
 from tidegauge.llm.mix import op1_source_mix
+from tidegauge.llm.quality import op6_quality_classifier
 from tidegauge.llm.rans import op7_token_store
 from tidegauge.llm.simhash import op4_simhash_dedup
 from tidegauge.llm.substring import op10_substring_dedup
 from tidegauge.llm.tokencount import op8_token_counts
+from tidegauge.llm.toxicity import op9_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mix": op1_source_mix,
     "op4_simhash_dedup": op4_simhash_dedup,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_token_store": op7_token_store,
     "op8_token_counts": op8_token_counts,
+    "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
 }
 

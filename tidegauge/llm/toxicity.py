@@ -10,7 +10,7 @@ toxic rows is RATE times that in others or more.
 
 The model is fitted on at most FIT_ROWS labelled rows of each class (whole texts). Their words are counted by
 Spark; the VOCABULARY most telling (by likelihood ratio, MIN_GAIN or more, in MIN_ROWS rows or more) are kept, and the driver holds
-these rows' counts only. Every row of ``documents`` is scored, whole.
+these rows' counts only. A class weighs what its share of all labels is, so the probabilities are those of the table. Every row of ``documents`` is scored, whole.
 
 Null and empty texts have no features and get the severity of the thresholds alone. Without examples of both
 classes nothing can be learnt: every severity is 0. Rows may repeat, each is scored; null ids too. An empty table
@@ -32,10 +32,10 @@ from tidegauge.llm.sample import FIT_ROWS, Rows, labelled, plain, sigmoid
 from tidegauge.llm.words import Words, mixed, slices
 
 #: Words of the model; rows that a word must be in; its least log likelihood ratio; what makes a word telling; the probability of a toxic text.
-VOCABULARY, MIN_ROWS, MIN_GAIN, RATE, CUT = 2048, 8, 12.0, 8.0, 0.5
+VOCABULARY, MIN_ROWS, MIN_GAIN, RATE, CUT = 2048, 8, 12.0, 8.0, 0.4
 
 #: Bytes of the word beginnings.
-PREFIXES = (4, 6, 8)
+PREFIXES = (5, 6, 7, 8, 9)
 
 #: Grades, steps of the fit, its step width, and the weight of the penalty.
 GRADES, STEPS, STEP, PENALTY = 3, 400, 0.05, 1e-4
@@ -116,13 +116,12 @@ def telling(words: DataFrame, sizes: list[int], most: int = VOCABULARY, min_rows
     return scored.filter(F.col("gain") >= MIN_GAIN).orderBy(F.desc("gain"), "word").limit(most)
 
 
-def fit_ordinal(rows: Rows, grades: np.ndarray, size: int, levels: int = GRADES, steps: int = STEPS) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and ascending thresholds with the greatest likelihood of the grades, all grades weighing the same.
+def fit_ordinal(rows: Rows, grades: np.ndarray, size: int, weight: np.ndarray, levels: int = GRADES, steps: int = STEPS) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and ascending thresholds with the greatest likelihood of the grades, each row weighing ``weight``.
 
     Thresholds are the first one and the logarithms of the gaps, so they stay in order. Steps are Adam's.
     """
-    weight = 1.0 / np.maximum(np.bincount(grades, minlength=levels), 1)[grades]
-    weight /= weight.sum()
+    weight = weight / weight.sum()
     values = np.zeros(size + levels - 1)
     if levels > 2:
         values[size + 1 :] = np.log(1.0)
@@ -181,7 +180,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = FI
     toxic = np.array([r["label"] for r in rows_of], np.int64)
     told = found.dot((rates >= RATE).astype(np.float64)) if len(rates) else np.zeros(found.n)
     grades = np.where(toxic == 1, np.where(told > np.median(told[toxic == 1]), 2, 1), 0)
-    weights, theta = fit_ordinal(found, grades, len(vocabulary))
+    marked = labels.filter(F.col(label).isin(0, 1)).agg(F.avg(label).alias("share")).first().share
+    weight = np.where(toxic == 1, marked / sizes[1], (1 - marked) / sizes[0])
+    weights, theta = fit_ordinal(found, grades, len(vocabulary), weight)
     return Severity(vocabulary, weights, theta)
 
 
@@ -206,6 +207,21 @@ def score(docs: DataFrame, model: Severity | None, cut: float = CUT) -> DataFram
     return docs.mapInArrow(work, StructType([*docs.schema.fields, *more]))
 
 
+def without_toxic(docs: DataFrame, model: Severity | None, cut: float = CUT) -> DataFrame:
+    """The rows of ``docs`` that ``score`` does not call toxic, with their columns."""
+    if model is None:
+        return docs
+    text = docs.columns.index("text")
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                yield part.filter(pa.array(shared.value.above(part.column(text))[:, 0] < cut))
+
+    return docs.mapInArrow(work, docs.schema)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, severity (0 to 2), grade and toxic of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
