@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidegauge.llm.decontaminate import op5_benchmark_decontamination
 from tidegauge.llm.mix import op1_source_mix
 from tidegauge.llm.neighbours import op3_nearest_neighbours
+from tidegauge.llm.pii import op2_personal_data
 from tidegauge.llm.quality import op6_quality_classifier
 from tidegauge.llm.rans import op7_token_store
 from tidegauge.llm.simhash import op4_simhash_dedup
@@ -18,6 +19,7 @@ from tidegauge.llm.toxicity import op9_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mix": op1_source_mix,
+    "op2_personal_data": op2_personal_data,
     "op3_nearest_neighbours": op3_nearest_neighbours,
     "op4_simhash_dedup": op4_simhash_dedup,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
