@@ -146,10 +146,11 @@ def _longer(texts: DataFrame, base: int, before: int, length: int) -> DataFrame:
 def _repeated(rows: DataFrame, hashes: list[str]) -> DataFrame:
     """Rows whose hashes stand in two documents at least, with the smallest such document as ``least``.
 
-    The count is a partial aggregate; the rows come back by a join, in which Spark can split a large key.
+    The count is a partial aggregate. Its groups are a table before the rows are joined to them: with an aggregate
+    in the stage of the join Spark could not split a large key.
     """
     groups = rows.groupBy(*hashes).agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
-    return rows.join(groups.filter("least < most").drop("most"), hashes)
+    return rows.join(write_through(groups.filter("least < most").drop("most"), "substring-groups"), hashes)
 
 
 def _survivors(rows: DataFrame) -> DataFrame:
