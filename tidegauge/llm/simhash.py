@@ -28,6 +28,9 @@ from tidegauge.llm.xx64 import digests
 #: The seed of the shingle hash.
 SEED = 42
 
+#: Fingerprints whose keys are enumerated in one task; each has 65.
+PRINTS_PER_TASK = 20_000
+
 
 def _joined(words: Words) -> tuple[bytes, np.ndarray, np.ndarray]:
     """All texts with one space behind each word, and where each word begins and ends there."""
@@ -109,7 +112,9 @@ def links(distinct: DataFrame, max_bits: int = 2) -> DataFrame:
     """
     if max_bits not in (0, 1, 2):
         raise ValueError("max_bits must be 0, 1 or 2")
-    keys = distinct.select(F.col("fingerprint").alias("b"), F.explode(ball(F.col("fingerprint"))).alias("key"))
+    tasks = max(1, -(-distinct.count() // PRINTS_PER_TASK))
+    dealt = distinct.select("fingerprint").repartition(tasks, "fingerprint")
+    keys = dealt.select(F.col("fingerprint").alias("b"), F.explode(ball(F.col("fingerprint"))).alias("key"))
     matches = keys.groupBy("key").agg(F.collect_list("b").alias("matches")).filter(F.size("matches") > 1)
     centre = F.array_min("matches") if max_bits != 1 else F.when(F.array_contains("matches", F.col("key")), F.col("key"))
     pairs = matches.select(centre.alias("a"), F.explode("matches").alias("b"))
