@@ -1,5 +1,6 @@
 """Toxicity, quality and decontamination on small hand-made tables."""
 
+import itertools
 import random
 
 import numpy as np
@@ -114,3 +115,40 @@ def test_decontamination_tolerates_substitutions(spark):
         assert sorted(r.doc_id for r in kept.collect()) == sorted(a for a, _ in docs if a not in hit)
     assert decontaminate.overlaps(table.limit(0), benchmark).count() == 0
     assert decontaminate.clean(table, benchmark.limit(0)).count() == len(docs)
+
+
+def test_every_tolerated_substitution_leaves_a_seed():
+    for size in range(decontaminate.SPAN, decontaminate.WINDOW + 1):
+        changes = size - int(np.ceil(decontaminate.SIMILARITY * size - 1e-9))
+        item = np.arange(1, size + 1).astype(np.uint64)
+        texts = []
+        for changed in itertools.combinations(range(size), changes):
+            text = item.copy()
+            text[list(changed)] = 1000
+            texts.append(text)
+        found = decontaminate.Block([(1, item, 0, size)]).overlaps(np.concatenate(texts), np.arange(len(texts) + 1) * size)
+        assert found[0].tolist() == list(range(len(texts)))
+        assert set(found[4].tolist()) == {size - changes}
+
+
+def test_short_texts_short_items_and_verbatim_stretches(spark):
+    item = [f"v{k}" for k in range(5000)]
+    items = [(1, " ".join(item)), (2, "Seven words, that all must be equal"), (3, "seven words that all must be equal"), (4, "lone")]
+    docs = [
+        (10, " ".join(item[40:55])),
+        (11, " ".join(["x"] * 30 + item[100:113] + ["y"] * 30)),
+        (12, " ".join(["x"] * 30 + item[100:112] + ["y"] * 30)),
+        (13, "now SEVEN words that all must be equal and seven words that all must be equal"),
+        (14, "seven words that nearly all must be equal lonely"),
+        (15, "a lone wolf"),
+        (16, " ".join(["z"] * 9 + item[2028:2037] + ["q"] * 2 + item[2039:2041] + ["z"] * 9)),
+        (17, " ".join([w if k % 5 else "q" for k, w in enumerate(item[2030:2050])])),
+        (18, " ".join(item[60:72])),
+    ]
+    expected = {(10, 1): (0, 15, 15), (11, 1): (30, 43, 13), (13, 2): (1, 8, 7), (13, 3): (1, 8, 7), (15, 4): (1, 2, 1), (17, 1): (0, 20, 16)}
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    for most in (1 << 19, 60):
+        found = decontaminate.overlaps(table, benchmark, most).collect()
+        assert {(r.doc_id, r.item_id): (r.start, r.end, r.equal) for r in found} == expected
+        assert {r.doc_id for r in decontaminate.clean(table, benchmark, most).collect()} == {12, 14, 16, 18}

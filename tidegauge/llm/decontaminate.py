@@ -1,16 +1,18 @@
 """Benchmark decontamination by spaced-seed hashing.
 
-A seed is a fixed mask over SPAN consecutive words that ignores some positions. Every position of every benchmark
+A seed is a fixed mask over consecutive words that ignores some positions. Every position of every benchmark
 item and of every document is hashed under each of the MASKS; equal hashes are hits. Around a hit, document and
-item are laid side by side on the hit's diagonal and compared word by word: a stretch of WINDOW words (the whole
-item, if it is shorter) with SIMILARITY of its positions equal is an overlap, so substituted words are tolerated.
-Words are compared lower-cased and without ASCII punctuation.
+item are laid side by side on the hit's diagonal and compared word by word: a stretch of WINDOW words (all words laid
+side by side, if they are fewer, but SPAN at least) with SIMILARITY of its positions equal is an overlap, so
+substituted words are tolerated, and so are SPAN equal words in a row. The MASKS are lossless: enumerated, every
+pattern of substitutions that such a stretch may hold leaves a seed whole. An item of fewer than SPAN words overlaps
+where all its words stand in a row. Words are compared lower-cased and without ASCII punctuation.
 
 The benchmark is a stated set, searched in blocks: the driver streams it and holds, broadcasts and joins
 BLOCK_WORDS words of it at a time, each block against all documents, without shuffling their texts. Items longer
 than PIECE words are cut into pieces that overlap by a window, so no overlap is lost.
 
-Null and empty texts, and items of fewer than SPAN words, overlap nothing. Repeated rows of documents give repeated
+Null and empty texts, and items without words, overlap nothing. Repeated rows of documents give repeated
 results; equal items are reported each, under their own ids (null stays null).
 Empty tables give empty results. Columns but doc_id, item_id and text are ignored.
 """
@@ -26,15 +28,16 @@ from pyspark.sql import functions as F
 
 from tidegauge.llm.common import scratch_path, table, write_through
 from tidegauge.llm.sample import plain
-from tidegauge.llm.words import Words, mixed, ragged, slices
+from tidegauge.llm.words import Words, mixed, ragged, slices, windows
 
-#: Word positions that each seed looks at.
+#: Word positions that each seed looks at; lossless for stretches of SPAN to WINDOW words.
 MASKS = (
-    (0, 1, 2, 4, 7, 9, 11, 12),
-    (0, 2, 3, 5, 6, 8, 11, 12),
-    (0, 1, 4, 5, 7, 8, 10, 12),
-    (0, 3, 4, 6, 9, 10, 11, 12),
+    (0, 1, 3, 4, 5, 6),
+    (0, 1, 2, 4, 9, 10),
+    (0, 1, 2, 4, 7, 8),
 )
+
+#: The fewest words that are compared with substitutions, and the length of a verbatim overlap.
 SPAN = 13
 
 #: Words of an overlap and the share of them that must be equal.
@@ -51,7 +54,7 @@ _BITS = 22
 
 def seeds(hashes: np.ndarray, mask: int) -> np.ndarray:
     """The hash of each position under one mask."""
-    n = len(hashes) - SPAN + 1
+    n = len(hashes) - MASKS[mask][-1]
     if n <= 0:
         return np.empty(0, np.uint64)
     out = np.full(n, mask + 1, np.uint64)
@@ -61,71 +64,113 @@ def seeds(hashes: np.ndarray, mask: int) -> np.ndarray:
 
 
 class Block:
-    """Some items: their words one after the other and the sorted seeds that point into them."""
+    """Some items: their words one after the other and the sorted seeds that point into them.
+
+    Each comes as a piece: (id, words, where they begin in the item, words of the item).
+    """
 
-    def __init__(self, items: list[tuple[int | None, np.ndarray]]) -> None:
-        self.ids = [i for i, _ in items]
-        sizes = np.array([len(w) for _, w in items], np.int64)
-        self.words = np.concatenate([w for _, w in items])
+    def __init__(self, items: list[tuple[int | None, np.ndarray, int, int]]) -> None:
+        self.ids = [i for i, _, _, _ in items]
+        sizes = np.array([len(w) for _, w, _, _ in items], np.int64)
+        self.words = np.concatenate([w for _, w, _, _ in items])
         self.first = np.concatenate([[0], np.cumsum(sizes)])
+        self.at = np.array([a for _, _, a, _ in items], np.int64)
+        self.whole = np.array([n for _, _, _, n in items], np.int64)
         owner = np.repeat(np.arange(len(items)), sizes)
         place = np.arange(len(self.words))
-        fits = place + SPAN <= self.first[owner + 1]
+        long = self.whole[owner] >= SPAN
         self.tables = []
-        for mask in range(len(MASKS)):
+        for mask, places in enumerate(MASKS):
             hashes = seeds(self.words, mask)
-            places = place[: len(hashes)][fits[: len(hashes)]]
-            hashes = hashes[places]
-            order = np.argsort(hashes, kind="stable")
+            at = np.flatnonzero((place + places[-1] < self.first[owner + 1])[: len(hashes)] & long[: len(hashes)])
+            order = at[np.argsort(hashes[at], kind="stable")]
             mark = np.zeros(1 << _BITS, bool)
-            mark[hashes >> np.uint64(64 - _BITS)] = True
-            self.tables.append((hashes[order], places[order], owner[places[order]], mark))
+            mark[hashes[at] >> np.uint64(64 - _BITS)] = True
+            self.tables.append((hashes[order], order, owner[order], mark))
+        self.short = []
+        for size in range(1, SPAN):
+            some = np.flatnonzero(self.whole == size)
+            if len(some):
+                hashes = windows(self.words, size)[self.first[some]]
+                order = np.argsort(hashes, kind="stable")
+                self.short.append((size, hashes[order], some[order]))
 
     def overlaps(self, words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
         """(text, item, start, end, equal): the overlaps' best windows, positions in words of the text."""
         text = np.repeat(np.arange(len(first) - 1), np.diff(first))
-        diagonals = []
+        parts = [*self.alike(words, first, text), self.verbatim(words, first, text)]
+        return tuple(np.concatenate(x) for x in zip(*parts))
+
+    def verbatim(self, words: np.ndarray, first: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The first place in each text of each item of fewer than SPAN words."""
+        out = [tuple(np.empty(0, np.int64) for _ in range(5))]
+        for size, hashes, items in self.short:
+            found = windows(words, size)
+            left, right = np.searchsorted(hashes, found, "left"), np.searchsorted(hashes, found, "right")
+            at = np.flatnonzero(right > left)
+            at = at[at + size <= first[text[at] + 1]]
+            # equal items share a hash: a text needs the first place of each hash only
+            _, fresh = np.unique(text[at] * len(hashes) + left[at], return_index=True)
+            at = at[fresh]
+            n = right[at] - left[at]
+            hit, item = np.repeat(at, n), items[ragged(left[at], n)] if len(at) else np.empty(0, np.int64)
+            start = hit - first[text[hit]]
+            out.append((text[hit], item, start, start + size, np.full(len(hit), size)))
+        return tuple(np.concatenate(x) for x in zip(*out))
+
+    def alike(self, words: np.ndarray, first: np.ndarray, text: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """The best window of each diagonal that a seed points to and that holds an overlap."""
+        keys, shifts = [], len(self.words) + len(words)
         for mask, (hashes, places, owners, mark) in enumerate(self.tables):
             found = seeds(words, mask)
             at = np.flatnonzero(mark[found >> np.uint64(64 - _BITS)]) if len(found) else np.empty(0, np.int64)
-            at = at[at + SPAN <= first[text[at] + 1]]
+            at = at[at + MASKS[mask][-1] < first[text[at] + 1]]
             left, right = np.searchsorted(hashes, found[at], "left"), np.searchsorted(hashes, found[at], "right")
             n = right - left
             hit, seed = np.repeat(at, n), ragged(left, n)
             if len(hit):
-                diagonals.append(np.unique(np.stack([text[hit], owners[seed], hit - places[seed]]), axis=1))
-        if not diagonals:
-            return tuple(np.empty(0, np.int64) for _ in range(5))
-        owner_text, item, shift = np.unique(np.hstack(diagonals), axis=1)
+                shift = hit - places[seed] + len(self.words)
+                keys.append(np.unique((text[hit] * len(self.ids) + owners[seed]) * shifts + shift))
+        if not keys:
+            return
+        both, shift = np.divmod(np.unique(np.concatenate(keys)), shifts)
+        owner_text, item = np.divmod(both, len(self.ids))
+        shift -= len(self.words)
+        # what is laid side by side, in the whole item and in this piece of it
+        delta = shift - first[owner_text] + self.first[item] - self.at[item]
+        along = np.minimum(self.whole[item], np.diff(first)[owner_text] - delta) - np.maximum(0, -delta)
+        enough = along >= SPAN
+        owner_text, item, shift, along = owner_text[enough], item[enough], shift[enough], along[enough]
         begin = np.maximum(self.first[item], first[owner_text] - shift)
         end = np.minimum(self.first[item + 1], first[owner_text + 1] - shift)
-        window = np.minimum(WINDOW, self.first[item + 1] - self.first[item])
-        out: list[tuple[np.ndarray, ...]] = []
+        window = np.minimum(WINDOW, along)
+        least = np.ceil(SIMILARITY * window - 1e-9).astype(np.int64)
         cuts = np.searchsorted(np.cumsum(end - begin), np.arange(0, int((end - begin).sum()) + _PAIRS, _PAIRS), "left")
-        for a, b in zip(np.unique(np.append(cuts, [0, len(item)])), np.unique(np.append(cuts, [0, len(item)]))[1:]):
+        cuts = np.unique(np.append(cuts, [0, len(item)]))
+        for a, b in zip(cuts, cuts[1:]):
             lengths = end[a:b] - begin[a:b]
             place = ragged(begin[a:b], lengths)
             same = self.words[place] == words[place + np.repeat(shift[a:b], lengths)]
             sums = np.concatenate([[0], np.cumsum(same)])
             heads = np.cumsum(lengths) - lengths
-            tries = np.maximum(lengths - window[a:b] + 1, 0)
-            which = np.repeat(np.arange(b - a), tries)
-            starts = ragged(heads, tries)
-            equal = sums[starts + window[a:b][which]] - sums[starts]
-            good = equal >= SIMILARITY * window[a:b][which] - 1e-9
-            which, starts, equal = which[good], starts[good], equal[good]
+            good = []
+            for size, need in ((window[a:b], least[a:b]), (np.full(b - a, SPAN), np.full(b - a, SPAN))):
+                tries = np.maximum(lengths - size + 1, 0)
+                which = np.repeat(np.arange(b - a), tries)
+                starts = ragged(heads, tries)
+                equal = sums[starts + size[which]] - sums[starts]
+                kept = equal >= need[which]
+                good.append((which[kept], starts[kept], equal[kept], size[which[kept]]))
+            which, starts, equal, size = (np.concatenate(x) for x in zip(*good))
             order = np.lexsort((starts, -equal, which))
-            which, starts, equal = which[order], starts[order], equal[order]
-            one = np.ones(len(which), bool)
-            one[1:] = which[1:] != which[:-1]
-            which, starts, equal = which[one], starts[one], equal[one]
+            order = order[np.diff(which[order], prepend=-1) > 0]
+            which, starts, equal, size = which[order], starts[order], equal[order], size[order]
             start = begin[a:b][which] + (starts - heads[which]) + shift[a:b][which] - first[owner_text[a:b][which]]
-            out.append((owner_text[a:b][which], item[a:b][which], start, start + window[a:b][which], equal))
-        return tuple(np.concatenate(x) for x in zip(*out))
+            yield owner_text[a:b][which], item[a:b][which], start, start + size, equal
 
 
 def item_pieces(benchmark: DataFrame) -> DataFrame:
-    """(item_id, piece, words): the word hashes of each item of SPAN words or more, PIECE at a time."""
+    """(item_id, at, size, words): the word hashes of each item, PIECE at a time, from ``at`` of its ``size`` on."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -134,27 +179,27 @@ def item_pieces(benchmark: DataFrame) -> DataFrame:
                 hashes, rows = words.hashes(), []
                 for i, item in enumerate(part.column(0).to_pylist()):
                     own = hashes[words.first[i] : words.first[i + 1]]
-                    for number, at in enumerate(range(0, max(len(own) - WINDOW, 0) + 1, PIECE - WINDOW)):
-                        if len(own) >= SPAN:
-                            rows.append((item, number, own[at : at + PIECE].tobytes()))
-                columns = [list(c) for c in zip(*rows)] or [[], [], []]
-                kinds = (pa.int64(), pa.int32(), pa.binary())
+                    for at in range(0, max(len(own) - WINDOW, 0) + 1, PIECE - WINDOW):
+                        if len(own):
+                            rows.append((item, at, len(own), own[at : at + PIECE].tobytes()))
+                columns = [list(c) for c in zip(*rows)] or [[], [], [], []]
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
                 arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
-                yield pa.RecordBatch.from_arrays(arrays, names=["item_id", "piece", "words"])
+                yield pa.RecordBatch.from_arrays(arrays, names=["item_id", "at", "size", "words"])
 
-    return benchmark.select(F.col("item_id").cast("long"), "text").mapInArrow(work, "item_id long, piece int, words binary")
+    return benchmark.select(F.col("item_id").cast("long"), "text").mapInArrow(work, "item_id long, at long, size long, words binary")
 
 
 def blocks(benchmark: DataFrame, most: int = BLOCK_WORDS) -> Iterator[Block]:
     """The benchmark, ``most`` words at a time."""
-    items: list[tuple[int | None, np.ndarray]] = []
+    items: list[tuple[int | None, np.ndarray, int, int]] = []
     size = 0
     for row in write_through(item_pieces(benchmark), "decontaminate-items").toLocalIterator():
         words = np.frombuffer(row["words"], np.uint64)
         if items and size + len(words) > most:
             yield Block(items)
             items, size = [], 0
-        items.append((row["item_id"], words))
+        items.append((row["item_id"], words, row["at"], row["size"]))
         size += len(words)
     if items:
         yield Block(items)
