@@ -63,6 +63,41 @@ def test_contexts_find_unseen_identifiers(spark):
     assert pii.find(docs.limit(0)).count() == 0
 
 
+def test_contexts_find_each_form(spark):
+    def card(i):
+        digits = f"4111{i:011d}"
+        return next(digits + c for c in "0123456789" if valid("card", digits + c))
+
+    contexts = {
+        "email": ("please write to {} for details", lambda i: f"user{'abcdefghij'[i % 10] * (i // 10 + 1)}@example.com"),
+        "ip": ("the server answers under {} since monday", lambda i: f"10.0.{i}.7"),
+        "card": ("she paid using number {} last week", lambda i: card(i)),
+        "phone": ("call me at {} today ok", lambda i: f"+1 212 555 {1000 + i}"),
+    }
+    forms = {
+        "email": ["anna.smith@localhost", "anna.smith(at)example.com", "anna [at] example [dot] com", "anna.smith.example.com", "jürgen.weiß@example"],
+        "ip": ["2001:db8::8a2e:370:7334", "fe80::1", "300.1.1.1"],
+        "card": ["4111 1111 1111 1112", "4111-1111-1111-1113"],
+        "phone": ["212 555 0199", "(212) 555-0198", "212.555.0197", "2125550196"],
+    }
+    rows, expected = [], {}
+    for number, kind in enumerate(pii.KINDS):
+        frame, seed = contexts[kind]
+        rows += [(1000 * number + i, frame.format(seed(i))) for i in range(70)]
+        for i, form in enumerate(forms[kind]):
+            rows.append((1000 * number + 500 + i, frame.format(form)))
+            expected[1000 * number + 500 + i] = [(number, frame.index("{"), frame.index("{") + len(form), False)]
+            rows.append((1000 * number + 600 + i, f"nobody knows whether {form} means anything"))
+            expected[1000 * number + 600 + i] = []
+    # numbers that stand everywhere carry no kind from one context into others
+    rows += [(9000 + i, f"chapter {'abcdefgh'[i]} page {k} ends") for i in range(8) for k in range(6)]
+    docs = spark.createDataFrame(rows + [(9100, "please write to 5 for details")], "doc_id long, text string").coalesce(1)
+    found = {r.doc_id: [(s.kind, s.start, s.end, s.base) for s in r.spans] for r in pii.find(docs).collect()}
+    assert {i: found[i] for i in expected} == expected
+    assert all(len(found[1000 * n + i]) == 1 and found[1000 * n + i][0][3] for n in range(4) for i in range(70))
+    assert not any(found[9000 + i] for i in range(8))
+
+
 def test_neighbours_are_near_those_of_all_cosines(spark):
     draw = np.random.default_rng(2)
     centres = draw.normal(size=(12, 24))
