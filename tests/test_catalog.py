@@ -43,3 +43,21 @@ def test_known_counts(spark):
     assert sum(r.is_anomaly for r in sensors) == 26 and len({r.sensor_id for r in sensors}) == 15
     quality = contract.queries()["detector_quality"](spark, SF_DIR).collect()
     assert [sum(r[c] for r in quality) for c in ("tp", "fp", "fn", "tn")] == [12, 14, 3, 971]
+
+
+PANELS = ("live_price", "tick_throughput", "recent_price_anomalies", "sensor_averages", "machine_anomalies",
+          "machine_anomalies_summed", "recent_sensor_anomalies", "ordered_series")
+
+
+def test_panels_show_events_of_any_month(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    folder = str(tmp_path)
+    moved = spark.read.parquet(f"{SF_DIR}/events.parquet").withColumn("ts", F.expr("ts + make_dt_interval(event_id % 3 * 200)"))
+    moved.coalesce(1).write.parquet(f"{folder}/events.parquet")
+    db = duckdb.connect()
+    db.execute("SET TimeZone = 'UTC'")
+    db.execute(f"CREATE VIEW events AS SELECT * FROM '{folder}/events.parquet/*.parquet'")
+    for name in PANELS:
+        want = db.execute(contract.oracle_sql()[name]).df()
+        assert rows_of(contract.queries()[name](spark, folder).toPandas()) == rows_of(want), name

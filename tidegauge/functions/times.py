@@ -44,11 +44,13 @@ def time_bucket(width: str, ts: Column, origin: dt.datetime = BUCKET_ORIGIN) ->
     return time_window(ts, width, origin=origin)["start"]
 
 
-def time_filter(df: DataFrame, column: str, start: str, end: str) -> DataFrame:
-    """Rows with ``start <= column <= end``.
+def time_filter(df: DataFrame, column: str, start: str | None, end: str | None) -> DataFrame:
+    """Rows with ``start <= column <= end``; with neither given, all rows.
 
     A table laid out by ``event_date`` also gets the date range, so that files are pruned.
     """
+    if start is None and end is None:
+        return df
     lo, hi = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
     kept = df.where(F.col(column).between(lo, hi))
     if "event_date" in df.columns:

@@ -26,9 +26,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-# the range the panels show; holds every event
-START, END = "2024-01-01 00:00:00", "2024-02-01 00:00:00"
-
 
 AVERAGES = ("base_mean", "mean", "avg_price", "avg_value")
 
@@ -697,7 +694,7 @@ def _bare_readings_1m(spark, sf_dir):
     averages=("value",),
 )
 def live_price(spark, sf_dir):
-    return panels.live_price(_bare_ticks_1m(spark, sf_dir), START, END)
+    return panels.live_price(_bare_ticks_1m(spark, sf_dir), None, None)
 
 
 @register(
@@ -705,7 +702,7 @@ def live_price(spark, sf_dir):
     f"WITH {_TICKS} SELECT {_MINUTE} AS time, symbol AS metric, count(*) AS value FROM ticks GROUP BY ALL",
 )
 def tick_throughput(spark, sf_dir):
-    return panels.tick_throughput(_bare_ticks_1m(spark, sf_dir), START, END)
+    return panels.tick_throughput(_bare_ticks_1m(spark, sf_dir), None, None)
 
 
 @register(
@@ -714,7 +711,7 @@ def tick_throughput(spark, sf_dir):
 WHERE is_anomaly ORDER BY event_time DESC, symbol, seq LIMIT 100""",
 )
 def recent_price_anomalies(spark, sf_dir):
-    return panels.price_anomalies(_scored_ticks(spark, sf_dir), START, END)
+    return panels.price_anomalies(_scored_ticks(spark, sf_dir), None, None)
 
 
 @register(
@@ -724,7 +721,7 @@ FROM sensors GROUP BY ALL""",
     averages=("value",),
 )
 def sensor_averages(spark, sf_dir):
-    return panels.sensor_averages(_bare_readings_1m(spark, sf_dir), START, END)
+    return panels.sensor_averages(_bare_readings_1m(spark, sf_dir), None, None)
 
 
 _MACHINE_SQL = f"""WITH {_SCORED_SENSORS}, r AS ({_sensors_rollup(_MINUTE)})"""
@@ -732,7 +729,7 @@ _MACHINE_SQL = f"""WITH {_SCORED_SENSORS}, r AS ({_sensors_rollup(_MINUTE)})"""
 
 @register("machine_anomalies", f"{_MACHINE_SQL} SELECT bucket AS time, machine_id AS metric, anomaly_count AS value FROM r")
 def machine_anomalies(spark, sf_dir):
-    return panels.machine_anomalies(rollup.rollup_sensors(_scored_sensors(spark, sf_dir)), START, END)
+    return panels.machine_anomalies(rollup.rollup_sensors(_scored_sensors(spark, sf_dir)), None, None)
 
 
 @register(
@@ -741,7 +738,7 @@ def machine_anomalies(spark, sf_dir):
 )
 def machine_anomalies_summed(spark, sf_dir):
     made = rollup.rollup_sensors(_scored_sensors(spark, sf_dir))
-    return panels.machine_anomalies(made, START, END, summed=True)
+    return panels.machine_anomalies(made, None, None, summed=True)
 
 
 @register(
@@ -750,7 +747,7 @@ def machine_anomalies_summed(spark, sf_dir):
 FROM scored_sensors WHERE is_anomaly ORDER BY event_time DESC, sensor_id, seq LIMIT 100""",
 )
 def recent_sensor_anomalies(spark, sf_dir):
-    return panels.sensor_anomalies(_scored_sensors(spark, sf_dir), START, END)
+    return panels.sensor_anomalies(_scored_sensors(spark, sf_dir), None, None)
 
 
 _STREAMS_SQL = f"""{_SCORED_TICKS}, {_SCORED_SENSORS}, streams AS (
@@ -1010,7 +1007,7 @@ FROM ticks GROUP BY ALL ORDER BY time""",
 )
 def ordered_series(spark, sf_dir):
     ticks = views.ticks(spark, sf_dir).withColumn("is_anomaly", F.lit(False))
-    return panels.live_price(rollup.rollup_ticks(ticks, "1 hour"), START, END)
+    return panels.live_price(rollup.rollup_ticks(ticks, "1 hour"), None, None)
 
 
 # ---- streams ----

@@ -1,4 +1,4 @@
-"""The dashboard queries. ``start`` and ``end`` are inclusive; rollups and scored tables are given."""
+"""The dashboard queries. ``start`` and ``end`` are inclusive, both None for all rows; rollups and scored tables are given."""
 
 from __future__ import annotations
 
@@ -15,19 +15,19 @@ def _series(rollup, metric, value, start, end):
     return as_series(time_filter(rollup, "bucket", start, end), "bucket", metric, value).orderBy("time")
 
 
-def live_price(ticks_1m: DataFrame, start: str, end: str) -> DataFrame:
+def live_price(ticks_1m: DataFrame, start: str | None, end: str | None) -> DataFrame:
     return _series(ticks_1m, F.col("symbol"), "avg_price", start, end)
 
 
-def tick_throughput(ticks_1m: DataFrame, start: str, end: str) -> DataFrame:
+def tick_throughput(ticks_1m: DataFrame, start: str | None, end: str | None) -> DataFrame:
     return _series(ticks_1m, F.col("symbol"), "tick_count", start, end)
 
 
-def sensor_averages(readings_1m: DataFrame, start: str, end: str) -> DataFrame:
+def sensor_averages(readings_1m: DataFrame, start: str | None, end: str | None) -> DataFrame:
     return _series(readings_1m, machine_label(), "avg_value", start, end)
 
 
-def machine_anomalies(readings_1m: DataFrame, start: str, end: str, summed: bool = False) -> DataFrame:
+def machine_anomalies(readings_1m: DataFrame, start: str | None, end: str | None, summed: bool = False) -> DataFrame:
     """Anomaly count per machine: a row per sensor type under the machine's label, or their sum."""
     series = _series(readings_1m, F.col("machine_id"), "anomaly_count", start, end)
     if not summed:
@@ -36,7 +36,7 @@ def machine_anomalies(readings_1m: DataFrame, start: str, end: str, summed: bool
 
 
 def recent_anomalies(
-    scored: DataFrame, columns: list[str], ties: list[str], start: str, end: str, limit: int = RECENT
+    scored: DataFrame, columns: list[str], ties: list[str], start: str | None, end: str | None, limit: int = RECENT
 ) -> DataFrame:
     """The latest flagged rows in the range; ``ties`` settles the order within an instant."""
     flagged = time_filter(scored.where("is_anomaly"), "event_time", start, end)
@@ -44,12 +44,12 @@ def recent_anomalies(
     return latest.select(F.col("event_time").alias("time"), *columns)
 
 
-def price_anomalies(scored_ticks: DataFrame, start: str, end: str, limit: int = RECENT) -> DataFrame:
+def price_anomalies(scored_ticks: DataFrame, start: str | None, end: str | None, limit: int = RECENT) -> DataFrame:
     columns = ["symbol", "price", "zscore"]
     return recent_anomalies(scored_ticks, columns, _ties(scored_ticks, ["symbol"]), start, end, limit)
 
 
-def sensor_anomalies(scored_sensors: DataFrame, start: str, end: str, limit: int = RECENT) -> DataFrame:
+def sensor_anomalies(scored_sensors: DataFrame, start: str | None, end: str | None, limit: int = RECENT) -> DataFrame:
     columns = ["machine_id", "sensor_id", "sensor_type", "value", "zscore"]
     return recent_anomalies(scored_sensors, columns, _ties(scored_sensors, ["sensor_id"]), start, end, limit)
 
