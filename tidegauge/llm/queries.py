@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidegauge.llm.alignment import op11_token_alignment
 from tidegauge.llm.decontaminate import op5_benchmark_decontamination
+from tidegauge.llm.manifest import op12_merkle_manifest
 from tidegauge.llm.mix import op1_source_mix
 from tidegauge.llm.neighbours import op3_nearest_neighbours
 from tidegauge.llm.pii import op2_personal_data
 from tidegauge.llm.quality import op6_quality_classifier
 from tidegauge.llm.rans import op7_token_store
 from tidegauge.llm.simhash import op4_simhash_dedup
+from tidegauge.llm.smallworld import op13_embedding_dedup
 from tidegauge.llm.substring import op10_substring_dedup
 from tidegauge.llm.tokencount import op8_token_counts
 from tidegauge.llm.toxicity import op9_toxicity
@@ -28,6 +31,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_embedding_dedup": op13_embedding_dedup,
 }
 
 ORACLES: dict[str, str] = {}
