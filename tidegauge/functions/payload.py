@@ -28,14 +28,18 @@ def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
 def parse_json(df: DataFrame, raw: str, name: str) -> DataFrame:
     """Add the one JSON value that makes up the text, as VARIANT; NULL if there is none or more follows.
 
-    The parser stops at the end of the first value. Wrapping the text and asking for a field that
-    follows it tells whether the text ended there too; the hash keeps the text from posing as it.
+    The parser stops at the end of the first value. The text is put into a list before a hash of
+    itself: it is one value if the list has these two entries and no others, whatever the text holds.
+    Of repeated keys of an object the last counts, whatever the session was set to.
     """
+    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     seal = F.xxhash64(raw)
-    text = F.concat(F.lit('{"v":'), F.col(raw), F.lit(',"end":'), seal.cast("string"), F.lit("}"))
+    text = F.concat(F.lit("["), F.col(raw), F.lit(","), seal.cast("string"), F.lit("]"))
     parsed = compute_once(df, _wrapped=F.try_parse_json(text), _seal=seal)
-    whole = F.try_variant_get("_wrapped", "$.end", "bigint") == F.col("_seal")
-    made = compute_once(parsed, **{name: F.when(whole, F.try_variant_get("_wrapped", "$.v", "variant"))})
+    whole = (F.try_variant_get("_wrapped", "$[1]", "bigint") == F.col("_seal")) & F.try_variant_get(
+        "_wrapped", "$[2]", "variant"
+    ).isNull()
+    made = compute_once(parsed, **{name: F.when(whole, F.try_variant_get("_wrapped", "$[0]", "variant"))})
     return made.drop("_wrapped", "_seal")
 
 

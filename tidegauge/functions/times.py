@@ -45,17 +45,20 @@ def time_bucket(width: str, ts: Column, origin: dt.datetime = BUCKET_ORIGIN) ->
 
 
 def time_filter(df: DataFrame, column: str, start: str | None, end: str | None) -> DataFrame:
-    """Rows with ``start <= column <= end``; with neither given, all rows.
+    """Rows with ``start <= column <= end``; a bound that is None is open.
 
     A table laid out by ``event_date`` also gets the date range, so that files are pruned.
     """
-    if start is None and end is None:
-        return df
-    lo, hi = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
-    kept = df.where(F.col(column).between(lo, hi))
-    if "event_date" in df.columns:
-        kept = kept.where(F.col("event_date").between(F.to_date(lo), F.to_date(hi)))
-    return kept
+    dated = "event_date" in df.columns
+    if start is not None:
+        lo = F.lit(start).cast("timestamp")
+        df = df.where(F.col(column) >= lo)
+        df = df.where(F.col("event_date") >= F.to_date(lo)) if dated else df
+    if end is not None:
+        hi = F.lit(end).cast("timestamp")
+        df = df.where(F.col(column) <= hi)
+        df = df.where(F.col("event_date") <= F.to_date(hi)) if dated else df
+    return df
 
 
 def as_series(df: DataFrame, time: str, metric: Column, value: str) -> DataFrame:

@@ -47,6 +47,14 @@ def as_long(df: DataFrame, name: str) -> Column:
     raise TypeError(f"order column {name} must be an integer or a timestamp, not {kind}")
 
 
+def null_safe_join(rows: DataFrame, table: DataFrame, on: Sequence[str], how: str, small: bool = False) -> DataFrame:
+    """Join on equal columns, NULL being equal to NULL; ``on`` keeps the names and values of ``rows``."""
+    table = table.select(*[F.col(c).alias(f"_r_{c}") if c in on else F.col(c) for c in table.columns])
+    same = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in on]
+    joined = rows.join(F.broadcast(table) if small else table, reduce(Column.__and__, same), how)
+    return joined.drop(*[f"_r_{c}" for c in on])
+
+
 def ordered_blocks(
     df: DataFrame,
     keys: Sequence[str],
@@ -62,13 +70,17 @@ def ordered_blocks(
 
     Window over ``(*keys, _block)`` and then keep the rows with ``_own``: the others are copies of
     the last ``halo`` rows before the block. Blocks start at multiples of ``align``. The ``order``
-    columns (integers or timestamps, not null) must tell the rows of a key apart. ``start`` names a
-    column, equal within a key, with the position of the key's first row. ``df`` is read up to four
-    times and must give the same rows each time: store the output of an expensive step first.
+    columns (integers or timestamps) must tell the rows of a key apart. Rows without an order come
+    first, in the order of a hash of their columns; a NULL key is a key like any other. ``start``
+    names a column, equal within a key, with the position of the key's first row. ``df`` is read up
+    to four times and must give the same rows each time: store the output of an expensive step first.
     """
-    keys, order = list(keys), list(order)
+    keys, order, given = list(keys), list(order), df.columns
     shuffles = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    total = df.count()
+    unset = [F.count(F.when(F.col(c).isNull(), 1)).alias(f"_{i}") for i, c in enumerate(order)]
+    total, *unset = df.agg(F.count(F.lit(1)), *unset).first()
+    if any(unset):
+        df, order = _with_unset(df, order, unset)
     # a cut makes at most 12 slices per block, so 16 keeps each lookup below its limit
     block_rows = max(block_rows, 16 * total // lookup_rows, halo, 1)
     block_rows = -(-block_rows // align) * align
@@ -92,7 +104,8 @@ def ordered_blocks(
 
     rank = F.row_number().over(Window.partitionBy(*keys, BLOCK).orderBy(*order))
     if found is None:
-        return rows.withColumn(POS, F.col("_base") + rank - 1).withColumn(OWN, F.lit(True)).drop("_base")
+        rows = rows.withColumn(POS, F.col("_base") + rank - 1).withColumn(OWN, F.lit(True))
+        return rows.select(*given, BLOCK, POS, OWN)
     rows = rows.withColumn(POS, F.coalesce(F.col("_base"), first) + rank - 1)
     whole = F.col("_base").isNull()  # a key of one block
     begin = F.coalesce(F.col(BLOCK), F.lit(0)) * block_rows
@@ -100,17 +113,29 @@ def ordered_blocks(
     return (
         rows.where(whole | (inside & (F.col(POS) >= begin - halo)))
         .withColumn(OWN, whole | (F.col(POS) >= begin))
-        .drop("_base")
+        .select(*given, BLOCK, POS, OWN)
     )
 
 
+def _with_unset(df: DataFrame, order: list[str], unset: Sequence[int]) -> tuple[DataFrame, list[str]]:
+    """Order columns without NULLs: whether a value is set, the value, and a hash to tell rows apart."""
+    columns: dict[str, Column] = {}
+    for i, (c, n) in enumerate(zip(order, unset)):
+        if n:
+            columns[f"_set{i}"] = F.col(c).isNotNull().cast("int")
+        columns[f"_order{i}"] = F.coalesce(as_long(df, c), F.lit(0))
+    hashed = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    columns["_tie"] = F.xxhash64(*hashed)
+    return df.withColumns(columns), list(columns)
+
+
 def _lookup(rows: DataFrame, table: DataFrame, on: list[str], limit: int, how: str) -> DataFrame:
     """Join a written lookup: broadcast while its counted rows are few, else by a plain join.
 
     The cuts stay within the limit by the choice of the block size. Only the final slices can exceed
     it, after many levels of cuts, and they are even enough for a join: none exceeds 1/4 block.
     """
-    return rows.join(F.broadcast(table) if table.count() <= limit else table, on, how)
+    return null_safe_join(rows, table, on, how, table.count() <= limit)
 
 
 def _descend(rows, df, keys, order, cuts, limit, how):
@@ -160,7 +185,7 @@ def _slices(df, keys, order, block_rows, halo, first, limit):
         counted = write_through(rows.groupBy(*keys, *path).agg(*measures), "slices")
         again = _cut(counted, order, block_rows // OVERFULL, block_rows)
         todo = write_through(again.select(*keys, *path, "_column", "_lo", "_width"), "cuts")
-        leaves.append(counted.join(todo, keys + path, "left_anti").select(*keys, *path, "_n"))
+        leaves.append(null_safe_join(counted, todo, keys + path, "left_anti").select(*keys, *path, "_n"))
     if not cuts:
         return None
 
@@ -169,7 +194,7 @@ def _slices(df, keys, order, block_rows, halo, first, limit):
         leaf.select(*keys, *[F.col(c) if c in leaf.columns else F.lit(-1).cast("long").alias(c) for c in path], "_n")
         for leaf in leaves
     ]
-    slices = reduce(DataFrame.unionByName, padded).join(large.select(*keys, "_first"), keys)
+    slices = null_safe_join(reduce(DataFrame.unionByName, padded), large.select(*keys, "_first"), keys, "inner")
     by_key = Window.partitionBy(*keys)
     before = by_key.orderBy(*path).rowsBetween(Window.unboundedPreceding, -1)
     slices = (

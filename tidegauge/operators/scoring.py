@@ -136,7 +136,7 @@ def _sliding(df, keys, value, order, size, current, **blocks) -> DataFrame:
 
 
 def running_stats(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """``count, mean, m2, variance, stddev`` per key; variance is 0.0 below two points."""
+    """``count, mean, m2, lo, hi, variance, stddev`` per key; variance is 0.0 below two points."""
     grouped = df.groupBy(*keys).agg(stats.summary_of(F.col(value)).alias("_s"))
     return grouped.select(*keys, *_spread_out(F.col("_s")))
 
@@ -145,11 +145,14 @@ def merge_summaries(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFram
     """Combine two tables of ``running_stats`` without going back to their rows."""
 
     def packed(df: DataFrame, name: str) -> DataFrame:
-        unknown = F.lit(None)
-        packed = stats.summary(F.col("count"), F.col("mean"), F.col("m2"), unknown, unknown)
-        return df.select(*keys, packed.alias(name))
-
-    both = packed(a, "_a").join(packed(b, "_b"), list(keys), "full")
+        packed = stats.summary(*[F.col(c) for c in ("count", "mean", "m2", "lo", "hi")])
+        # a NULL key is a key: it meets its like
+        same = [F.struct(F.col(k)).alias(f"_{i}") for i, k in enumerate(keys)]
+        return df.select(*same, packed.alias(name))
+
+    on = [f"_{i}" for i in range(len(keys))]
+    both = packed(a, "_a").join(packed(b, "_b"), on, "full")
+    both = both.select(*[F.col(c)[k].alias(k) for c, k in zip(on, keys)], "_a", "_b")
     merged = stats.merge_stats(
         F.coalesce(F.col("_a"), stats.empty_summary()), F.coalesce(F.col("_b"), stats.empty_summary())
     )
@@ -161,6 +164,8 @@ def _spread_out(s: Column) -> list[Column]:
         s["n"].alias("count"),
         s["mean"].alias("mean"),
         s["m2"].alias("m2"),
+        s["lo"].alias("lo"),
+        s["hi"].alias("hi"),
         stats.variance(s).alias("variance"),
         stats.stddev(s).alias("stddev"),
     ]

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from ..functions import stats, times
 from ..operators import fleet, health, lateness, loadreport, rollup, scoring, validate
+from ..operators.blocks import OWN, POS, ordered_blocks
 from ..schemas import SENSOR_READINGS_1M, TICK_RECORD, TICKS, TICKS_1M
 from ..session import scratch_path
 from ..sources import feeds, tables
@@ -240,7 +241,7 @@ def score_sliding_sensors(spark, sf_dir):
 
 
 _SUMMARY_SQL = """SELECT symbol, count(*) AS count, round(avg(price), 9) AS mean, round(var_samp(price) * (count(*) - 1), 3) AS m2,
-  round(var_samp(price), 6) AS variance, round(stddev_samp(price), 6) AS stddev FROM ticks GROUP BY symbol"""
+  min(price) AS lo, max(price) AS hi, round(var_samp(price), 6) AS variance, round(stddev_samp(price), 6) AS stddev FROM ticks GROUP BY symbol"""
 
 
 @register("running_stats", f"WITH {_TICKS} {_SUMMARY_SQL}")
@@ -262,6 +263,54 @@ def merge_stats(spark, sf_dir):
     return merged.withColumn("m2", F.round("m2", 3))
 
 
+@register(
+    "merge_stats_flat",
+    """SELECT CASE WHEN event_type <> 'view' THEN event_type END AS symbol, count(*) AS count, 0.1 AS mean, 0.0 AS variance, 0.0 AS stddev
+FROM events GROUP BY ALL""",
+)
+def merge_stats_flat(spark, sf_dir):
+    """Parts of a flat series, stored and merged, have no spread; the NULL symbol is one like any other."""
+    rows = views.ticks(spark, sf_dir).select(
+        "seq", F.when(F.col("symbol") != "view", F.col("symbol")).alias("symbol"), F.lit(0.1).alias("price")
+    )
+    parts = [scoring.running_stats(rows.where(F.col("seq") % 3 == i), ["symbol"], "price") for i in range(3)]
+    merged = scoring.merge_summaries(scoring.merge_summaries(parts[0], parts[1], ["symbol"]), parts[2], ["symbol"])
+    return merged.select("symbol", "count", "mean", "variance", "stddev")
+
+
+# The NULL symbol is a key, and rows without an order come first.
+_UNSET_SQL = """ticks AS (SELECT event_id AS seq, CASE WHEN event_type <> 'view' THEN event_type END AS symbol, value AS price,
+  CASE WHEN event_id % 500 <> 7 OR event_type = 'view' THEN event_id END AS place FROM events)"""
+
+
+@register(
+    "score_unset_keys",
+    f"""WITH {_UNSET_SQL}, {_scored('ticks', 'symbol', 'price')}
+SELECT seq, symbol, price, round(zscore, 6) AS zscore, is_anomaly FROM scored_ticks""",
+)
+def score_unset_keys(spark, sf_dir):
+    """The NULL symbol holds more rows than a block."""
+    rows = views.ticks(spark, sf_dir).select(
+        "seq", F.when(F.col("symbol") != "view", F.col("symbol")).alias("symbol"), "price"
+    )
+    return scoring.score(rows, ["symbol"], "price", block_rows=200)
+
+
+@register(
+    "positions_with_unset_order",
+    f"""WITH {_UNSET_SQL} SELECT symbol, coalesce(place, -1) AS place,
+  row_number() OVER (PARTITION BY symbol ORDER BY place NULLS FIRST) - 1 AS at FROM ticks""",
+)
+def positions_with_unset_order(spark, sf_dir):
+    rows = views.ticks(spark, sf_dir).select(
+        "seq",
+        F.when(F.col("symbol") != "view", F.col("symbol")).alias("symbol"),
+        F.when((F.col("seq") % 500 != 7) | (F.col("symbol") == "view"), F.col("seq")).alias("place"),
+    )
+    placed = ordered_blocks(rows, ["symbol"], ["place"], block_rows=200, halo=10)
+    return placed.where(OWN).select("symbol", F.coalesce("place", F.lit(-1)).alias("place"), F.col(POS).alias("at"))
+
+
 # ---- lateness ----
 
 
@@ -950,6 +999,24 @@ def time_filtered(spark, sf_dir):
     return times.time_filter(views.ticks(spark, sf_dir), "event_time", "2024-01-08 00:00:00", "2024-01-22 12:00:00")
 
 
+@register(
+    "time_filtered_from",
+    f"WITH {_TICKS} SELECT seq, event_time FROM ticks WHERE event_time >= TIMESTAMP '2024-01-08 00:00:00'",
+)
+def time_filtered_from(spark, sf_dir):
+    rows = views.ticks(spark, sf_dir).select("seq", "event_time")
+    return times.time_filter(rows, "event_time", "2024-01-08 00:00:00", None)
+
+
+@register(
+    "time_filtered_until",
+    f"WITH {_TICKS} SELECT seq, event_time FROM ticks WHERE event_time <= TIMESTAMP '2024-01-22 12:00:00'",
+)
+def time_filtered_until(spark, sf_dir):
+    rows = views.ticks(spark, sf_dir).select("seq", "event_time")
+    return times.time_filter(rows, "event_time", None, "2024-01-22 12:00:00")
+
+
 @register(
     "anomalies_only",
     f"WITH {_SCORED_SENSORS} SELECT seq, sensor_id, value, round(zscore, 6) AS zscore FROM scored_sensors WHERE is_anomaly",

@@ -91,6 +91,9 @@ TICK_LINE = """
     WHEN 11 THEN concat('{"symbol":{"a":1},"price":', p, ',"event_time":', ms, '}')
     WHEN 12 THEN concat('{"symbol":"', event_type, '","price":', p, ',"event_time":', ms)
     WHEN 13 THEN concat('{"symbol":"', event_type, '","price":', p, ',"event_time":', ms, ',"volume":"q"}')
+    WHEN 14 THEN concat('{"symbol":"', event_type, '","price":', p, ',"event_time":', ms, '},"x":1')
+    WHEN 15 THEN concat('1,"v":{"symbol":"', event_type, '","price":', p, ',"event_time":', ms, '}')
+    WHEN 16 THEN concat('{"symbol":"', event_type, '","price":', p, ',"event_time":', ms, '},{}')
     ELSE concat('{"symbol":"', event_type, '","price":', p, ',"event_time":', ms, ',"volume":', k, '}')
   END"""
 SENSOR_LINE = """
@@ -103,6 +106,8 @@ SENSOR_LINE = """
     WHEN 5 THEN concat('{"machine_id":"', machine_id, '","sensor_id":"', sensor_id, '","sensor_type":"', sensor_type, '","value":"nan","event_time":', ms, '}')
     WHEN 6 THEN concat('machine ', machine_id, ' is down')
     WHEN 7 THEN 'null'
+    WHEN 8 THEN concat('{"machine_id":"', machine_id, '","sensor_id":"', sensor_id, '","sensor_type":"', sensor_type, '","value":', p, ',"event_time":', ms, '},"x":1')
+    WHEN 9 THEN concat('{"machine_id":"', machine_id, '","sensor_id":"', sensor_id, '","sensor_type":"', sensor_type, '","value":', p, ',"event_time":', ms, '}]')
     ELSE concat('{"machine_id":"', machine_id, '","sensor_id":"', sensor_id, '","sensor_type":"', sensor_type, '","value":', p, ',"event_time":', ms, ',"anomaly_injected":', lower(CAST(value >= 200 AS {text})), '}')
   END"""
 FRAME_LINE = """
@@ -115,6 +120,7 @@ FRAME_LINE = """
     WHEN 5 THEN concat('{"type":"trade","data":[{"p":', p, ',"t":', ms, '},{"s":"', event_type, '","p":"', p, '","t":"', ms, '"}]}')
     WHEN 6 THEN concat('[', ms, ']')
     WHEN 7 THEN concat('{"type":"trade","data":[', p)
+    WHEN 8 THEN concat('{"type":"trade","data":[{"s":"', event_type, '","p":', p, ',"t":', ms, '}]},"x":1')
     ELSE concat('{"type":"trade","data":[{"s":"', event_type, '","p":', p, ',"t":', ms, ',"v":', k, '},{"s":"', event_type, '","p":', k, ',"t":', ms, '}]}')
   END"""
 
