@@ -126,7 +126,7 @@ def test_rollup_range_reads_only_its_hours(spark, tmp_path):
     assert found.count() == 7
     assert len(found.inputFiles()) > 0
     plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(bucket_hour" in plan
+    assert "PartitionFilters: [isnotnull(part" in plan
 
 
 def test_sensor_refresh(spark, tmp_path):

@@ -7,10 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 from reference_math import epoch_scores, sliding_scores
 
-from tidegauge.operators import rollup
-from tidegauge.schemas import TICKS, TICKS_1M
-from tidegauge.sources import feeds, tables
+from tidegauge.operators import lateness, rollup
+from tidegauge.schemas import TICKS
+from tidegauge.sources import feeds, tables, versions
 from tidegauge.streaming import batches, queries, state
+from tidegauge.streaming import late as late_queries
 
 RECORD = "seq long, k string, x double"
 
@@ -86,6 +87,28 @@ def test_state_store_scores_equal_the_sequential_loop(spark, tmp_path, wanted, s
     assert all(r.is_anomaly == (abs(r.zscore) > 3) for r in found)
 
 
+@pytest.mark.parametrize("sliding", [False, True])
+def test_bucketed_state_scores_equal_the_sequential_loop(spark, tmp_path, wanted, sliding):
+    rows, epochs, slid = wanted
+    path, out = str(tmp_path / "state"), str(tmp_path / "out")
+    run = batches.score_rows(
+        late_queries.append_to(out), path, ["k"], "x", size=60 if sliding else 200, sliding=sliding, block_rows=240
+    )
+    # the hot key is NULL here
+    df = spark.createDataFrame([(i, None if k == "hot" else k, x) for i, k, x in rows], RECORD)
+    cuts = [0, 900, 1400, 1401, len(rows)]
+    for i, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
+        for _ in range(2 if i == 2 else 1):
+            run(df.where(F.col("seq").between(lo, hi - 1)), i)
+    found = spark.read.parquet(out).collect()
+    assert len(found) == len(rows)
+    want = slid if sliding else epochs
+    assert {r.seq: r.zscore for r in found} == pytest.approx(want, rel=1e-6, abs=1e-9)
+    # the third batch holds one row: it rewrote the bucket of its key only
+    runs = versions.commits(spark, path).where("part IS NOT NULL").groupBy("run").count().collect()
+    assert {r.run: r["count"] for r in runs}[2] == 1 and len(runs) == 4
+
+
 def lines(rows):
     out = []
     for i, k, x in rows:
@@ -131,31 +154,71 @@ def test_pipeline_by_batches(spark, tmp_path, wanted):
     assert sums["anomalies"] == sum(abs(z) > 3 for z in epochs.values()) and sums["last_batch_rows"] == len(rows)
 
 
-def test_stream_rollup_equals_batch_rollup(spark, tmp_path, wanted):
-    rows, _, _ = wanted
-    folder, path = str(tmp_path / "in"), str(tmp_path / "rollup")
-    write_files(spark, rows, folder, 4)
-    rollup.create_rollup(spark, path, TICKS_1M)
-
-    def shaped(df):
-        return df.select(
-            F.timestamp_seconds(1714521600 + F.col("seq") * 7).alias("event_time"),
-            F.col("k").alias("symbol"),
-            F.col("x").alias("price"),
-            (F.col("x") > 90).alias("is_anomaly"),
-        )
+def shaped(df):
+    return df.select(
+        F.timestamp_seconds(1714521600 + F.col("seq") * 7).alias("event_time"),
+        F.col("k").alias("symbol"),
+        F.col("x").alias("price"),
+        (F.col("x") > 90).alias("is_anomaly"),
+    )
 
-    stream = shaped(spark.readStream.schema(RECORD).option("maxFilesPerTrigger", 1).parquet(folder))
-    made = queries.rollup_stream(stream, rollup.rollup_ticks, "5 hours")
-    queries.start(made, queries.upsert_rollup(path, TICKS_1M, ["symbol"]), str(tmp_path / "check"), None, "update").awaitTermination()
-    want = rollup.rollup_ticks(shaped(spark.read.parquet(folder)))
+
+def same_buckets(found, want):
     key = lambda r: (r.bucket, r.symbol)
-    a = sorted(rollup.read_rollup(spark, path, TICKS_1M).drop(rollup.PARTITION).collect(), key=key)
-    b = sorted(want.collect(), key=key)
+    a, b = sorted(found.collect(), key=key), sorted(want.collect(), key=key)
     assert [r[:2] + r[3:] for r in a] == [r[:2] + r[3:] for r in b]
     assert [r.avg_price for r in a] == pytest.approx([r.avg_price for r in b])
 
 
+def test_stream_rollup_keeps_rows_however_late(spark, tmp_path, wanted):
+    rows, _, _ = wanted
+    folder, path = str(tmp_path / "in"), str(tmp_path / "rollup")
+    # the files come in the wrong order, and each holds rows of the whole time
+    shuffled = sorted(rows, key=lambda r: (r[0] * 7919) % 1009)
+    write_files(spark, shuffled, folder, 5)
+    stream = shaped(spark.readStream.schema(RECORD).option("maxFilesPerTrigger", 1).parquet(folder))
+    fold = queries.fold_rollup(path, ["symbol"], "price")
+    queries.start(stream, fold, str(tmp_path / "check"), None).awaitTermination()
+    batch = shaped(spark.read.parquet(folder))
+    schema, want = queries.summary_schema(batch, ["symbol"]), rollup.rollup_ticks(batch)
+    folded = lambda: rollup.tick_buckets(queries.folded(spark, path, schema, ["symbol"]))
+    same_buckets(folded(), want)
+    # a batch delivered again adds nothing; compacted parts give the same, and later batches come on top
+    fold(batch.limit(100), 2)
+    queries.compact_rollup(spark, path, schema, ["symbol"], 3)
+    same_buckets(folded(), want)
+    assert versions.live(spark, path).select("run").distinct().count() == 2
+    assert versions.expire(spark, path, 7) > 0
+    same_buckets(folded(), want)
+    fold(batch.limit(0), 5)
+    same_buckets(folded(), want)
+
+
+def test_late_rows_of_any_cut_equal_the_batch_split(spark, tmp_path):
+    rng = random.Random(9)
+    rows = [(i, f"s{i % 3}" if i % 7 else None, i // 50, 1000 * (i // 50) + rng.randrange(-4000, 1000)) for i in range(1200)]
+    schema = "seq long, source string, arrival long, ms long"
+    df = spark.createDataFrame(rows, schema)
+    want = {}
+    for source in {r[1] for r in rows}:
+        own = df.where(F.col("source").eqNullSafe(F.lit(source)))
+        late = lateness.split_late(own, "arrival", "ms", 1500)[1]
+        want |= {r.seq: r.watermark_ms for r in late.collect()}
+    assert 100 < len(want) < 1100
+    for cuts in ([400, 430, 905], [50 * i for i in range(1, 24, 5)]):
+        base = str(tmp_path / f"cut{len(cuts)}")
+        run = late_queries.route_late(
+            f"{base}/marks", "ms", 1500, late_queries.append_to(f"{base}/good"), late_queries.append_to(f"{base}/late"), "source", "arrival"
+        )
+        for i, (lo, hi) in enumerate(zip([0, *cuts], [*cuts, 1200])):
+            for _ in range(2 if i == 1 else 1):
+                run(df.where(F.col("seq").between(lo, hi - 1)), i)
+        got = {r.seq: r.watermark_ms for r in spark.read.parquet(f"{base}/late").collect()}
+        assert got == want
+        good = [r.seq for r in spark.read.parquet(f"{base}/good").collect()]
+        assert sorted(good) == [i for i in range(1200) if i not in want]
+
+
 def test_drain_writes_what_has_arrived(spark, tmp_path):
     folder = str(tmp_path / "in")
     write_files(spark, [(i, "a", float(i)) for i in range(20)], folder, 2)

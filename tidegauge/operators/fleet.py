@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.times import time_bucket, width_seconds
+from ..functions.times import BUCKET_ORIGIN, time_bucket, width_seconds
+from ..session import write_through
 
 # Fixed values of the fleet layout.
 SENSOR_TYPES = ["temperature", "vibration", "pressure"]
@@ -38,22 +39,30 @@ def sensor_dimension(machines: DataFrame, per_machine: int = SENSORS_PER_MACHINE
 def fleet_coverage(readings: DataFrame, dimension: DataFrame, width: str) -> DataFrame:
     """Sensors of the dimension that did not report in a bucket in which any sensor did.
 
-    Reporting sensors are reduced to one row per bucket and sensor first. Each sensor then lists the
-    buckets of the time span, so that every join is on equal keys and none crosses its sides.
+    A sensor's buckets are bit sets, 64 buckets to a word, made in one scan of the readings. The words of all
+    sensors give the buckets that count; what a sensor lacks of them is a word again, and only its bits
+    become rows. The table of words is read where a join of sensors and buckets would be: 64 times fewer rows.
     """
-    seen = readings.select(time_bucket(width, F.col("event_time")).alias("bucket"), "sensor_id").distinct()
-    first = seen.agg(F.min("bucket")).scalar()
-    last = seen.agg(F.max("bucket")).scalar()
-    step = F.expr(f"INTERVAL {width_seconds(width)} SECONDS")
+    seconds, offset = width_seconds(width), int(BUCKET_ORIGIN.timestamp()) % width_seconds(width)
+    number = F.floor((F.unix_seconds(time_bucket(width, F.col("event_time"))) - offset) / seconds).cast("long")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_n").bitwiseAND(63).cast("int"))
+    words = readings.select(number.alias("_n"), "sensor_id").groupBy("sensor_id", F.shiftright("_n", 6).alias("_word"))
+    seen = write_through(words.agg(F.bit_or(bit).alias("_seen")), "coverage")
+    ends = seen.agg(F.min("_word"), F.max("_word")).first()
+    counted = seen.groupBy("_word").agg(F.bit_or("_seen").alias("_counts"))
     # the sensors are few rows before they are spread over time: share them out first
     tasks = int(readings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = dimension.repartition(tasks, "sensor_id")
-    expected = spread.withColumn("bucket", F.explode(F.sequence(first, last, step))).join(
-        seen.select("bucket").distinct(), "bucket", "left_semi"
-    )
-    return expected.join(seen, ["bucket", "sensor_id"], "left_anti").select(
-        "bucket", "machine_id", "sensor_id", "sensor_type"
+    span = F.array().cast("array<long>") if ends[0] is None else F.sequence(F.lit(ends[0]), F.lit(ends[1]))
+    spread = dimension.repartition(tasks, "sensor_id").withColumn("_word", F.explode(span))
+    both = spread.join(counted, "_word").join(seen, ["sensor_id", "_word"], "left")
+    lacking = F.col("_counts").bitwiseAND(F.bitwise_not(F.coalesce("_seen", F.lit(0))))
+    bits = F.filter(
+        F.sequence(F.lit(0), F.lit(63)),
+        lambda i: F.col("_lacking").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), i)) != 0,
     )
+    missing = both.withColumn("_lacking", lacking).where("_lacking <> 0").withColumn("_bit", F.explode(bits))
+    bucket = F.timestamp_seconds((F.col("_word") * 64 + F.col("_bit")) * seconds + offset)
+    return missing.select(bucket.alias("bucket"), "machine_id", "sensor_id", "sensor_type")
 
 
 def detector_quality(scored: DataFrame, by: str = "sensor_type") -> DataFrame:

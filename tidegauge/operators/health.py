@@ -108,6 +108,69 @@ def counter_rate(
     )
 
 
+def trailing_rate(
+    samples: DataFrame,
+    series: Sequence[str],
+    width: str,
+    step: str,
+    order: Sequence[str] = ("ts",),
+    time: str = "ts",
+    value: str = "value",
+    **blocks,
+) -> DataFrame:
+    """Rate of a cumulative counter over the trailing ``width``, at every multiple of ``step``.
+
+    At ``at`` the samples in ``(at - width, at]`` count, as in ``counter_rate``: the increase from the first to
+    the last over the time between them, restarts counted from zero, no rate below two samples. Each sample is
+    put into the pane of one step with its rise over the sample before it; a pane's rises are summed once, and
+    the panes of a range are put together, less the rise that leads into its first sample. So a row costs the
+    same whatever the range; a pane costs ``width / step`` rows.
+    """
+    series = list(series)
+    panes, micros = width_seconds(width) // width_seconds(step), width_seconds(step) * 1_000_000
+    if width_seconds(width) % width_seconds(step):
+        raise ValueError("the width must be a multiple of the step")
+    placed = ordered_blocks(samples, series, order, halo=1, **blocks)
+    previous, v = F.lag(value).over(Window.partitionBy(*series, BLOCK).orderBy(POS)), F.col(value)
+    steps = placed.withColumn("_previous", previous).where(OWN)
+    rise = F.when(v < F.col("_previous"), v).otherwise(v - F.col("_previous"))
+    now = F.unix_micros(time)
+    pane = (now - F.pmod(now, F.lit(micros))) / micros + F.when(F.pmod(now, F.lit(micros)) > 0, 1).otherwise(0)
+    steps = steps.withColumn("_pane", pane.cast("long")).withColumn("_rise", F.coalesce(rise, F.lit(0.0)))
+    made = steps.groupBy(*series, "_pane").agg(
+        F.sum("_rise").alias("_rises"),
+        F.min_by("_rise", POS).alias("_into"),
+        F.min(now).alias("_first"),
+        F.max(now).alias("_last"),
+        F.count(F.lit(1)).alias("_n"),
+    )
+    ends = F.explode(F.sequence("_pane", F.col("_pane") + panes - 1)).alias("_at")
+    spans = made.select(*made.columns, ends).groupBy(*series, "_at").agg(
+        (F.sum("_rises") - F.min_by("_into", "_pane")).alias("increase"),
+        ((F.max("_last") - F.min("_first")) / 1e6).alias("_seconds"),
+        F.sum("_n").alias("samples"),
+    )
+    return spans.where("samples > 1 AND _seconds > 0").select(
+        *series,
+        F.timestamp_micros(F.col("_at") * micros).alias("at"),
+        "increase",
+        "samples",
+        (F.col("increase") / F.col("_seconds")).alias("per_second"),
+    )
+
+
+def trailing_quantile(
+    samples: DataFrame, q: float, by: Sequence[str], width: str, step: str, le: str = "le", **options
+) -> DataFrame:
+    """Quantile of what a cumulative histogram counted in the trailing ``width``, at every multiple of ``step``.
+
+    Each bound is a counter of its own: its rates are summed by ``by``, and the quantile is taken of those. It
+    is NULL where nothing was counted.
+    """
+    rates = trailing_rate(samples, [*by, le], width, step, **options)
+    return histogram_quantile(rates, q, ["at", *by], le, "per_second")
+
+
 def histogram_quantile(
     buckets: DataFrame, q: float, by: Sequence[str] = (), le: str = "le", value: str = "value"
 ) -> DataFrame:

@@ -9,17 +9,17 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import stats, times
 from ..operators import fleet, health, lateness, loadreport, rollup, scoring, validate
 from ..operators.blocks import OWN, POS, ordered_blocks
-from ..schemas import SENSOR_READINGS_1M, TICK_RECORD, TICKS, TICKS_1M
+from ..schemas import SENSOR_READINGS, SENSOR_READINGS_1M, TICK_RECORD, TICKS, TICKS_1M
 from ..session import scratch_path
-from ..sources import feeds, tables
-from ..streaming import batches, queries, state
+from ..sources import feeds, rollups, tables
+from ..streaming import batches, late, progress, queries
 from . import panels, views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -718,6 +718,37 @@ def event_table_range(spark, sf_dir):
     return times.time_filter(table, "event_time", "2024-01-05 06:00:00", "2024-01-25 18:00:00").drop(tables.DATE)
 
 
+@register("keyed_records_once", f"WITH {_TICKS} SELECT symbol AS key, symbol, price, volume, ms AS event_time, seq AS record_offset FROM ticks")
+def keyed_records_once(spark, sf_dir):
+    """Three batches, one delivered twice, one after it had failed before its commit."""
+    path = scratch_path(spark, "topic")
+    rows = views.ticks(spark, sf_dir).withColumn("event_time", F.unix_millis("event_time"))
+    fields = ["symbol", "price", "volume", "event_time"]
+    at = times.to_event_ts(F.col("event_time"))
+    for batch in (0, 1, 1, 2):
+        part = rows.where(F.col("seq") % 3 == batch)
+        feeds.write_keyed_batch(part, "symbol", path, "seq", at, batch, fields)
+    record = F.from_json("value", TICK_RECORD).alias("r")
+    found = feeds.read_keyed(spark, path).select("key", record, F.col("offset").alias("record_offset"))
+    return found.select("key", "r.*", "record_offset")
+
+
+@register(
+    "compacted_table",
+    _TICK_ROWS_SQL + " WHERE event_time BETWEEN TIMESTAMP '2024-01-05 06:00:00' AND TIMESTAMP '2024-01-25 18:00:00'",
+)
+def compacted_table(spark, sf_dir):
+    """Landed in three batches, of which the closed dates are compacted after the second."""
+    path = scratch_path(spark, "landed")
+    scored = _scored_ticks(spark, sf_dir)
+    for batch in range(3):
+        tables.land_scored(scored.where(F.col("seq") % 3 == batch).select(*TICKS.fieldNames()), batch, path)
+        if batch == 1:
+            tables.compact(spark, path, TICKS, ["symbol", "event_time"], batch, "2024-01-15")
+    table = tables.read_landed(spark, path, TICKS)
+    return times.time_filter(table, "event_time", "2024-01-05 06:00:00", "2024-01-25 18:00:00").drop(tables.DATE)
+
+
 @register("anomaly_table", _TICK_ROWS_SQL + " WHERE is_anomaly")
 def anomaly_table(spark, sf_dir):
     path = scratch_path(spark, "anomalies")
@@ -763,6 +794,101 @@ def recent_price_anomalies(spark, sf_dir):
     return panels.price_anomalies(_scored_ticks(spark, sf_dir), None, None)
 
 
+# A range that leaves rows out on both sides, and what is stored: a refresh up to the 15th, one hour of the 9th
+# appended later and refreshed by its log, everything after the 15th raw.
+_RANGE = ("2024-01-06 12:00:30", "2024-01-22 09:30:00")
+_IN_RANGE = f"bucket BETWEEN TIMESTAMP '{_RANGE[0]}' AND TIMESTAMP '{_RANGE[1]}'"
+_STORED_AT = dt.datetime(2024, 1, 15, 10, 20, 30)
+_LATE_HOURS = "event_time >= '2024-01-09 05:00:00' AND event_time < '2024-01-09 06:00:00'"
+
+
+def _served(spark, rows, make, schema):
+    """The buckets of the range out of a table stored in two refreshes, and the raw rows above them."""
+    base = scratch_path(spark, "served")
+    table = rollups.RollupTable(f"{base}/rollup", schema, make)
+    rollups.create(spark, table)
+    for run, (some, entry) in enumerate(((f"NOT ({_LATE_HOURS})", "first"), (_LATE_HOURS, "second"))):
+        part = rows.where(some)
+        tables.write_event_table(part, f"{base}/raw", ["event_time"], mode="append")
+        rollups.log_touched(part, table, entry)
+        raw = tables.read_event_table(spark, f"{base}/raw", rows.schema)
+        rollups.refresh(raw, table, run, _STORED_AT)
+    return rollups.served(raw, table, *_RANGE)
+
+
+@register(
+    "live_price_range",
+    f"""WITH {_TICKS}, r AS (SELECT {_MINUTE} AS bucket, symbol, avg(price) AS value FROM ticks GROUP BY ALL)
+SELECT bucket AS time, symbol AS metric, round(value, 9) AS value FROM r WHERE {_IN_RANGE}""",
+    averages=("value",),
+)
+def live_price_range(spark, sf_dir):
+    rows = views.ticks(spark, sf_dir).withColumn("is_anomaly", F.lit(False))
+    return panels.live_price(_served(spark, rows, rollup.rollup_ticks, TICKS_1M), *_RANGE)
+
+
+@register(
+    "tick_throughput_range",
+    f"""WITH {_TICKS}, r AS (SELECT {_MINUTE} AS bucket, symbol, count(*) AS value FROM ticks GROUP BY ALL)
+SELECT bucket AS time, symbol AS metric, value FROM r WHERE {_IN_RANGE}""",
+)
+def tick_throughput_range(spark, sf_dir):
+    rows = views.ticks(spark, sf_dir).withColumn("is_anomaly", F.lit(False))
+    return panels.tick_throughput(_served(spark, rows, rollup.rollup_ticks, TICKS_1M), *_RANGE)
+
+
+def _served_readings(spark, sf_dir):
+    scored = _scored_sensors(spark, sf_dir).drop("anomaly_injected")
+    return _served(spark, scored, rollup.rollup_sensors, SENSOR_READINGS_1M)
+
+
+@register(
+    "sensor_averages_range",
+    f"""WITH {_SCORED_SENSORS}, r AS ({_sensors_rollup(_MINUTE)})
+SELECT bucket AS time, machine_id || '/' || sensor_type AS metric, avg_value AS value FROM r WHERE {_IN_RANGE}""",
+    averages=("value",),
+)
+def sensor_averages_range(spark, sf_dir):
+    return panels.sensor_averages(_served_readings(spark, sf_dir), *_RANGE)
+
+
+@register(
+    "machine_anomalies_range",
+    f"""WITH {_SCORED_SENSORS}, r AS ({_sensors_rollup(_MINUTE)})
+SELECT bucket AS time, machine_id AS metric, anomaly_count AS value FROM r WHERE {_IN_RANGE}""",
+)
+def machine_anomalies_range(spark, sf_dir):
+    return panels.machine_anomalies(_served_readings(spark, sf_dir), *_RANGE)
+
+
+@register(
+    "recent_price_anomalies_range",
+    f"""WITH {_SCORED_TICKS} SELECT event_time AS time, symbol, price, round(zscore, 6) AS zscore FROM scored_ticks
+WHERE is_anomaly AND event_time BETWEEN TIMESTAMP '{_RANGE[0]}' AND TIMESTAMP '{_RANGE[1]}'
+ORDER BY event_time DESC, symbol, price LIMIT 100""",
+)
+def recent_price_anomalies_range(spark, sf_dir):
+    """From the stored anomaly table: nothing is scored again."""
+    path = scratch_path(spark, "anomalies")
+    tables.write_anomaly_table(_scored_ticks(spark, sf_dir).drop("seq"), path)
+    stored = tables.read_event_table(spark, path, TICKS)
+    return panels.recent_anomalies(stored, ["symbol", "price", "zscore"], ["symbol", "price"], *_RANGE)
+
+
+@register(
+    "recent_sensor_anomalies_range",
+    f"""WITH {_SCORED_SENSORS} SELECT event_time AS time, machine_id, sensor_id, sensor_type, value, round(zscore, 6) AS zscore
+FROM scored_sensors WHERE is_anomaly AND event_time BETWEEN TIMESTAMP '{_RANGE[0]}' AND TIMESTAMP '{_RANGE[1]}'
+ORDER BY event_time DESC, sensor_id, value LIMIT 100""",
+)
+def recent_sensor_anomalies_range(spark, sf_dir):
+    path = scratch_path(spark, "anomalies")
+    tables.write_anomaly_table(_scored_sensors(spark, sf_dir).drop("seq", "anomaly_injected"), path)
+    stored = tables.read_event_table(spark, path, SENSOR_READINGS)
+    columns = ["machine_id", "sensor_id", "sensor_type", "value", "zscore"]
+    return panels.recent_anomalies(stored, columns, ["sensor_id", "value"], *_RANGE)
+
+
 @register(
     "sensor_averages",
     f"""WITH {_SENSORS} SELECT {_MINUTE} AS time, machine_id || '/' || sensor_type AS metric, round(avg(value), 9) AS value
@@ -869,6 +995,32 @@ def counter_rate_split_series(spark, sf_dir):
     return health.counter_rate(samples, ["stream"], "5 days", ["ts", "seq"], block_rows=300)
 
 
+def _trailing_sql(width: int, step: int) -> str:
+    """Each sample in every range that holds it, and the increase within the range alone."""
+    return f"""WITH samples AS (
+  SELECT stream, event_id AS seq, make_timestamp((epoch_us(ts) // 1000) * 1000) AS ts, CAST(event_id % cycle + 1 AS DOUBLE) AS value
+  FROM events, (VALUES ('ticks', 3000), ('sensors', 7000)) AS c(stream, cycle)),
+ranged AS (SELECT *, CAST(ceil(epoch_us(ts) / {step}000000.0) AS BIGINT) + h AS n FROM samples, (SELECT unnest(generate_series(0, {width // step - 1})) AS h)),
+steps AS (SELECT *, lag(value) OVER (PARTITION BY stream, n ORDER BY ts, seq) AS previous FROM ranged),
+spans AS (SELECT stream, n, sum(CASE WHEN value < previous THEN value ELSE value - previous END) AS increase,
+  count(*) AS samples, (epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 AS seconds FROM steps GROUP BY ALL)
+SELECT stream, make_timestamp(n * {step}000000) AS at, increase, samples, round(increase / seconds, 6) AS per_second
+FROM spans WHERE samples > 1 AND seconds > 0"""
+
+
+@register("trailing_rate_1m", _trailing_sql(60, 15))
+def trailing_rate_1m(spark, sf_dir):
+    samples = views.counter_samples(spark, sf_dir).drop("labels", "name")
+    return health.trailing_rate(samples, ["stream"], "1 minute", "15 seconds", ["ts", "seq"])
+
+
+@register("trailing_rate_30s", _trailing_sql(30, 15))
+def trailing_rate_30s(spark, sf_dir):
+    """Each series split into blocks."""
+    samples = views.counter_samples(spark, sf_dir).drop("labels", "name")
+    return health.trailing_rate(samples, ["stream"], "30 seconds", "15 seconds", ["ts", "seq"], block_rows=700)
+
+
 _BOUNDS_SQL = ", ".join(f"('{b}', {b})" for b in views.LATENCY_BOUNDS)
 _BUCKETS_SQL = f"""bounds AS (SELECT * FROM (VALUES {_BOUNDS_SQL}, ('+Inf', 'inf'::DOUBLE)) AS b(le, bound)),
 timed AS (SELECT event_type AS "table", value / 1000 AS seconds FROM events),
@@ -895,6 +1047,31 @@ def write_latency_p99(spark, sf_dir):
     return panels.write_latency_p99(views.latency_buckets(spark, sf_dir))
 
 
+_LATENCY_SAMPLES_SQL = f"""bounds AS (SELECT * FROM (VALUES {_BOUNDS_SQL}, ('+Inf', 'inf'::DOUBLE)) AS b(le, bound)),
+timed AS (SELECT event_type AS "table", value / 1000 AS seconds, (epoch_us(ts) // 1000) AS ms FROM events),
+minutes AS (SELECT "table", le, bound, ms // 60000 AS minute, max(ms) AS ms, count(*) FILTER (seconds <= bound) AS n FROM timed, bounds GROUP BY ALL),
+samples AS (SELECT "table", le, bound, ms, sum(n) OVER (PARTITION BY "table", le, minute // 360 ORDER BY minute) AS value FROM minutes)"""
+
+
+@register(
+    "write_latency_p99_by_window",
+    f"""WITH {_LATENCY_SAMPLES_SQL},
+ranged AS (SELECT *, CAST(ceil(ms / 900000.0) AS BIGINT) + h AS n FROM samples, (SELECT unnest(generate_series(0, 7)) AS h)),
+steps AS (SELECT *, lag(value) OVER (PARTITION BY "table", le, n ORDER BY ms) AS previous FROM ranged),
+rates AS (SELECT "table", bound, n, sum(CASE WHEN value < previous THEN value ELSE value - previous END) / ((max(ms) - min(ms)) / 1000.0) AS c
+  FROM steps GROUP BY ALL HAVING count(*) > 1 AND max(ms) > min(ms)),
+ranked AS (SELECT *, lag(c, 1, 0) OVER w AS c0, lag(bound, 1, 0) OVER w AS b0, max(c) OVER (PARTITION BY "table", n) AS total FROM rates
+  WINDOW w AS (PARTITION BY "table", n ORDER BY bound)),
+hit AS (SELECT *, row_number() OVER (PARTITION BY "table", n ORDER BY bound) AS k FROM ranked WHERE c >= 0.99 * total)
+SELECT make_timestamp(n * 900000000) AS time, "table", round(CASE WHEN total > 0 THEN
+  CASE WHEN isinf(bound) THEN b0 ELSE b0 + (bound - b0) * (0.99 * total - c0) / (c - c0) END END, 9) AS quantile FROM hit WHERE k = 1""",
+    averages=("quantile",),
+)
+def write_latency_p99_by_window(spark, sf_dir):
+    """The trailing two hours at every quarter of an hour, from counters that restart every six hours."""
+    return panels.write_latency_p99_by_window(views.latency_samples(spark, sf_dir), "2 hours", "15 minutes")
+
+
 @register("histogram_quantile", _quantile_sql(0.5, ""))
 def histogram_quantile(spark, sf_dir):
     return health.histogram_quantile(views.latency_buckets(spark, sf_dir), 0.5)
@@ -1087,20 +1264,29 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.withColumn("ms", ms).withColumn("event_time", times.to_event_ts(F.col("ms")))
 
 
+def _in_pieces(spark: SparkSession, rows: DataFrame, piece: Column, pieces: int = 4) -> DataFrame:
+    """``rows`` as a stream that gets one piece (0, 1, ...) per micro-batch, in this order."""
+    path = scratch_path(spark, "pieces")
+    numbered = rows.withColumn("_piece", piece)
+    for i in range(pieces):
+        numbered.where(F.col("_piece") == i).drop("_piece").coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 def _run_to_end(stream: DataFrame, spark, write, mode="append") -> None:
     queries.start(stream, write, scratch_path(spark, "query"), None, mode).awaitTermination()
 
 
 @register("stream_score_ticks", _TICK_ROWS_SQL)
 def stream_score_ticks(spark, sf_dir):
-    """The running baseline in Spark's state store, written batch by batch."""
+    """The running baseline carried from batch to batch in hash buckets of the keys."""
     path = scratch_path(spark, "stream-ticks")
-    scored = state.score_stream(views.tick_columns(_event_stream(spark, sf_dir)), ["symbol"], "price")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         tables.append_scored(batch.select(*TICKS.fieldNames()), batch_id, path)
 
-    _run_to_end(scored, spark, write)
+    run = batches.score_rows(write, scratch_path(spark, "stream-state"), ["symbol"], "price")
+    _run_to_end(views.tick_columns(_event_stream(spark, sf_dir)), spark, run)
     return tables.read_event_table(spark, path, TICKS).select(*TICKS.fieldNames())
 
 
@@ -1108,20 +1294,22 @@ def stream_score_ticks(spark, sf_dir):
 def stream_score_sliding(spark, sf_dir):
     path = scratch_path(spark, "stream-sliding")
     rows = views.tick_columns(_event_stream(spark, sf_dir)).select("seq", "symbol", "price")
-    scored = state.score_stream(rows, ["symbol"], "price", sliding=True)
-    shape = scored.schema
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-    _run_to_end(scored, spark, write)
-    return spark.read.schema(shape).parquet(path).select(*shape.fieldNames())
+    run = batches.score_rows(late.append_to(path), scratch_path(spark, "stream-state"), ["symbol"], "price", sliding=True)
+    _run_to_end(rows, spark, run)
+    return spark.read.parquet(path).drop("batch_id")
 
 
 _STREAM_LINES_SQL = f"""WITH {_TICK_CHECKED}, ticks AS (SELECT * FROM good_ticks), {_scored('ticks', 'symbol', 'price')}
 SELECT make_timestamp(event_time * 1000) AS event_time, symbol, price, volume, round(zscore, 6) AS zscore, is_anomaly FROM scored_ticks"""
 
 
+_STREAM_READINGS_SQL = f"""WITH {_SENSOR_CHECKED}, readings AS (SELECT seq, make_timestamp(({_int('event_time')}) * 1000) AS event_time,
+  json_extract_string(j, '$.machine_id') AS machine_id, json_extract_string(j, '$.sensor_id') AS sensor_id,
+  json_extract_string(j, '$.sensor_type') AS sensor_type, {_float('value')} AS value FROM checked WHERE reason IS NULL),
+  {_scored('readings', 'sensor_id', 'value')}
+SELECT event_time, machine_id, sensor_id, sensor_type, value, round(zscore, 6) AS zscore, is_anomaly FROM scored_readings"""
+
+
 def _pipeline_folders(spark: SparkSession) -> batches.Folders:
     base = scratch_path(spark, "pipeline")
     return batches.Folders(*[f"{base}/{name}" for name in ("table", "dead-letters", "state", "metrics")])
@@ -1142,19 +1330,103 @@ def stream_tick_pipeline(spark, sf_dir):
 )
 def stream_rollup_ticks(spark, sf_dir):
     """The rollup kept up by a stream, with flags that need no state."""
-    path = scratch_path(spark, "stream-rollup")
-    rollup.create_rollup(spark, path, TICKS_1M)
-    ticks = views.tick_columns(_event_stream(spark, sf_dir)).withColumn("is_anomaly", F.col("volume") > 90)
-    made = queries.rollup_stream(ticks, rollup.rollup_ticks)
-    _run_to_end(made, spark, queries.upsert_rollup(path, TICKS_1M, ["symbol"]), "update")
-    return rollup.read_rollup(spark, path, TICKS_1M).drop(rollup.PARTITION)
+    rows = views.ticks(spark, sf_dir).withColumn("is_anomaly", F.col("volume") > 90)
+    path, schema = scratch_path(spark, "stream-rollup"), queries.summary_schema(rows, ["symbol"])
+    # late beyond any watermark: the pieces come in no order of time
+    stream = _in_pieces(spark, rows, F.col("seq") * 7919 % 4)
+    _run_to_end(stream, spark, queries.fold_rollup(path, ["symbol"], "price"))
+    queries.compact_rollup(spark, path, schema, ["symbol"], 1)
+    return rollup.tick_buckets(queries.folded(spark, path, schema, ["symbol"]))
+
+
+def _routed(spark, sf_dir):
+    """Arrivals as a stream of four pieces that end within arrival batches: the folders of rows on time and late."""
+    rows = views.arrivals(spark, sf_dir).select("seq", "ms", "batch", "arrival")
+    ends = rows.agg(F.min("arrival").alias("lo"), (F.max("arrival") + 1).alias("hi")).first()
+    piece = F.expr(f"(arrival - {ends.lo}) * 4 div {ends.hi - ends.lo}")
+    base = scratch_path(spark, "routed")
+    sinks = late.append_to(f"{base}/good"), late.append_to(f"{base}/late")
+    run = late.route_late(f"{base}/marks", "ms", 600000, *sinks, arrival="batch")
+    _run_to_end(_in_pieces(spark, rows, piece), spark, run)
+    return f"{base}/good", f"{base}/late"
+
 
+@register("stream_late_rows", _late_sql(600000, "seq, ms, batch, watermark_ms", "WHERE late"))
+def stream_late_rows(spark, sf_dir):
+    return spark.read.parquet(_routed(spark, sf_dir)[1]).select("seq", "ms", "batch", "watermark_ms")
 
-@register("stream_write_stats")
+
+@register("stream_on_time_rows", _late_sql(600000, "seq, ms, batch", "WHERE NOT late"))
+def stream_on_time_rows(spark, sf_dir):
+    return spark.read.parquet(_routed(spark, sf_dir)[0]).select("seq", "ms", "batch")
+
+
+_STATS_SQL = f"""WITH {_TICK_CHECKED}, ticks AS (SELECT * FROM good_ticks), {_scored('ticks', 'symbol', 'price')},
+counts AS (SELECT (SELECT count(*) FROM scored_ticks) AS events, (SELECT count(*) FROM scored_ticks WHERE is_anomaly) AS anomalies,
+  (SELECT count(*) FROM checked WHERE reason IS NOT NULL) AS dead_letters)
+SELECT 'events' AS name, '{{"stream":"ticks"}}' AS labels, CAST(events AS DOUBLE) AS value FROM counts
+UNION ALL SELECT 'anomalies', '{{"stream":"ticks"}}', anomalies FROM counts
+UNION ALL SELECT 'dead_letters', '{{"stream":"ticks"}}', dead_letters FROM counts
+UNION ALL SELECT 'last_batch_rows', '{{"table":"ticks"}}', events FROM counts
+UNION ALL SELECT 'write_seconds', '{{"table":"ticks"}}', 1 FROM counts"""
+
+
+@register("stream_write_stats", _STATS_SQL)
 def stream_write_stats(spark, sf_dir):
-    """Rows and write time per table as recorded by the pipeline; the times differ from run to run."""
+    """Rows per stream and table as recorded by the pipeline; of the write times, which differ, the number measured."""
     folders = _pipeline_folders(spark)
     line = views.lines_of(_event_stream(spark, sf_dir), views.TICK_LINE)
     _run_to_end(line, spark, batches.score_batches(batches.TICK_FEED, folders, ["seq"]))
     samples = spark.read.parquet(folders.metrics)
-    return samples.select("name", F.to_json("labels").alias("labels"), "value", "ts")
+    timed = F.col("name") == "write_seconds"
+    return samples.select("name", F.to_json("labels").alias("labels"), F.when(timed, 1.0).otherwise(F.col("value")).alias("value"))
+
+
+@register("stream_sensor_pipeline", _STREAM_READINGS_SQL)
+def stream_sensor_pipeline(spark, sf_dir):
+    """The sensor feed: raw lines to scored readings."""
+    folders = _pipeline_folders(spark)
+    names = dict(zip(["machine_id", "sensor_id", "sensor_type"], views.sensor_names()))
+    line = views.lines_of(_event_stream(spark, sf_dir).withColumns(names), views.SENSOR_LINE)
+    _run_to_end(line, spark, batches.score_batches(batches.SENSOR_FEED, folders, ["seq"], block_rows=600))
+    return tables.read_event_table(spark, folders.table, SENSOR_READINGS).select(*SENSOR_READINGS.fieldNames())
+
+
+@register("stream_keyed_feed", f"WITH {_TICKS} SELECT symbol AS key, seq AS record_offset, price FROM ticks")
+def stream_keyed_feed(spark, sf_dir):
+    """A topic read as a stream, one file at a time, and drained."""
+    path, out = scratch_path(spark, "topic"), scratch_path(spark, "read")
+    rows = views.ticks(spark, sf_dir)
+    feeds.write_keyed(rows, "symbol", path, "seq", F.col("event_time"), ["symbol", "price"])
+    stream = feeds.read_events_stream(spark, path, "parquet", per_trigger=1)
+    query = queries.start(stream, late.append_to(out), scratch_path(spark, "query"))
+    queries.drain(query)
+    price = F.from_json("raw", "price double")["price"].alias("price")
+    return spark.read.parquet(out).select("key", F.col("offset").alias("record_offset"), price)
+
+
+@register("stream_trade_frames", f"WITH {_lines_sql(views.FRAME_LINE)} SELECT raw, count(*) AS n FROM lines GROUP BY raw")
+def stream_trade_frames(spark, sf_dir):
+    """Frames as lines of text files, read as a stream."""
+    path, out = scratch_path(spark, "frames"), scratch_path(spark, "read")
+    views.frame_lines(spark, sf_dir).select("raw").write.text(path)
+    _run_to_end(feeds.read_trade_frames(spark, path, streaming=True), spark, late.append_to(out))
+    return spark.read.parquet(out).groupBy("raw").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register(
+    "progress_counters",
+    f"""WITH {_TICKS} SELECT 'events_total' AS name, '' AS le, CAST(count(*) AS DOUBLE) AS value FROM ticks
+UNION ALL SELECT 'anomalies_total', '', count(*) FROM ticks WHERE volume > 90 UNION ALL SELECT 'write_seconds_bucket', '+Inf', 4""",
+)
+def progress_counters(spark, sf_dir):
+    """What the progress of a drained query counts up to: events, anomalies and one write time per batch."""
+    rows = views.ticks(spark, sf_dir).withColumn("is_anomaly", F.col("volume") > 90)
+    stream = queries.with_counters(_in_pieces(spark, rows, F.col("seq") % 4), "ticks")
+    query = queries.start(stream, late.append_to(scratch_path(spark, "read")), scratch_path(spark, "query"), None)
+    query.awaitTermination()
+    counters = progress.ProgressCounters("ticks", "ticks")
+    counters.record_all(query.recentProgress)
+    le = F.coalesce(F.col("labels")["le"], F.lit(""))
+    samples = counters.flush(spark).where((le == "") | (le == "+Inf"))
+    return samples.groupBy("name", le.alias("le")).agg(F.max("value").alias("value"))

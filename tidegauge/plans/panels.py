@@ -75,5 +75,11 @@ def write_latency_p99(buckets: DataFrame, table: str = "table") -> DataFrame:
     return health.histogram_quantile(buckets, 0.99, [table])
 
 
+def write_latency_p99_by_window(samples: DataFrame, width: str = "1 minute", step: str = "15 seconds", table: str = "table") -> DataFrame:
+    """``(time, table, quantile)`` from samples of cumulative buckets (``ts``, ``le``, ``value``)."""
+    found = health.trailing_quantile(samples, 0.99, [table], width, step)
+    return found.withColumnRenamed("at", "time")
+
+
 def dead_lettered(rejected: dict[str, DataFrame]) -> DataFrame:
     return health.stream_counters({}, rejected).select("stream", "dead_letters")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.payload import compute_once
@@ -47,7 +47,7 @@ def sensors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sensor_columns(df: DataFrame) -> DataFrame:
-    machine, sensor, kind = _sensor_names()
+    machine, sensor, kind = sensor_names()
     return df.select(
         F.col("event_id").alias("seq"),
         "event_time",
@@ -138,11 +138,11 @@ def tick_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sensor_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = dict(zip(["machine_id", "sensor_id", "sensor_type"], _sensor_names()))
+    names = dict(zip(["machine_id", "sensor_id", "sensor_type"], sensor_names()))
     return lines_of(events(spark, sf_dir).withColumns(names), SENSOR_LINE)
 
 
-def _sensor_names() -> list[Column]:
+def sensor_names() -> list[Column]:
     machine = F.format_string("machine-%02d", F.col("user_id") % 5 + 1)
     index = F.expr("user_id div 5") % SENSORS_PER_MACHINE
     return [machine, sensor_id(machine, index), sensor_type(index)]
@@ -183,6 +183,19 @@ def latency_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return health.cumulative_buckets(timed, "seconds", LATENCY_BOUNDS, ["table"])
 
 
+def latency_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The buckets of ``latency_buckets`` as counters, sampled once a minute; they restart every six hours."""
+    base = events(spark, sf_dir)
+    timed = base.select(
+        F.col("event_type").alias("table"), (F.col("value") / 1000).alias("seconds"), F.expr("ms div 60000").alias("minute"), "ms"
+    )
+    counted = health.cumulative_buckets(timed, "seconds", LATENCY_BOUNDS, ["table", "minute"])
+    ends = timed.groupBy("table", "minute").agg(F.timestamp_millis(F.max("ms")).alias("ts"))
+    so_far = Window.partitionBy("table", "le", F.expr("minute div 360")).orderBy("minute")
+    sampled = counted.withColumn("value", F.sum("value").over(so_far)).join(ends, ["table", "minute"])
+    return sampled.select("table", "le", "ts", "value")
+
+
 def offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log end and commit per partition: two groups read five partitions each, small values first."""
     base = events(spark, sf_dir)

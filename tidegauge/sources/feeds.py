@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import KEYED_RECORD
+from . import versions
 
 TOPIC_PARTITIONS = 5  # fixed value: partitions of a feed
 
@@ -16,6 +18,8 @@ def read_events_stream(
     fmt: str = "kafka",
     starting: str = "latest",
     per_trigger: int | None = None,
+    flush_rows: int | None = None,
+    flush_seconds: float = 1.0,
     **options: str,
 ) -> DataFrame:
     """Stream of keyed records with ``raw`` text.
@@ -23,13 +27,17 @@ def read_events_stream(
     ``kafka``: ``source`` is the topic and ``kafka.bootstrap.servers`` an option; needs the Kafka
     connector on the classpath. ``parquet`` / ``json``: a folder of keyed records as written by
     ``write_keyed``. ``text``: a folder of plain lines. ``per_trigger`` limits a micro-batch (offsets
-    or files), so that a backlog shows as lag and not as one giant batch.
+    or files), so that a backlog shows as lag and not as one giant batch. ``flush_rows`` (Kafka only)
+    makes a micro-batch of so many records, or of what has come after ``flush_seconds``, whichever is first.
     """
     reader = spark.readStream.format(fmt).options(**options)
     if fmt == "kafka":
         reader = reader.option("subscribe", source).option("startingOffsets", starting)
         if per_trigger:
             reader = reader.option("maxOffsetsPerTrigger", per_trigger)
+        if flush_rows:
+            delay = f"{round(flush_seconds * 1000)}ms"
+            reader = reader.option("minOffsetsPerTrigger", flush_rows).option("maxTriggerDelay", delay)
         records = reader.load()
         return records.select(
             F.col("key").cast("string").alias("key"),
@@ -88,6 +96,45 @@ def write_keyed(
     ).write.mode("append").parquet(path)
 
 
+KEYED_ROWS = T.StructType([f for f in KEYED_RECORD.fields if f.name in ("key", "value", "offset", "timestamp")])
+
+
+def write_keyed_batch(
+    df: DataFrame,
+    key: str,
+    path: str,
+    offset: str,
+    timestamp: Column,
+    batch_id: int,
+    columns: list[str] | None = None,
+    partitions: int = TOPIC_PARTITIONS,
+) -> bool:
+    """Add one batch's records exactly once; whether they were new.
+
+    The commit of a batch is its last write: a batch that failed before is written again in place of what it
+    left, one that is delivered again finds its commit and adds nothing. Read them with ``read_keyed``.
+    """
+    spark = df.sparkSession
+    versions.create(spark, path, KEYED_ROWS)
+    if versions.committed(spark, path, batch_id):
+        return False
+    name = F.col(key).cast("string")
+    records = df.select(
+        name.alias("key"),
+        F.to_json(F.struct(*(columns or df.columns))).alias("value"),
+        F.col(offset).cast("long").alias("offset"),
+        timestamp.alias("timestamp"),
+    )
+    versions.publish(records, path, partition_of(F.col("key"), partitions), batch_id)
+    return True
+
+
+def read_keyed(spark: SparkSession, path: str) -> DataFrame:
+    """The records of all committed batches; ``partition`` as in a topic."""
+    rows = versions.read(spark, path, KEYED_ROWS)
+    return rows.withColumn("partition", F.col(versions.PART).cast("int")).drop(versions.PART)
+
+
 def publish_keyed(df: DataFrame, key: str, topic: str, servers: str, columns: list[str] | None = None):
     """Append records to a Kafka topic; needs the Kafka connector on the classpath."""
     writer = keyed_records(df, key, columns).write.format("kafka")

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import versions
+
 DATE = "event_date"
 BATCH = "batch_id"
 
@@ -51,3 +53,51 @@ def read_event_table(spark: SparkSession, path: str, schema: T.StructType) -> Da
     """Rows with ``event_date``, ready for ``time_filter``."""
     stored = T.StructType([*schema.fields, T.StructField(DATE, T.DateType())])
     return spark.read.schema(stored).parquet(path)
+
+
+ROWS_PER_FILE = 5_000_000
+
+
+def land_scored(batch: DataFrame, batch_id: int, path: str) -> bool:
+    """Add one micro-batch to a table that is compacted later, exactly once; whether it was new.
+
+    Batches have even runs: between two of them is room for a compaction.
+    """
+    spark, run = batch.sparkSession, 2 * batch_id
+    versions.create(spark, path, batch.schema)
+    if versions.committed(spark, path, run):
+        return False
+    versions.publish(batch, path, F.to_date("event_time"), run)
+    return True
+
+
+def read_landed(spark: SparkSession, path: str, schema: T.StructType, before: int | None = None) -> DataFrame:
+    """The rows of all committed batches with ``event_date``, ready for ``time_filter``."""
+    rows = versions.read(spark, path, schema, before=before)
+    return rows.withColumn(DATE, F.col(versions.PART).cast("date")).drop(versions.PART)
+
+
+def compact(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    sort_by: Sequence[str],
+    last_batch: int,
+    closed_before: str,
+    rows_per_file: int = ROWS_PER_FILE,
+) -> None:
+    """Replace the files that batches up to ``last_batch`` left in the dates before ``closed_before``.
+
+    The rows of these dates are range-partitioned by (date, ``sort_by``) into files of ``rows_per_file``, one file
+    per date at least, and published as one run. Readers see the old files or the new ones; a failed write
+    leaves the old ones. Run ``versions.expire`` when no reader of the old files is left.
+    """
+    run = 2 * last_batch + 1
+    if versions.committed(spark, path, run):
+        return
+    closed = versions.read(spark, path, schema, F.col(versions.PART) < closed_before, before=run)
+    files = max(1, -(-closed.count() // rows_per_file))
+    by = [versions.PART, *sort_by]
+    ranged = closed.repartitionByRange(files, *by).sortWithinPartitions(*by)
+    parts = closed.select(versions.PART).distinct()
+    versions.publish(ranged, path, F.col(versions.PART), run, True, parts, arranged=True)

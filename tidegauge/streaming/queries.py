@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.rollup import PARTITION, read_rollup, replace_hours
+from ..operators.rollup import merge_parts, summarise
+from ..sources import versions
 
 FLUSH_SECONDS = 1.0  # fixed value: longest time a row waits before it is written
 
@@ -46,26 +48,42 @@ def with_counters(stream: DataFrame, name: str) -> DataFrame:
     )
 
 
-def rollup_stream(
-    scored: DataFrame, rollup: Callable[..., DataFrame], delay: str = "10 minutes", width: str = "1 minute"
-) -> DataFrame:
-    """The rollup as a stream; buckets are dropped from state once ``delay`` has passed them."""
-    return rollup(scored.withWatermark("event_time", delay), width)
+def fold_rollup(path: str, keys: Sequence[str], value: str, width: str = "1 minute") -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that keeps a rollup of a stream as summaries of its buckets, one part per batch.
 
+    A batch adds the summaries of its own rows, however late they are: nothing waits for a watermark and nothing is
+    dropped behind one. A batch that is run again finds its commit.
+    """
 
-def upsert_rollup(path: str, schema, keys: Sequence[str]) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that replaces the buckets that changed (output mode ``update``)."""
-    on = ["bucket", *keys]
-    names = schema.fieldNames()
-
-    def run(changed: DataFrame, batch_id: int) -> None:
-        spark = changed.sparkSession
-        changed = changed.select(*names).persist()
-        hour = F.date_format("bucket", "yyyy-MM-dd-HH")
-        hours = changed.select(hour.alias(PARTITION)).distinct()
-        old = read_rollup(spark, path, schema).join(hours, PARTITION, "left_semi").select(*names)
-        kept = old.join(changed.select(*on), on, "left_anti")
-        replace_hours(kept.unionByName(changed), path)
-        changed.unpersist()
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        versions.create(spark, path, summary_schema(batch, keys))
+        if versions.committed(spark, path, 2 * batch_id):
+            return
+        made = summarise(batch, keys, value, width)
+        versions.publish(made, path, F.to_date("bucket"), 2 * batch_id)
 
     return run
+
+
+def summary_schema(rows: DataFrame, keys: Sequence[str]) -> T.StructType:
+    """Of the parts that ``fold_rollup`` keeps."""
+    numbers = [("n", T.LongType()), *[(c, T.DoubleType()) for c in ("mean", "m2", "lo", "hi")], ("rows", T.LongType()), ("flagged", T.LongType())]
+    fields = [T.StructField("bucket", T.TimestampType()), *[rows.schema[k] for k in keys]]
+    return T.StructType([*fields, *[T.StructField(n, t) for n, t in numbers]])
+
+
+def folded(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], where: Column | None = None) -> DataFrame:
+    """The summaries of all committed batches, merged; ``where`` is a condition on the date (``part``)."""
+    return merge_parts(versions.read(spark, path, schema, where).drop(versions.PART), ["bucket", *keys])
+
+
+def compact_rollup(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], last_batch: int) -> None:
+    """Merge the parts of all batches up to ``last_batch`` into one part per date.
+
+    Its run lies between those of this batch and the next, so that later batches are not replaced.
+    """
+    run = 2 * last_batch + 1
+    if not versions.committed(spark, path, run):
+        parts = versions.read(spark, path, schema, before=run).drop(versions.PART)
+        versions.publish(merge_parts(parts, ["bucket", *keys]), path, F.to_date("bucket"), run, True)
