@@ -220,6 +220,35 @@ def test_mixed_documents_hold_the_words_taken(docs, rows, nothing):
     assert mix.mixed_documents(nothing).count() == 0
 
 
+def test_stages_keep_columns_named_like_their_own(docs):
+    names = ["_fingerprint", "_row", "_hash", "_doc", "_key", "_spans", "_ROW_"]
+    from pyspark.sql import functions as F
+
+    more = docs.select("*", *[F.lit(n).alias(n) for n in names])
+    for stage in (simhash.one_of_each, mix.mixed_documents):
+        plain, named = stage(docs), stage(more)
+        assert named.columns == more.columns
+        assert sorted(map(str, named.select(*docs.columns).collect())) == sorted(map(str, plain.collect()))
+        assert named.select(*names).distinct().collect() == [tuple(names)]
+
+
+def thue_morse(n, a="a", b="b"):
+    return "".join(b if i.bit_count() % 2 else a for i in range(n))
+
+
+def test_words_made_to_collide_are_told_apart(spark):
+    """Polynomial hashes modulo 2**64 give the same for these two words of 1,024 letters, whatever their base."""
+    tail = prose("tail", 60)
+    texts = [f"{thue_morse(1024)} {tail}", f"{thue_morse(1024, 'b', 'a')} {tail}"]
+    tails = " ".join(tail.split()[:49])
+    texts += [f"{thue_morse(1024)} {tails}", f"{thue_morse(1024, 'b', 'a')} {tails}"]
+    # documents 2 and 3 differ in their first word: no window of theirs is the same
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts[2:])], "doc_id long, text string")
+    assert [r.n_removed for r in substring.substring_dedup(docs).orderBy("doc_id").collect()] == [0, 0]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts[:2])], "doc_id long, text string")
+    assert [r.n_removed for r in substring.substring_dedup(docs).orderBy("doc_id").collect()] == [0, 60]
+
+
 def test_pipeline_stages_against_brute_force(spark, tmp_path):
     import corpus_pipeline as pipeline
 

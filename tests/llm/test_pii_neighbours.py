@@ -4,6 +4,7 @@ import hashlib
 import re
 
 import numpy as np
+import pytest
 
 from tidegauge.llm import neighbours, pii
 
@@ -125,6 +126,30 @@ def test_neighbours_are_near_those_of_all_cosines(spark):
     assert [v for _, v in copies] == [200, 201, 202, 203, 204]
 
 
+@pytest.mark.parametrize("clusters, size, spread", [(100, 40, 0.05), (40, 100, 0.05), (16, 256, 0.3), (16, 256, 0.05), (8, 500, 0.1), (400, 10, 0.02)])
+def test_a_shard_of_clusters_does_not_fall_apart(clusters, size, spread):
+    draw = np.random.default_rng(clusters)
+    centres = draw.normal(size=(clusters, 64))
+    x = np.repeat(centres, size, 0) + spread * draw.normal(size=(clusters * size, 64))
+    shard = neighbours.Shard(np.arange(len(x)), x, 5)
+    assert shard.graph._reached().all()
+    asked = draw.choice(len(x), 200, replace=False)
+    query, found, _ = shard.nearest(asked, x[asked], 5)
+    hits = 0
+    for i, q in enumerate(asked):
+        score = neighbours.cosines(np.repeat(x[q : q + 1], len(x), 0), x)
+        score[q] = -2
+        hits += len(set(np.argsort(-score)[:5].tolist()) & set(found[query == i].tolist()))
+    assert hits / 1000 >= 0.9
+
+
+def test_a_repeated_query_id_asks_with_its_smallest_vector(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [1.0, 0.1]), (2, [0.1, 1.0])]
+    table = neighbours.vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    found = neighbours.search(neighbours.build(table), table.filter("vec_id = 0"), k=1).collect()
+    assert [(r.query_id, r.vec_id) for r in found] == [(0, 2)]
+
+
 def test_neighbours_of_few_and_none(spark):
     few = neighbours.vectors(spark.createDataFrame([(0, [1.0, 0.0]), (50, [0.0, 1.0]), (7, [1.0, 1.0])], "vec_id long, embedding array<double>"))
     found = neighbours.search(neighbours.build(few), few.filter("vec_id % 50 = 0")).collect()

@@ -15,6 +15,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores behind it until ``df`` has no such column."""
+    have, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in have:
+            name += "_"
+        out.append(name)
+        have.add(name.lower())
+    return out
+
+
 def order_id(name: str = "doc_id") -> Column:
     """The id to order by, nulls last."""
     return F.coalesce(F.col(name).cast("long"), F.lit(NO_ID))
@@ -79,4 +90,4 @@ def binned(df: DataFrame, order: list[str], label: str, rows_per_bin: int = 200_
     return write_through(ranged.withColumn("_bin", F.spark_partition_id()), label)
 
 
-__all__ = ["NO_ID", "binned", "connected", "order_id", "running_sum", "scratch_path", "table", "write_through"]
+__all__ = ["NO_ID", "binned", "connected", "order_id", "running_sum", "scratch_path", "table", "unused", "write_through"]

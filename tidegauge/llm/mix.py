@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import binned, order_id, running_sum, table, write_through
+from tidegauge.llm.common import binned, order_id, running_sum, table, unused, write_through
 from tidegauge.llm.words import Words, mixed, slices
 
 #: Words of a block, slots of a shard, and the seed of draws and permutations.
@@ -185,12 +185,13 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, shard: int = SHARD, see
     Equal rows (same id and text) become one, with what was taken of each.
     """
     columns = docs.columns
-    _, taken = mix(docs, block, shard, seed)
-    spans = taken.groupBy("doc_id", "key").agg(F.sort_array(F.collect_list(F.struct("pass", "row", "start", "end"))).alias("_spans"))
-    spans = spans.select(F.col("doc_id").alias("_doc"), F.col("key").alias("_key"), "_spans")
-    hashed = docs.withColumn("_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    joined = hashed.join(spans, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_hash") == F.col("_key")))
-    joined = joined.dropDuplicates(["_doc", "_key"]).select(*columns, "_spans")
+    held, doc, key, own = unused(docs, "_spans", "_doc", "_key", "_hash")
+    _, taken = mix(docs.select("doc_id", "source", "text"), block, shard, seed)
+    spans = taken.groupBy("doc_id", "key").agg(F.sort_array(F.collect_list(F.struct("pass", "row", "start", "end"))).alias(held))
+    spans = spans.select(F.col("doc_id").alias(doc), F.col("key").alias(key), held)
+    hashed = docs.withColumn(own, F.xxhash64(F.coalesce("text", F.lit(""))))
+    joined = hashed.join(spans, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(own) == F.col(key)))
+    joined = joined.dropDuplicates([doc, key]).select(*columns, held)
     text, chars = columns.index("text"), columns.index("n_chars") if "n_chars" in columns else None
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

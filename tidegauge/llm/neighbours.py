@@ -4,8 +4,11 @@ Rows are dealt evenly to shards of at most SHARD rows, so copies spread over all
 distinct vectors: nodes are put in, in random order and in batches, by a greedy search of the graph so far, whose
 visited nodes are candidates; relaxed pruning keeps a candidate only while no kept one is ALPHA times nearer to
 it, so DEGREE diverse edges remain; edges are made both ways and pruned again. A second pass repeats this on the full
-graph. Queries, a stated set, are streamed in blocks of BLOCK and each block beam-searches every shard, BEAM
-candidates wide; the shards' nearest are merged in each task and then by query. Recall is measured in the tests.
+graph. Searches begin at the nearest of STARTS nodes that lie far from each other, and nodes that no path from these
+reaches get an edge from the nearest that one does, so that no cluster falls out of the graph. Queries, a stated
+set, are dealt into blocks of BLOCK; every pair of a block and a shard is a cell of its own, in which the
+block beam-searches the shard, BEAM candidates wide; the shards' nearest are merged by query. Recall is measured in
+the tests.
 
 Scores are cosines of the original vectors in double precision; ties go to the smaller id. A distinct vector keeps
 the k + 1 smallest of its ids, which is all that k answers can need. A vector that is null, empty, zero or holds
@@ -23,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import scratch_path, table, write_through
+from tidegauge.llm.common import table, write_through
 
 #: Rows of a shard, queries of a block.
 SHARD, BLOCK = 4096, 16384
@@ -31,6 +34,9 @@ SHARD, BLOCK = 4096, 16384
 #: Edges of a node, how much nearer a kept edge must be, and the widths of the searches that build and that ask.
 DEGREE, ALPHA, BUILD, BEAM = 24, 1.2, 40, 96
 
+#: Nodes that searches may begin at, and those that one begins at.
+STARTS, BEGIN = 128, 4
+
 #: Nodes that are put in together, and queries that walk together.
 _STEP, _WALK = 512, 512
 
@@ -50,30 +56,65 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 class Graph:
-    """The index of a shard: unit vectors, edges (rows of DEGREE nodes, -1 for none) and the node to start from."""
+    """The index of a shard: unit vectors, edges (rows of nodes, -1 for none) and the nodes to start from."""
 
     def __init__(self, unit: np.ndarray, seed: int = 5) -> None:
         self.unit, n = unit, len(unit)
         self.edges = np.full((n, DEGREE), -1, np.int32)
-        self.start = int(np.argmax(unit @ unit.mean(0)))
+        self.starts = self._spread(min(STARTS, n))
         order = np.random.default_rng(seed).permutation(n)
-        order = np.concatenate([[self.start], order[order != self.start]])
+        order = np.concatenate([self.starts, order[~np.isin(order, self.starts)]])
         for turn in range(2):
             at = 0
             while at < n:
                 step = _STEP if turn else min(_STEP, max(1, at))
                 self._insert(order[at : at + step])
                 at += step
-
-    def search(self, asked: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """The ``width`` nodes nearest to each unit vector that a beam search meets, best first (-1 for none), and their cosines."""
-        n = len(asked)
+        self._reach_all()
+
+    def _spread(self, count: int) -> np.ndarray:
+        """Nodes each as far as can be from those before it, beginning with the most central one."""
+        chosen = [int(np.argmax(self.unit @ self.unit.mean(0)))]
+        near = self.unit @ self.unit[chosen[0]]
+        while len(chosen) < count:
+            chosen.append(int(np.argmin(near)))
+            near = np.maximum(near, self.unit @ self.unit[chosen[-1]])
+        return np.unique(chosen)
+
+    def _reached(self) -> np.ndarray:
+        reached = np.zeros(len(self.unit), bool)
+        front = self.starts
+        while len(front):
+            reached[front] = True
+            nexts = np.unique(self.edges[front])
+            nexts = nexts[nexts >= 0]
+            front = nexts[~reached[nexts]]
+        return reached
+
+    def _reach_all(self) -> None:
+        """Give one edge more to the nodes nearest to those that no path reaches, until there are none."""
+        while not (reached := self._reached()).all():
+            inside, lost = np.flatnonzero(reached), np.flatnonzero(~reached)[:_STEP]
+            nearest = inside[np.argmax(self.unit[lost] @ self.unit[inside].T, axis=1)]
+            nearest, first = np.unique(nearest, return_index=True)
+            more = np.full((len(self.unit), 1), -1, np.int32)
+            more[nearest, 0] = lost[first]
+            self.edges = np.hstack([self.edges, more])
+
+    def search(self, asked: np.ndarray, width: int, visited: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ``width`` nodes nearest to each unit vector that a beam search meets, best first (-1 for none), and their cosines.
+
+        Each step's nodes (a column of one for each query, -1 for none) are added to ``visited``.
+        """
+        n, k = len(asked), min(BEGIN, len(self.starts))
         beam = np.full((n, width), -1, np.int32)
         near = np.full((n, width), -np.inf, np.float32)
         done = np.zeros((n, width), bool)
-        beam[:, 0], near[:, 0] = self.start, asked @ self.unit[self.start]
+        first = asked @ self.unit[self.starts].T
+        top = np.argsort(-first, axis=1, kind="stable")[:, :k]
+        beam[:, :k], near[:, :k] = self.starts[top], np.take_along_axis(first, top, 1)
         seen = np.zeros((n, len(self.unit)), bool)
-        seen[:, self.start] = True
+        seen[np.arange(n)[:, None], beam[:, :k]] = True
         live = np.arange(n)
         while len(live):
             open_ = (beam[live] >= 0) & ~done[live]
@@ -83,6 +124,10 @@ class Graph:
                 break
             pick = np.argmax(open_, 1)
             done[live, pick] = True
+            if visited is not None:
+                here = np.full((n, 1), -1, np.int32)
+                here[live, 0] = beam[live, pick]
+                visited.append(here)
             nexts = self.edges[beam[live, pick]]
             fresh = (nexts >= 0) & ~seen[live[:, None], nexts]
             seen[np.repeat(live, fresh.sum(1)), nexts[fresh]] = True
@@ -119,8 +164,9 @@ class Graph:
         return out
 
     def _insert(self, nodes: np.ndarray) -> None:
-        beam, _ = self.search(self.unit[nodes], BUILD)
-        self.edges[nodes] = self._pruned(nodes, np.hstack([beam, self.edges[nodes]]))
+        visited: list[np.ndarray] = []
+        beam, _ = self.search(self.unit[nodes], BUILD, visited)
+        self.edges[nodes] = self._pruned(nodes, np.hstack([beam, *visited, self.edges[nodes]]))
         source, target = np.repeat(nodes, DEGREE), self.edges[nodes].ravel()
         source, target = source[target >= 0], target[target >= 0]
         order = np.argsort(target, kind="stable")
@@ -158,13 +204,13 @@ class Shard:
         self.graph = Graph(_unit(self.values))
 
     def nearest(self, query_ids: np.ndarray, asked: np.ndarray, k: int, width: int = BEAM) -> tuple[np.ndarray, ...]:
-        """(query position, vec_id, score) of the ``k`` nearest rows found for each query."""
+        """(query position, vec_id, score) of the ``k`` nearest rows (at most those of the constructor) found for each query."""
         beam, _ = self.graph.search(_unit(asked), width)
         query, place = np.nonzero(beam >= 0)
         node = beam[query, place]
         of = self.values[node]
         score = cosines(asked[query], of)
-        query, score = np.repeat(query, k + 1), np.repeat(score, k + 1)
+        query, score = np.repeat(query, self.ids.shape[1]), np.repeat(score, self.ids.shape[1])
         ids, held = self.ids[node].ravel(), self.held[node].ravel()
         good = held & (ids != query_ids[query])
         return best(query[good], ids[good], score[good], k)
@@ -214,38 +260,33 @@ def build(rows: DataFrame, k: int = 5, size: int = SHARD) -> DataFrame:
 
 
 def search(index: DataFrame, queries: DataFrame, k: int = 5, width: int = BEAM, block: int = BLOCK) -> DataFrame:
-    """(query_id, rank, vec_id, score): the ``k`` nearest rows found for each row of ``queries`` (from ``vectors``)."""
-    spark = index.sparkSession
-    folder = scratch_path(spark, "neighbours-found")
-    schema = "query_id long, vec_id long, score double"
-    spark.createDataFrame([], schema).write.parquet(folder)
-
-    def ask(asked: dict[int, tuple[np.ndarray, np.ndarray]]) -> None:
-        shared = spark.sparkContext.broadcast(asked)
-
-        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for row in range(batch.num_rows):
-                    ids, values = shared.value.get(batch.column(0)[row].as_py(), (np.empty(0, np.int64), np.empty((0, 1))))
-                    shard = pickle.loads(batch.column(1)[row].as_buffer()) if len(ids) else None
-                    for at in range(0, len(ids), _WALK):
-                        query, found, score = shard.nearest(ids[at : at + _WALK], values[at : at + _WALK], k, width)
-                        arrays = [pa.array(ids[at : at + _WALK][query]), pa.array(found), pa.array(score)]
-                        yield pa.RecordBatch.from_arrays(arrays, names=["query_id", "vec_id", "score"])
-
-        index.repartition(max(1, shards)).mapInArrow(work, schema).write.mode("append").parquet(folder)
-        shared.unpersist()
-
-    shards, held, n = index.count(), {}, 0
-    for row in queries.dropDuplicates(["vec_id"]).toLocalIterator():
-        held.setdefault(len(row["embedding"]), []).append((row["vec_id"], row["embedding"]))
-        n += 1
-        if n == block:
-            ask({w: (np.array([r[0] for r in rs], np.int64), np.array([r[1] for r in rs])) for w, rs in held.items()})
-            held, n = {}, 0
-    if n:
-        ask({w: (np.array([r[0] for r in rs], np.int64), np.array([r[1] for r in rs])) for w, rs in held.items()})
-    found = spark.read.schema(schema).parquet(folder).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    """(query_id, rank, vec_id, score): the ``k`` nearest rows found for each row of ``queries`` (from ``vectors``).
+
+    A query id that repeats asks with the smallest of its vectors. A cell holds a shard and at most about ``block``
+    queries, whatever their number; both are read once for each cell they are in.
+    """
+    asked = queries.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    asked = write_through(asked.withColumn("width", F.size("embedding")), "neighbours-queries")
+    shards = write_through(index.withColumn("shard", F.monotonically_increasing_id()), "neighbours-shards")
+    blocks = asked.groupBy("width").agg(F.ceil(F.count(F.lit(1)) / block).alias("blocks"))
+    number = F.pmod(F.xxhash64("vec_id"), F.col("blocks")).alias("block")
+    keys = ["width", "shard", "block"]
+    numbers = shards.select("width", F.col("shard").alias("other"))
+    listed = asked.join(blocks, "width").select("width", number, "vec_id", "embedding").join(numbers, "width")
+    listed = listed.select(F.col("width").alias("width"), F.col("other").alias("shard"), F.col("block").alias("block"), "vec_id", "embedding")
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
+    held = shards.join(blocks, "width").select("width", "shard", each, "index")
+
+    def work(ours: pa.Table, shard: pa.Table) -> pa.Table:
+        lists, ids = ours.column("embedding").combine_chunks(), ours.column("vec_id").to_numpy()
+        values = lists.flatten().to_numpy().reshape(len(ids), -1)
+        found = pickle.loads(shard.column("index")[0].as_buffer())
+        parts = [found.nearest(ids[at : at + _WALK], values[at : at + _WALK], k, width) for at in range(0, len(ids), _WALK)]
+        query = np.concatenate([ids[at * _WALK :][part[0]] for at, part in enumerate(parts)])
+        return pa.table({"query_id": query, "vec_id": np.concatenate([p[1] for p in parts]), "score": np.concatenate([p[2] for p in parts])})
+
+    cells = listed.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInArrow(work, "query_id long, vec_id long, score double")
+    found = write_through(cells, "neighbours-found").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     nearest = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

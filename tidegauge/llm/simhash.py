@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidegauge.llm.common import connected, order_id, table, write_through
+from tidegauge.llm.common import connected, order_id, table, unused, write_through
 from tidegauge.llm.words import SPACE, Words, ragged, slices
 from tidegauge.llm.xx64 import digests
 
@@ -139,13 +139,14 @@ def classes(prints: DataFrame, max_bits: int = 2) -> DataFrame:
 
 def one_of_each(docs: DataFrame, width: int = 3, max_bits: int = 2) -> DataFrame:
     """One row of each component with its columns: the one with the smallest doc_id (null last), the first of equal ones."""
-    prints = fingerprints(docs, width=width, out="_fingerprint").withColumn("_row", F.monotonically_increasing_id())
+    own, number = unused(docs, "_fingerprint", "_row")
+    prints = fingerprints(docs, width=width, out=own).withColumn(number, F.monotonically_increasing_id())
     prints = write_through(prints, "simhash-docs")
-    keys = prints.select(F.col("_fingerprint").alias("fingerprint"), "doc_id", F.struct(order_id().alias("id"), F.col("_row").alias("row")).alias("first"))
+    keys = prints.select(F.col(own).alias("fingerprint"), "doc_id", F.struct(order_id().alias("id"), F.col(number).alias("row")).alias("first"))
     firsts = keys.groupBy("fingerprint").agg(F.min("first").alias("first"))
     found = firsts.join(classes(keys.select("fingerprint", "doc_id"), max_bits), "fingerprint")
-    kept = found.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("_row"))
-    return prints.join(kept, "_row", "left_semi").select(*docs.columns)
+    kept = found.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(number))
+    return prints.join(kept, number, "left_semi").select(*docs.columns)
 
 
 def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -54,7 +54,7 @@ def _valid(words: Words, length: int) -> np.ndarray:
 
 def winnowed(words: Words, base: int, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions and hashes of the ``base``-word windows that are least in some ``length``-word window."""
-    short = np.maximum(windows(words.hashes(), base), np.uint64(1))
+    short = np.maximum(windows(words.digests(1), base), np.uint64(1))
     width = length - base + 1
     if len(short) < width:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
@@ -120,8 +120,7 @@ def _longer(texts: DataFrame, base: int, before: int, length: int) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "text"):
                 words = Words(part.column(2))
-                hashes = words.hashes()
-                one, two = windows(hashes, length), windows(hashes, length, 1)
+                one, two = windows(words.digests(1), length), windows(words.digests(2), length, 1)
                 found = []
                 for i, at in enumerate(part.column(3)):
                     n = int(words.counts[i]) - length + 1

@@ -11,6 +11,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+from tidegauge.llm.xx64 import digests
+
 #: Bytes of text that are worked on together.
 CHUNK = 2 << 20
 
@@ -112,6 +114,10 @@ class Words:
             return np.empty(0, np.uint64)
         return mixed(runs(_BYTES[self.data], self.starts, self.ends, _BYTE_BASE) + (self.ends - self.starts).astype(np.uint64))
 
+    def digests(self, seed: int) -> np.ndarray:
+        """XXH64 of each word: what no texts can be made to share, and independent for each seed."""
+        return digests(self.data.tobytes(), self.starts, self.ends - self.starts, seed)
+
     def text_of_word(self) -> np.ndarray:
         """The index of each word's text."""
         return np.repeat(np.arange(len(self.counts)), self.counts)
