@@ -92,6 +92,17 @@ def test_manifest_equals_brute_force(spark, tmp_path):
     assert manifest_of(spark, str(tmp_path), rows) == brute_manifest(rows)
 
 
+def test_the_sql_gives_the_same(tmp_path, spark):
+    import duckdb
+
+    rows = [(i, f"s{i % 3}", ["en", "de", None, "é"][i % 7 % 4], i, f"Text É {i}") for i in range(0, 900, 3)] + [(None, None, "en", None, None)]
+    spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string").write.parquet(f"{tmp_path}/d")
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/d/*.parquet'")
+    found = db.execute(f"SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, verified FROM ({manifest.ORACLE_SQL})").fetchall()
+    assert Counter(found) == brute_manifest(rows)
+
+
 def test_manifest_of_lone_leaves_and_of_none(spark, tmp_path):
     rows = [(1, "s", "b", 1, "A"), (2, "s", "a", 1, "B"), (3, "s", "é", 1, "C")]
     assert manifest_of(spark, str(tmp_path / "lone"), rows) == brute_manifest(rows)

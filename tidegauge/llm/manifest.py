@@ -238,6 +238,51 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
 
 
+def _sql() -> str:
+    """The manifest in DuckDB: levels by recursion, and CRC-32 bit by bit (its fixed value is the reflected polynomial)."""
+
+    def fields(text: str) -> str:
+        named = [*FIELDS[:-1], text]
+        return " || ".join(f"CASE WHEN {f} IS NULL THEN '-' ELSE strlen(CAST({f} AS VARCHAR)) || ':' || {f} END" for f in named)
+
+    def tree(name: str, start: str) -> str:
+        return f"""{name}(grp, lvl, pos, total, h) AS (SELECT {start}
+  UNION ALL SELECT grp, lvl + 1, pos // {FAN}, (total + {FAN - 1}) // {FAN}, sha256(string_agg(h, '' ORDER BY pos)) FROM {name}
+  WHERE total > 1 GROUP BY grp, lvl, total, pos // {FAN})"""
+
+    def beside(name: str, tier: int) -> str:
+        run = f"PARTITION BY grp, lvl, pos // {FAN} ORDER BY pos ROWS BETWEEN"
+        return f"""SELECT {tier} + lvl AS lvl, grp, pos, coalesce(string_agg(h, '') OVER before, '') AS l, coalesce(string_agg(h, '') OVER after, '') AS r
+  FROM {name} WHERE total > 1 WINDOW before AS ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), after AS ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING)"""
+
+    lower = f"translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+    crc = """xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+      lambda x, unused: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)), 4294967295)"""
+    return f"""WITH RECURSIVE leaves AS (SELECT doc_id, lang, coalesce('+' || lang, '') AS grp, sha256({fields("text")}) AS leaf,
+  CASE WHEN {crc} % 3 = 0 THEN sha256({fields(lower)}) END AS changed FROM documents),
+placed AS (SELECT *, row_number() OVER () AS id, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS LAST, leaf) - 1 AS pos,
+  count(*) OVER (PARTITION BY grp) AS total FROM leaves),
+{tree("tree", "grp, 0, pos, total, leaf FROM placed")},
+subroots AS (SELECT grp, h, row_number() OVER (ORDER BY grp) - 1 AS pos, count(*) OVER () AS total FROM tree WHERE total = 1),
+{tree("top", "'' AS grp, 0, pos, total, h FROM subroots")},
+beside AS ({beside("tree", 0)}), above AS ({beside("top", 1000)}),
+steps AS (SELECT id, lvl, l, r FROM placed p JOIN beside b ON b.grp = p.grp AND b.pos = CAST(floor(p.pos / power({FAN}, lvl)) AS BIGINT)
+  UNION ALL SELECT id, lvl, l, r FROM placed p JOIN subroots s ON s.grp = p.grp
+  JOIN above a ON a.pos = CAST(floor(s.pos / power({FAN}, lvl - 1000)) AS BIGINT)),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY lvl) AS k FROM steps),
+proofs AS (SELECT id, sha256(string_agg(l || r, '' ORDER BY k)) AS proof FROM numbered GROUP BY id),
+fold(id, k, h) AS (SELECT id, 0, coalesce(changed, leaf) FROM placed
+  UNION ALL SELECT f.id, f.k + 1, sha256(l || h || r) FROM fold f JOIN numbered n ON n.id = f.id AND n.k = f.k + 1),
+folded AS (SELECT id, arg_max(h, k) AS h FROM fold GROUP BY id)
+SELECT p.doc_id, p.leaf, s.h AS subroot, t.h AS root, coalesce(proof, sha256('')) AS proof_sha256, f.h AS folded_root, f.h = t.h AS verified
+FROM placed p JOIN subroots s ON s.grp = p.grp JOIN top t ON t.total = 1 JOIN folded f ON f.id = p.id LEFT JOIN proofs q ON q.id = p.id"""
+
+
+#: What ``op12_merkle_manifest`` gives.
+ORACLE_SQL = _sql()
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The manifest of all documents, and what folding shows where A-Z of every third text were lower-cased."""
     chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0

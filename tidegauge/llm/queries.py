@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidegauge.llm.alignment import op11_token_alignment
 from tidegauge.llm.decontaminate import op5_benchmark_decontamination
+from tidegauge.llm.manifest import ORACLE_SQL as MANIFEST_SQL
 from tidegauge.llm.manifest import op12_merkle_manifest
 from tidegauge.llm.mix import op1_source_mix
 from tidegauge.llm.neighbours import op3_nearest_neighbours
@@ -36,4 +37,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_embedding_dedup": op13_embedding_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op12_merkle_manifest": MANIFEST_SQL}
