@@ -17,7 +17,8 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="needs the tes
 def db():
     connection = duckdb.connect()
     connection.execute("SET TimeZone = 'UTC'")
-    connection.execute(f"CREATE VIEW events AS SELECT * FROM '{SF_DIR}/events.parquet'")
+    for file in os.listdir(SF_DIR):
+        connection.execute(f"CREATE VIEW {file.removesuffix('.parquet')} AS SELECT * FROM '{SF_DIR}/{file}'")
     return connection
 
 

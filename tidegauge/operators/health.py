@@ -178,13 +178,21 @@ def histogram_quantile(
 
     ``le`` is the upper bound as text, ``+Inf`` last. Counts are summed by bound first, so each
     group's list has one entry per bound of the histogram. A quantile in the last bucket gives the
-    highest finite bound; the first bucket starts at zero if its bound is positive.
+    highest finite bound; the first bucket starts at zero if its bound is positive. Counts that fall from one
+    bound to the next, as rates do whose restarts some bounds did not show, stay at what they had reached.
     """
     bound = F.when(F.col(le) == "+Inf", F.lit(float("inf"))).otherwise(F.col(le).cast("double"))
     summed = buckets.groupBy(*by, bound.alias("_le")).agg(F.sum(value).alias("_count"))
     groups = summed.groupBy(*by).agg(
         F.sort_array(F.collect_list(F.struct("_le", "_count"))).alias("_h")
     )
+    reached = F.transform(
+        "_h",
+        lambda b, i: F.struct(
+            b["_le"].alias("_le"), F.array_max(F.transform(F.slice("_h", F.lit(1), i + 1), lambda x: x["_count"])).alias("_count")
+        ),
+    )
+    groups = groups.withColumn("_h", reached)
     groups = groups.withColumn("_rank", F.element_at("_h", -1)["_count"] * q)
     index = F.array_position(
         F.transform("_h", lambda b: b["_count"] >= F.col("_rank")), F.lit(True)

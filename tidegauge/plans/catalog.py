@@ -1058,8 +1058,9 @@ samples AS (SELECT "table", le, bound, ms, sum(n) OVER (PARTITION BY "table", le
     f"""WITH {_LATENCY_SAMPLES_SQL},
 ranged AS (SELECT *, CAST(ceil(ms / 900000.0) AS BIGINT) + h AS n FROM samples, (SELECT unnest(generate_series(0, 7)) AS h)),
 steps AS (SELECT *, lag(value) OVER (PARTITION BY "table", le, n ORDER BY ms) AS previous FROM ranged),
-rates AS (SELECT "table", bound, n, sum(CASE WHEN value < previous THEN value ELSE value - previous END) / ((max(ms) - min(ms)) / 1000.0) AS c
+fallen AS (SELECT "table", bound, n, sum(CASE WHEN value < previous THEN value ELSE value - previous END) / ((max(ms) - min(ms)) / 1000.0) AS c
   FROM steps GROUP BY ALL HAVING count(*) > 1 AND max(ms) > min(ms)),
+rates AS (SELECT "table", bound, n, max(c) OVER (PARTITION BY "table", n ORDER BY bound) AS c FROM fallen),
 ranked AS (SELECT *, lag(c, 1, 0) OVER w AS c0, lag(bound, 1, 0) OVER w AS b0, max(c) OVER (PARTITION BY "table", n) AS total FROM rates
   WINDOW w AS (PARTITION BY "table", n ORDER BY bound)),
 hit AS (SELECT *, row_number() OVER (PARTITION BY "table", n ORDER BY bound) AS k FROM ranked WHERE c >= 0.99 * total)
