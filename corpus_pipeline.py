@@ -20,6 +20,10 @@ from tidegauge.llm.toxicity import fit, without_toxic
 from tidegauge.llm.vocab import public
 
 
+#: Different pieces of text that a worker of the last stage keeps encoded.
+REMEMBERED = 400_000
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the ordinal model, fitted on the labelled ones among them, does not call toxic."""
     return without_toxic(docs, fit(docs, table(spark, sf_dir, "labels")))
@@ -43,7 +47,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of each document in the token store."""
     folder = scratch_path(spark, "pipeline-store")
-    write_store(docs, folder, public("word_bpe_49k.json"))
+    # the workers still hold what the stages before needed
+    write_store(docs, folder, public("word_bpe_49k.json"), remembered=REMEMBERED)
     return stored_documents(spark, folder)
 
 

@@ -66,8 +66,8 @@ def segments(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
 class Vocabulary:
     """A tokenizer file (``.json`` for tokenizers, ``.model`` for sentencepiece), without special tokens added."""
 
-    def __init__(self, path: str) -> None:
-        self.path = path
+    def __init__(self, path: str, remembered: int = REMEMBERED) -> None:
+        self.path, self.remembered = path, remembered
         if path.endswith(".model"):
             import sentencepiece
 
@@ -121,7 +121,7 @@ class Vocabulary:
 
     def _places(self, distinct: list[str]) -> np.ndarray:
         """The number under which each word is remembered; new words are encoded."""
-        if len(self.places) + len(distinct) > REMEMBERED:
+        if len(self.places) + len(distinct) > self.remembered:
             self._forget()
         new = [w for w in distinct if w not in self.places]
         if new:
@@ -186,9 +186,9 @@ class Vocabulary:
 
 
 @cache
-def vocabulary(path: str) -> Vocabulary:
+def vocabulary(path: str, remembered: int = REMEMBERED) -> Vocabulary:
     """One per worker process."""
-    return Vocabulary(path)
+    return Vocabulary(path, remembered)
 
 
 def public(name: str) -> str:
