@@ -236,6 +236,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, most: int = BLOCK_WORDS) ->
     return found.groupBy("row", "doc_id", "item_id").agg(best).select("row", "doc_id", "item_id", "best.*")
 
 
+#: Bytes of text that ``clean`` works on together: its workers go on to other stages.
+SLICE = 1 << 19
+
+
 def clean(docs: DataFrame, benchmark: DataFrame, most: int = BLOCK_WORDS) -> DataFrame:
     """The rows of ``docs`` that overlap no item, with their columns; between blocks what is left is a table."""
     text = docs.columns.index("text")
@@ -246,7 +250,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, most: int = BLOCK_WORDS) -> Dat
 
         def work(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for part in slices(batch, "text"):
+                for part in slices(batch, "text", SLICE):
                     words = Words(plain(part.column(text)))
                     keep = np.ones(part.num_rows, bool)
                     keep[shared.value.overlaps(words.hashes(), words.first)[0]] = False

@@ -207,6 +207,10 @@ def score(docs: DataFrame, model: Severity | None, cut: float = CUT) -> DataFram
     return docs.mapInArrow(work, StructType([*docs.schema.fields, *more]))
 
 
+#: Bytes of text that ``without_toxic`` works on together: its workers go on to other stages.
+SLICE = 1 << 19
+
+
 def without_toxic(docs: DataFrame, model: Severity | None, cut: float = CUT) -> DataFrame:
     """The rows of ``docs`` that ``score`` does not call toxic, with their columns."""
     if model is None:
@@ -216,7 +220,7 @@ def without_toxic(docs: DataFrame, model: Severity | None, cut: float = CUT) ->
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 yield part.filter(pa.array(shared.value.above(part.column(text))[:, 0] < cut))
 
     return docs.mapInArrow(work, docs.schema)
