@@ -9,6 +9,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidegauge.llm import common, mix, rans, simhash, substring, tokencount
@@ -100,6 +101,43 @@ def test_links_at_exactly_two_bits_and_chains(spark):
     assert [found[p] for p in signed] == components(prints, range(len(prints)))
 
 
+def crowded(seed=7):
+    """Fingerprints of which many share a segment, some a whole neighbourhood, and some are far from all others."""
+    draw = random.Random(seed)
+    low, high = draw.getrandbits(32), draw.getrandbits(32) << 32
+    prints = {low | draw.getrandbits(32) << 32 for _ in range(60)} | {high | draw.getrandbits(32) for _ in range(60)}
+    prints |= {low | high ^ (1 << i) ^ (1 << j) for i in range(0, 64, 5) for j in range(0, 64, 7)}
+    prints |= {p ^ (1 << draw.randrange(64)) ^ (1 << draw.randrange(64)) for p in list(prints)[::3]}
+    return sorted(prints | {draw.getrandbits(64) for _ in range(40)})
+
+
+@pytest.mark.parametrize("bits", [0, 1, 2])
+@pytest.mark.parametrize("bucket", [1, 4, 1000])
+def test_links_of_shared_segments_split_or_not(spark, bits, bucket):
+    prints = crowded()
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    found = simhash.links(spark.createDataFrame([(p,) for p in signed], "fingerprint long"), bits, bucket).collect()
+    close = {(min(a, b), max(a, b)) for i, a in enumerate(signed) for b in signed[:i] if ((a ^ b) & ((1 << 64) - 1)).bit_count() <= bits}
+    links = {(r.a, r.b) for r in found}
+    assert links <= close and len(links) == len(found)
+    if bucket == 1000:
+        assert links == close
+    ids = range(len(prints))
+    place = {p: i for i, p in enumerate(signed)}
+    root = list(ids)
+    for _ in ids:
+        for a, b in links:
+            root[place[a]] = root[place[b]] = min(root[place[a]], root[place[b]])
+    assert root == components(prints, ids, bits)
+
+
+def test_a_table_for_each_segment(spark):
+    assert simhash.radii(2) == [1, 0] and simhash.radii(1) == [0, 0] and simhash.radii(3) == [1, 1] and simhash.radii(0) == [0, -1]
+    keys = spark.range(1).select(simhash.segment_keys(F.lit(-2).cast("long"), [1, 0]).alias("k")).first().k
+    ball = {0xFFFFFFFE ^ flip for flip in [0, *(1 << i for i in range(32))]}
+    assert len(keys) == 34 and set(keys) == ball | {1 << 32 | 0xFFFFFFFF}
+
+
 def without_repeats(rows, length=50):
     first = {}
     words = [WORD.findall(text or "") for _, _, text in rows]

@@ -1,10 +1,14 @@
 """SimHash near-duplicates by multi-index hashing.
 
-A fingerprint has 64 bits, in two segments of 32. For every fingerprint the small Hamming ball of each segment
-is enumerated (the other segment unchanged) and looked up in the table of all such keys; the matches of a key
-are verified on the complete fingerprint. Two fingerprints at 2 bits or fewer always share a key: the one half
-way between them. A key is shared by at most 65 different fingerprints (those one bit from it), so no bucket
-grows with the data, and copies meet once, as one fingerprint.
+A fingerprint has 64 bits, in two segments of 32, and each segment has a table: its values, and the fingerprints
+that hold them there. Of two fingerprints at 2 bits or fewer, the first segments are at 1 bit or equal, or the second
+ones are equal. So every fingerprint looks up the 33 values of the Hamming ball around its first segment in the first
+table and its second segment in the second, and what it meets is verified on the complete fingerprint. Copies meet
+once, as one fingerprint.
+
+A value that more than BUCKET fingerprints share would let each of them meet all others. Its bucket is split: the
+fingerprints that look it up meet by whole values one bit from them (65 keys each) instead. Two fingerprints at 2 bits
+or fewer share such a key, and a key has at most 65 of them, so no bucket grows with the data and no link is lost.
 
 Nulls and empty texts have the fingerprint zero and are linked like any other. Rows may repeat: each row gets
 its answer. A null doc_id takes part, but a component is named by its smallest non-null doc_id (null if it has
@@ -28,9 +32,12 @@ from tidegauge.llm.xx64 import digests
 #: The seed of the shingle hash.
 SEED = 42
 
-#: Fingerprints whose keys are enumerated in one task; each has 65.
+#: Fingerprints whose keys are enumerated in one task; each has 34, or 65.
 PRINTS_PER_TASK = 20_000
 
+#: Fingerprints that may share a segment's value before its bucket is split.
+BUCKET = 64
+
 
 def _joined(words: Words) -> tuple[bytes, np.ndarray, np.ndarray]:
     """All texts with one space behind each word, and where each word begins and ends there."""
@@ -93,32 +100,70 @@ def fingerprints(docs: DataFrame, text: str = "text", width: int = 3, out: str =
     return docs.mapInArrow(work, schema)
 
 
-def ball(fingerprint: Column, segments: int = 2) -> Column:
-    """The fingerprint and every value one bit from it, segment by segment."""
-    size = 64 // segments
-    keys = [F.array(fingerprint)]
-    for segment in range(segments):
-        low = segment * size
-        keys.append(F.transform(F.sequence(F.lit(low), F.lit(low + size - 1)), lambda i: fingerprint.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), i))))
+def radii(max_bits: int, segments: int = 2) -> list[int]:
+    """The radius to search in each segment, -1 for none, so that no pair at ``max_bits`` or fewer is missed."""
+    whole, more = divmod(max_bits, segments)
+    return [whole if segment <= more else whole - 1 for segment in range(segments)]
+
+
+def near_values(value: Column, bits: int, radius: int) -> Column:
+    """The array of all values at ``radius`` (0 or 1) bits or fewer from the lowest ``bits`` of ``value``."""
+    if not radius:
+        return F.array(value)
+    flips = F.transform(F.sequence(F.lit(0), F.lit(bits - 1)), lambda i: value.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), i)))
+    return F.concat(F.array(value), flips)
+
+
+def segment_keys(fingerprint: Column, radius: list[int]) -> Column:
+    """The keys, segment number and value in one long, of the ball around each segment; none where its radius is -1."""
+    bits = 64 // len(radius)
+    keys = []
+    for segment, r in enumerate(radius):
+        value = F.shiftrightunsigned(fingerprint, segment * bits).bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
+        number = F.lit(segment << bits).cast("long")
+        if r >= 0:
+            keys.append(near_values(value.bitwiseOR(number), bits, r))
     return F.concat(*keys)
 
 
-def links(distinct: DataFrame, max_bits: int = 2) -> DataFrame:
+def links(distinct: DataFrame, max_bits: int = 2, bucket: int = BUCKET) -> DataFrame:
     """Links (a, b) that join all distinct ``fingerprint`` values at ``max_bits`` (at most 2) or fewer.
 
-    Of the matches of one key (65 at most) each is linked to the smallest, after the complete distance is
-    verified; all matches of a key are within 2 bits of each other, so this connects what all pairs would.
-    With ``max_bits`` 1 the key itself must be a fingerprint, and its matches are linked to it.
+    Every link has ``max_bits`` or fewer. Pairs of unsplit buckets are all there, those of split ones as ``whole_links`` has them.
     """
     if max_bits not in (0, 1, 2):
         raise ValueError("max_bits must be 0, 1 or 2")
     tasks = max(1, -(-distinct.count() // PRINTS_PER_TASK))
     dealt = distinct.select("fingerprint").repartition(tasks, "fingerprint")
-    keys = dealt.select(F.col("fingerprint").alias("b"), F.explode(ball(F.col("fingerprint"))).alias("key"))
+    radius, own = radii(max_bits), F.col("fingerprint")
+    probes = dealt.select(own.alias("a"), F.explode(segment_keys(own, radius)).alias("key"))
+    entries = dealt.select(own.alias("b"), F.explode(segment_keys(own, [min(r, 0) for r in radius])).alias("key"))
+    sizes = entries.groupBy("key").agg(F.count("*").alias("n"))
+    hot = write_through(sizes.filter(F.col("n") > bucket).select("key"), "simhash-hot")
+    some = bool(hot.head(1))
+    if some:
+        entries = entries.join(hot, "key", "left_anti")
+    met = probes.join(entries, "key").select("a", "b")
+    found = met.filter((F.col("a") != F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits))
+    if some:
+        again = probes.join(hot, "key", "left_semi").select(F.col("a").alias("fingerprint")).distinct()
+        found = found.union(whole_links(again, max_bits))
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def whole_links(distinct: DataFrame, max_bits: int) -> DataFrame:
+    """Links as of ``links``, found by all 64 bits at once: by the 65 values one bit or fewer from each fingerprint.
+
+    Of the matches of one key (65 at most) each is linked to the smallest, after the complete distance is
+    verified; all matches of a key are within 2 bits of each other, so this connects what all pairs would.
+    With ``max_bits`` 1 the key itself must be a fingerprint, and its matches are linked to it.
+    """
+    own = F.col("fingerprint")
+    keys = distinct.select(own.alias("b"), F.explode(near_values(own, 64, min(max_bits, 1))).alias("key"))
     matches = keys.groupBy("key").agg(F.collect_list("b").alias("matches")).filter(F.size("matches") > 1)
     centre = F.array_min("matches") if max_bits != 1 else F.when(F.array_contains("matches", F.col("key")), F.col("key"))
     pairs = matches.select(centre.alias("a"), F.explode("matches").alias("b"))
-    return pairs.filter((F.col("a") != F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)).distinct()
+    return pairs.filter((F.col("a") != F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits))
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, max_bits: int = 2) -> DataFrame:
