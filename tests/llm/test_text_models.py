@@ -2,8 +2,11 @@
 
 import itertools
 import random
+import tracemalloc
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidegauge.llm import decontaminate, quality, toxicity
@@ -81,6 +84,66 @@ def test_quality_on_rows_not_learnt_from(corpus):
     assert right / len(apart) >= 0.95
 
 
+def test_vectors_come_from_all_texts(spark, corpus):
+    """Labelled rows alone do not make the vectors: texts without labels do as well."""
+    docs, labels = corpus
+    plain_docs = docs.select("doc_id", "text")
+    some = labels.filter("doc_id < 160")
+    more = spark.createDataFrame([(5000 + i, "ta unheard " * 40) for i in range(50)], "doc_id long, text string")
+    before, after = quality.fit(plain_docs, some)[0], quality.fit(plain_docs.union(more), some)[0]
+    word = quality.tokens(pa.array(["unheard"]))[0][1:]
+    assert word not in before.words and word in after.words
+    near = quality.tokens(pa.array(["ta"]))[0][1:]
+    assert not np.allclose(before.vectors[before.number(near)], after.vectors[after.number(near)])
+
+
+def test_contexts_equal_neighbours_counted_one_by_one(spark):
+    texts = ["Ab cd ab, x9", "", None, "cd", "ab ab cd 77 ab"]
+    table = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    streams = [h.tolist() for t in texts for h in [quality.tokens(pa.array([t], pa.string()))[0]]]
+    words = np.unique(np.array([h for s in streams for h in s], np.uint64))[::2]
+    want = np.zeros((len(words) + 1, quality.WIDTH))
+    place = {h: i for i, h in enumerate(words.tolist())}
+    for stream in streams:
+        for i, h in enumerate(stream):
+            for j in range(max(0, i - quality.REACH), min(len(stream), i + quality.REACH + 1)):
+                if i != j:
+                    want[place.get(h, len(words))] += quality.index_vectors(np.array([stream[j]], np.uint64))[0]
+    assert np.array_equal(quality.contexts(table, words), want)
+    counted = {r.token % (1 << 64): r.n for r in quality.token_counts(table).collect()}
+    assert counted == Counter(h for s in streams for h in s)
+    assert not quality.contexts(table.limit(0), words).any()
+
+
+def test_pooled_features_are_means_of_vectors(monkeypatch):
+    texts = [prose(1, 50), None, "", "a a a b", prose(2, 400), "zz"]
+    hashes = np.unique(np.concatenate([quality.tokens(pa.array([t]))[0] for t in texts[3:5]]))
+    vectors = np.random.default_rng(3).normal(size=(len(hashes) + 1, quality.WIDTH)).astype(np.float32)
+    pooling = quality.Pooling(hashes, vectors)
+    for piece in (1, 7, quality.PIECE):
+        monkeypatch.setattr(quality, "PIECE", piece)
+        found = pooling.pooled(pa.array(texts, pa.string()))
+        for text, row in zip(texts, found):
+            own = quality.tokens(pa.array([text], pa.string()))[0]
+            few = np.unique(own)
+            want = [vectors[pooling.number(x)].astype(float).mean(0) if len(x) else np.zeros(quality.WIDTH) for x in (own, few)]
+            assert np.allclose(row, [*want[0], *want[1], len(few) / max(len(own), 1), np.log1p(len(own))], atol=1e-9)
+
+
+def test_equal_words_meet_in_bounded_memory():
+    """8,000 equal words against an item of 2,000: 16 million hits a seed, on 10,000 diagonals."""
+    same = np.full(2000, 77, np.uint64)
+    block = decontaminate.Block([(1, same, 0, len(same))])
+    tracemalloc.start()
+    text, item, start, end, equal = block.overlaps(np.full(8000, 77, np.uint64), np.array([0, 8000]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150 << 20
+    # every diagonal with 13 words side by side in the item and the text holds an overlap
+    assert len(text) == 8000 + 2000 + 1 - 2 * decontaminate.SPAN and not text.any()
+    assert np.array_equal(end - start, equal)
+
+
 def brute(doc, item):
     """The most equal words of any window on any diagonal, by trying all."""
     a, b = doc.lower().replace(",", " ").split(), item.lower().replace(",", " ").split()

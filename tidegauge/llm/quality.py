@@ -8,9 +8,9 @@ tokens' vectors, the mean over its distinct tokens, the share of distinct tokens
 number, so word order outside the learnt vectors does not matter and every token of a long text counts.
 
 A two-layer numpy network is fitted on three quarters of the examples; one temperature, chosen on the rest, makes
-its scores probabilities. Examples are at most FIT_ROWS rows of each class (whole texts); the vectors are
-learnt from the same rows, the VOCABULARY most frequent tokens having one each. Tokens outside it share one vector.
-Inputs are texts alone.
+its scores probabilities. Examples are at most FIT_ROWS rows of each class (whole texts). The vectors need no labels:
+tokens are counted, and their neighbours added up, over the texts of all documents. The VOCABULARY most frequent
+tokens have a vector each, all others share one. Inputs are texts alone.
 
 Null and empty texts have no tokens: their pooled vector is zero and they get the score of that. Without examples
 of both classes every score is 0.5. Rows may repeat and ids may be null; each row is scored. An empty table gives an
@@ -37,6 +37,9 @@ VOCABULARY, WIDTH, SIGNS, REACH = 8192, 64, 4, 2
 #: Hidden units, passes over the examples, rows of a step, the seed, and the score of a good text.
 HIDDEN, PASSES, STEP_ROWS, SEED, CUT = 48, 60, 128, 11, 0.7
 
+#: Distinct tokens of texts whose vectors are gathered together.
+PIECE = 1 << 15
+
 _SHAPE = np.arange(256, dtype=np.uint8)
 for _low, _high, _sign in ((0x30, 0x3A, 0x39), (0x41, 0x5B, 0x41), (0x61, 0x7B, 0x61)):
     _SHAPE[_low:_high] = _sign
@@ -67,13 +70,18 @@ def _signs(data: np.ndarray) -> np.ndarray:
     return mixed(data.astype(np.uint64) + np.uint64(1))
 
 
+def index_entries(hashes: np.ndarray, turn: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the sparse random vector of each hash has its entry of that turn, and the entry: +1 or -1."""
+    drawn = mixed(hashes + np.uint64(turn * 0x51ED27))
+    return ((drawn >> np.uint64(8)) % np.uint64(WIDTH)).astype(np.int64), np.where(drawn & np.uint64(1), 1.0, -1.0)
+
+
 def index_vectors(hashes: np.ndarray) -> np.ndarray:
-    """The sparse random vector of each hash: SIGNS entries of +1 or -1."""
+    """The sparse random vector of each hash: SIGNS entries."""
     out = np.zeros((len(hashes), WIDTH), np.float32)
-    at = np.arange(len(hashes))
     for turn in range(SIGNS):
-        drawn = mixed(hashes + np.uint64(turn * 0x51ED27))
-        out[at, (drawn >> np.uint64(8)) % np.uint64(WIDTH)] += np.where(drawn & np.uint64(1), 1.0, -1.0)
+        place, entry = index_entries(hashes, turn)
+        out[np.arange(len(hashes)), place] += entry
     return out
 
 
@@ -99,12 +107,17 @@ class Pooling:
         fresh = np.ones(len(own), bool)
         fresh[1:] = (own[1:] != own[:-1]) | (of[1:] != of[:-1])
         distinct = np.bincount(of[fresh], minlength=len(counts))
-        number = self.number(own)
-        out = np.zeros((len(counts), 2 * WIDTH + 2), np.float32)
-        for d in range(WIDTH):
-            values = self.vectors[number, d]
-            out[:, d] = np.bincount(of, values, len(counts)) / np.maximum(counts, 1)
-            out[:, WIDTH + d] = np.bincount(of[fresh], values[fresh], len(counts)) / np.maximum(distinct, 1)
+        out = np.zeros((len(counts), 2 * WIDTH + 2))
+        heads = np.flatnonzero(fresh)
+        times = np.diff(np.append(heads, len(own)))
+        number, of = self.number(own[heads]), of[heads]
+        for at in range(0, len(heads), PIECE):
+            vectors, texts = self.vectors[number[at : at + PIECE]].astype(np.float64), of[at : at + PIECE]
+            begins = np.flatnonzero(np.diff(texts, prepend=-1))
+            out[texts[begins], WIDTH : 2 * WIDTH] += np.add.reduceat(vectors, begins)
+            out[texts[begins], :WIDTH] += np.add.reduceat(vectors * times[at : at + PIECE, None], begins)
+        out[:, :WIDTH] /= np.maximum(counts, 1)[:, None]
+        out[:, WIDTH : 2 * WIDTH] /= np.maximum(distinct, 1)[:, None]
         out[:, -2] = distinct / np.maximum(counts, 1)
         out[:, -1] = np.log1p(counts)
         return out
@@ -152,7 +165,7 @@ class Network:
         self.temperature = float(tried[int(np.argmin(losses))])
 
 
-def token_counts(sample: DataFrame) -> DataFrame:
+def token_counts(docs: DataFrame) -> DataFrame:
     """(token, n): counted in each task before the shuffle."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,32 +174,35 @@ def token_counts(sample: DataFrame) -> DataFrame:
                 each, n = np.unique(tokens(part.column(0))[0], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(each.view(np.int64)), pa.array(n.astype(np.int64))], names=["token", "n"])
 
-    return sample.select("text").mapInArrow(work, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(work, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+
 
+def contexts(docs: DataFrame, words: np.ndarray) -> np.ndarray:
+    """For each of the words, and for all others as one, the sum of its neighbours' index vectors in all texts.
 
-def contexts(sample: DataFrame, words: np.ndarray) -> np.ndarray:
-    """For each of the words, and for all others as one, the sum of its neighbours' index vectors."""
+    A task adds up its own rows and passes on one row for each word. All sums are whole numbers, so their order is free.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Pooling(words, np.empty(0))
-        sums = np.zeros((len(words) + 1, WIDTH))
+        sums = np.zeros((len(words) + 1) * WIDTH)
         for batch in batches:
             for part in slices(batch, "text"):
                 hashes, first = tokens(part.column(0))
-                number = own.number(hashes)
-                vectors = index_vectors(hashes)
+                number = own.number(hashes) * WIDTH
                 text = np.repeat(np.arange(len(first) - 1), np.diff(first))
-                for step in range(1, REACH + 1):
-                    left = np.flatnonzero(text[:-step] == text[step:])
-                    for d in range(WIDTH):
-                        column = vectors[:, d]
-                        sums[:, d] += np.bincount(number[left], column[left + step], len(sums))
-                        sums[:, d] += np.bincount(number[left + step], column[left], len(sums))
-        some = np.flatnonzero(np.abs(sums).sum(1))
-        values = pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1) * WIDTH, pa.int32()), pa.array(sums[some].ravel()))
+                left = [np.flatnonzero(text[:-step] == text[step:]) for step in range(1, REACH + 1)]
+                for turn in range(SIGNS):
+                    place, entry = index_entries(hashes, turn)
+                    for step, at in enumerate(left, 1):
+                        sums += np.bincount(number[at] + place[at + step], entry[at + step], len(sums))
+                        sums += np.bincount(number[at + step] + place[at], entry[at], len(sums))
+        table = sums.astype(np.int64).reshape(-1, WIDTH)
+        some = np.flatnonzero(table.any(1))
+        values = pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1) * WIDTH, pa.int32()), pa.array(table[some].ravel()))
         yield pa.RecordBatch.from_arrays([pa.array(some), values], names=["number", "sums"])
 
-    parts = sample.select("text").mapInArrow(work, "number long, sums array<double>")
+    parts = docs.select("text").mapInArrow(work, "number long, sums array<long>")
     added = parts.groupBy("number").agg(F.array(*[F.sum(F.col("sums")[d]) for d in range(WIDTH)]).alias("sums"))
     out = np.zeros((len(words) + 1, WIDTH))
     for row in added.toLocalIterator():
@@ -195,15 +211,15 @@ def contexts(sample: DataFrame, words: np.ndarray) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = FIT_ROWS) -> tuple[Pooling, Network] | None:
-    """Vectors and network of the labelled rows of ``docs``; None without examples of both classes."""
+    """Vectors of all ``docs`` and the network of the labelled ones; None without examples of both classes."""
     sample = write_through(labelled(docs, labels, label, rows).repartition(16, "doc_id"), "quality-sample")
     sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     if len(sizes) < 2:
         return None
-    common = token_counts(sample).filter("n > 1").orderBy(F.desc("n"), "token").limit(VOCABULARY).collect()
+    common = token_counts(docs).filter("n > 1").orderBy(F.desc("n"), "token").limit(VOCABULARY).collect()
     words = np.sort(np.array([r["token"] for r in common], np.int64).view(np.uint64))
     own = np.vstack([index_vectors(words), np.zeros((1, WIDTH), np.float32)])
-    near = contexts(sample, words)
+    near = contexts(docs, words)
     near = near / np.maximum(np.linalg.norm(near, axis=1, keepdims=True), 1e-9)
     vectors = near + own / np.sqrt(SIGNS)
     vectors = (vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)).astype(np.float32)
