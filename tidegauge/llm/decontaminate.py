@@ -19,6 +19,7 @@ Empty tables give empty results. Columns but doc_id, item_id and text are ignore
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,7 +48,10 @@ WINDOW, SIMILARITY = 20, 0.8
 PIECE, BLOCK_WORDS = 2048, 1 << 19
 
 #: Word pairs that are compared together.
-_PAIRS = 1 << 21
+_PAIRS = 1 << 19
+
+#: Hits whose diagonals are told apart together.
+_HITS = 1 << 20
 
 _BITS = 22
 
@@ -120,20 +124,23 @@ class Block:
 
     def alike(self, words: np.ndarray, first: np.ndarray, text: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
         """The best window of each diagonal that a seed points to and that holds an overlap."""
-        keys, shifts = [], len(self.words) + len(words)
+        keys, shifts = np.empty(0, np.int64), len(self.words) + len(words)
         for mask, (hashes, places, owners, mark) in enumerate(self.tables):
             found = seeds(words, mask)
             at = np.flatnonzero(mark[found >> np.uint64(64 - _BITS)]) if len(found) else np.empty(0, np.int64)
             at = at[at + MASKS[mask][-1] < first[text[at] + 1]]
             left, right = np.searchsorted(hashes, found[at], "left"), np.searchsorted(hashes, found[at], "right")
             n = right - left
-            hit, seed = np.repeat(at, n), ragged(left, n)
-            if len(hit):
+            # equal words hit each other in all ways but lie on few diagonals: a piece of the hits at a time
+            cuts = np.searchsorted(np.cumsum(n), np.arange(0, int(n.sum()) + _HITS, _HITS), "left")
+            for a, b in itertools.pairwise(np.unique(np.append(cuts, len(n)))):
+                hit, seed = np.repeat(at[a:b], n[a:b]), ragged(left[a:b], n[a:b])
                 shift = hit - places[seed] + len(self.words)
-                keys.append(np.unique((text[hit] * len(self.ids) + owners[seed]) * shifts + shift))
-        if not keys:
+                found_keys = np.unique((text[hit] * len(self.ids) + owners[seed]) * shifts + shift)
+                keys = np.union1d(keys, found_keys) if len(keys) else found_keys
+        if not len(keys):
             return
-        both, shift = np.divmod(np.unique(np.concatenate(keys)), shifts)
+        both, shift = np.divmod(keys, shifts)
         owner_text, item = np.divmod(both, len(self.ids))
         shift -= len(self.words)
         # what is laid side by side, in the whole item and in this piece of it
