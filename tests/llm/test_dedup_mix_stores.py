@@ -214,6 +214,50 @@ def test_token_counts_equal_the_library(docs, rows, plain_ids, nothing, chunk, o
     assert tokencount.token_counts(nothing, VOCABULARY).count() == 0
 
 
+def poured(sizes):
+    """Targets by bisection on the words of a unit of weight, at which the capped shares make 150 % of all words."""
+    weights, low, high = [(3, 1, 2)[i % 3] for i in range(len(sizes))], 0.0, 2.0 * sum(sizes) + 1
+    for _ in range(200):
+        unit = (low + high) / 2
+        if sum(min(w * unit, 2 * s) for w, s in zip(weights, sizes)) < 1.5 * sum(sizes):
+            low = unit
+        else:
+            high = unit
+    return [min(w * high, 2 * s) for w, s in zip(weights, sizes)]
+
+
+def test_small_sources_take_their_targets_to_the_word(spark):
+    """Sources of less than a block, of one and of several, against the words that slots hold, taken one by one."""
+    draw = random.Random(3)
+    for sizes in ([100, 100, 100], [1, 0, 3000, 7, 128, 129], [draw.randint(0, 900) for _ in range(40)]):
+        known = mix.Shares(list(map(str, range(len(sizes)))), sizes, 128)
+        assert np.allclose(known.target, poured(sizes))
+        for i, size in enumerate(sizes):
+            n, took = known.blocks[i], 0
+            for t in range(known.slots[i]):
+                key = mix.permutation_keys(np.array([i]), np.array([t // n]), mix.SEED)
+                block = int(mix.permuted(np.array([t % n]), np.array([n]), key)[0])
+                full = min(128, size - 128 * block)
+                took += min(known.cut[i], full) if t == known.slots[i] - 1 else full
+            assert took == known.words[i] and abs(took - known.target[i]) <= 0.5
+
+
+def test_draws_deal_every_slot_once(spark):
+    slots = [0, 5, 4000, 1000, 2995, 1]
+    found = mix.draws(spark, slots, shard=16, book=7).orderBy("shard").collect()
+    sizes = defaultdict(int)
+    for src, total in enumerate(slots):
+        own = [r for r in found if r.src == src]
+        assert [t for r in own for t in range(r.before, r.before + r.n)] == list(range(total))
+        for r in own:
+            sizes[r.shard] += r.n
+    assert sorted(sizes) == list(range(501)) and all(14 <= n <= 18 for n in sizes.values())
+    # a multinomial's spread: 16 slots at 1/2 have a variance of 4
+    hot = [next((r.n for r in found if r.src == 2 and r.shard == s), 0) for s in range(501)]
+    assert abs(np.mean(hot) - 8) < 0.1 and 2.5 < np.var(hot) < 5.5
+    assert mix.draws(spark, [0, 0]).filter("n > 0").count() == mix.draws(spark, []).count() == 0
+
+
 def test_mix_meets_targets_and_repeats_itself(spark, docs, rows, nothing):
     table, taken = mix.mix(docs, block=16, shard=32)
     words = {r.row: r.n for r in taken.selectExpr("row", "end - start AS n").groupBy("row").sum("n").withColumnRenamed("sum(n)", "n").collect()}
@@ -221,12 +265,12 @@ def test_mix_meets_targets_and_repeats_itself(spark, docs, rows, nothing):
     assert sorted((repr(r.doc_id), r.size) for r in found) == sorted((repr(r[0]), len(WORD.findall(r[2] or ""))) for r in rows)
     names = sorted({r[1] for r in rows if r[1] is not None}) + [None]
     sizes = [sum(len(WORD.findall(r[2] or "")) for r in rows if r[1] == name) for name in names]
-    target = mix.fill(sizes)
+    target = poured(sizes)
     assert abs(sum(target) - 1.5 * sum(sizes)) < 1e-6 and all(t <= 2 * s for t, s in zip(target, sizes))
     for name, size, goal in zip(names, sizes, target):
         some = [r for r in found if r.source == name]
-        assert {(r.source_size, r.target) for r in some} == {(size, goal)}
-        assert abs(sum(words.get(r.row, 0) for r in some) - goal) <= 32
+        assert {r.source_size for r in some} == {size} and all(abs(r.target - goal) < 1e-6 for r in some)
+        assert abs(sum(words.get(r.row, 0) for r in some) - goal) <= 0.5 + 1e-6
         assert all(words.get(r.row, 0) <= 2 * r.size for r in some)
     again, more = mix.mix(docs.repartition(3), block=16, shard=32)
     count = lambda a, b: sorted(map(repr, a.join(b.groupBy("row").agg({"start": "sum", "end": "sum"}), "row").drop("row", "_bin").collect()))

@@ -1,12 +1,13 @@
 """Mixing sources to target weights.
 
-Each source's words, in doc_id order, are packed into blocks of BLOCK words. The mix is a row of output shards. A
-shard draws how many of its slots go to each source: the whole part of what the weights give it, and the rest by
-a multinomial draw with a seed of its own. Slot number t of a source, counted over all shards, is mapped through
-the source's pseudorandom permutation of block numbers (another one for the second pass over a source), and
-blocks and slots are joined by source and block number. The last shard closes the books: it takes what the draws
-left of each source's share, and slots that were drawn beyond the share stay empty, so a source gets its share of
-blocks exactly, and none is taken more than twice.
+Each source's words, in doc_id order, are packed into blocks of BLOCK words. The mix is a row of output shards of
+about SHARD slots. How many slots of a shard go to each source is a multinomial draw, under the condition that all
+shards together give every source its number of slots: that is a draw without replacement, shard by shard, from the
+slots not yet dealt. BOOK shards are dealt as one book, with the sources' share of slots in it to within one slot, and a
+seed of its own, so books are independent tasks and the numbers of a shard's slots follow from its book. Slot number t of a
+source is mapped through the source's pseudorandom permutation of block numbers (another one for the second pass over
+a source), and blocks and slots are joined by source and block number. The last slot of a source is cut to the words
+left of its target, so a source gives its target to the word, and none of its words more than twice.
 
 The driver holds one row per source. All else is distributed: a source that holds a third of the words is as many
 ranges and blocks as its words make. Reruns agree, whatever the partitions.
@@ -30,8 +31,8 @@ from tidegauge.llm.words import Words, mixed, slices
 #: Words of a block, slots of a shard, and the seed of draws and permutations.
 BLOCK, SHARD, SEED = 128, 256, 7
 
-#: Shards whose slot numbers are summed in one task.
-SHARDS_PER_BIN = 4096
+#: Shards that are dealt together, in one task.
+BOOK = 4096
 
 #: Weights of the sources in order, repeating; the share of all words; the most passes over a source.
 WEIGHTS, SHARE, PASSES = (3, 1, 2), 1.5, 2
@@ -65,83 +66,107 @@ def fill(sizes: list[int], weights: tuple[int, ...] = WEIGHTS, share: float = SH
     return target
 
 
-def permuted(index: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
-    """A pseudorandom permutation of range(n) for each key, at ``index``: a four-round Feistel network with cycle walking."""
+def _rounds(index: np.ndarray, half: np.ndarray, key: np.ndarray, back: bool) -> np.ndarray:
+    """Four rounds of a Feistel network on numbers of twice ``half`` bits, or the way back."""
+    mask = (np.uint64(1) << half) - np.uint64(1)
+    left, right = index >> half, index & mask
+    for turn in (3, 2, 1, 0) if back else (0, 1, 2, 3):
+        if back:
+            left, right = right, left
+        left, right = right, left ^ (mixed(right + mixed(key + np.uint64(turn + 1))) & mask)
+        if back:
+            left, right = right, left
+    return (left << half) | right
+
+
+def permuted(index: np.ndarray, n: np.ndarray, key: np.ndarray, back: bool = False) -> np.ndarray:
+    """A pseudorandom permutation of range(n) for each key, at ``index``, or its inverse: a Feistel network with cycle walking."""
     index, n, key = index.astype(np.uint64), n.astype(np.uint64), key.astype(np.uint64)
     half = np.maximum((np.ceil(np.log2(np.maximum(n.astype(np.float64), 2) + 1)).astype(np.int64) + 1) // 2, 1).astype(np.uint64)
-    mask = (np.uint64(1) << half) - np.uint64(1)
     out, todo = index.copy(), np.arange(len(index))
     while len(todo):
-        left, right = out[todo] >> half[todo], out[todo] & mask[todo]
-        for turn in range(4):
-            left, right = right, left ^ (mixed(right + mixed(key[todo] + np.uint64(turn + 1))) & mask[todo])
-        out[todo] = (left << half[todo]) | right
+        out[todo] = _rounds(out[todo], half[todo], key[todo], back)
         todo = todo[out[todo] >= n[todo]]
     return out.astype(np.int64)
 
 
+def permutation_keys(src: np.ndarray, turn: np.ndarray, seed: int) -> np.ndarray:
+    """The key of each source's permutation in each pass."""
+    return mixed((src * 8 + turn).astype(np.uint64) + np.uint64(seed << 40))
+
+
 class Shares:
-    """The driver's table: one entry per source, in order."""
+    """The driver's table: one entry per source, in order.
+
+    A source takes ``words``, its target rounded, in ``slots`` slots, the last of which gives ``cut`` words.
+    """
 
-    def __init__(self, sources: list[str | None], sizes: list[int], block: int) -> None:
+    def __init__(self, sources: list[str | None], sizes: list[int], block: int, seed: int = SEED) -> None:
         self.sources, self.sizes, self.target = sources, sizes, fill(sizes)
         self.blocks = [-(-s // block) for s in sizes]
-        exact = [b * t / s if s else 0.0 for b, t, s in zip(self.blocks, self.target, sizes)]
-        self.slots = [int(x + 0.5) for x in exact]
+        self.words = [int(t + 0.5) for t in self.target]
+        self.slots, self.cut = [], []
+        for i, (size, n, words) in enumerate(zip(sizes, self.blocks, self.words)):
+            turn, rest = divmod(words, size) if size else (0, 0)
+            some, held = -(-rest // block), 0
+            if some:
+                # the last block may have fewer words: where does this pass take it?
+                short = n * block - size
+                key = permutation_keys(np.array([i]), np.array([turn]), seed)
+                place = int(permuted(np.array([n - 1]), np.array([n]), key, back=True)[0])
+                some += place < some and some * block - short < rest
+                held = (some - 1) * block - (short if place < some - 1 else 0)
+            self.slots.append(turn * n + some)
+            self.cut.append(rest - held if some else block)
 
     def table(self, spark: SparkSession) -> DataFrame:
-        rows = list(zip(range(len(self.sources)), self.sources, map(int, self.sizes), self.target, self.blocks, self.slots))
-        return spark.createDataFrame(rows, "src int, source string, source_size long, target double, n_blocks long, n_slots long")
+        rows = list(zip(range(len(self.sources)), self.sources, map(int, self.sizes), self.target, self.blocks, self.slots, self.cut))
+        return spark.createDataFrame(rows, "src int, source string, source_size long, target double, n_blocks long, n_slots long, cut long")
 
 
-def draws(spark: SparkSession, slots: list[int], shard: int = SHARD, seed: int = SEED) -> DataFrame:
-    """(src, shard, n): how many slots of each shard but the last go to each source."""
-    total = sum(slots)
-    share = np.array(slots, np.float64) / max(total, 1)
-    whole = np.floor(share * shard).astype(np.int64)
-    rest = share * shard - whole
-    spread = int(shard - whole.sum())
-    rest = rest / rest.sum() if rest.sum() > 0 else share
+def draws(spark: SparkSession, slots: list[int], shard: int = SHARD, seed: int = SEED, book: int = BOOK) -> DataFrame:
+    """(src, shard, before, n): how many slots of each shard go to each source, and how many did in the shards before."""
+    shards = max(1, -(-sum(slots) // shard))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number in batch.column(0).to_pylist():
-                n = whole + np.random.default_rng([seed, number]).multinomial(spread, rest)
-                some = np.flatnonzero(n)
-                arrays = [pa.array(some.astype(np.int32)), pa.array(np.full(len(some), number)), pa.array(n[some])]
-                yield pa.RecordBatch.from_arrays(arrays, names=["src", "shard", "n"])
-
-    last = max(0, -(-total // shard) - 1)
-    return spark.range(last).mapInArrow(work, "src int, shard long, n long")
-
-
-def slots_of(spark: SparkSession, shares: DataFrame, slots: list[int], shard: int = SHARD, seed: int = SEED) -> DataFrame:
-    """(shard, src, t, pass, block): the block that each slot takes."""
-    drawn = draws(spark, slots, shard, seed)
-    last = max(0, -(-sum(slots) // shard) - 1)
-    sums = drawn.groupBy("src").agg(F.sum("n").alias("drawn"))
-    open_ = F.greatest(F.col("n_slots") - F.coalesce("drawn", F.lit(0)), F.lit(0))
-    closing = shares.join(sums, "src", "left").select("src", F.lit(last).cast("long").alias("shard"), open_.alias("n"))
-    every = write_through(drawn.union(closing).filter("n > 0"), "mix-draws")
-    every = every.withColumn("_bin", F.floor(F.col("shard") / SHARDS_PER_BIN))
-    every = running_sum(every, ["src"], "_bin", [F.col("shard")], "n", "before")
-    each = every.select("src", "shard", F.explode(F.sequence(F.col("before"), F.col("before") + F.col("n") - 1)).alias("t"))
-    each = each.join(shares.select("src", "n_blocks", "n_slots"), "src").filter("t < n_slots")
+                first, last = number * book, min((number + 1) * book, shards)
+                before = np.array([s * first // shards for s in slots], np.int64)
+                left = np.array([s * last // shards for s in slots], np.int64) - before
+                total, draw = int(left.sum()), np.random.default_rng([seed, number])
+                for i in range(last - first):
+                    size = total * (i + 1) // (last - first) - total * i // (last - first)
+                    n = draw.multivariate_hypergeometric(left, size, method="marginals")
+                    some = np.flatnonzero(n)
+                    arrays = [some.astype(np.int32), np.full(len(some), first + i), before[some], n[some]]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=["src", "shard", "before", "n"])
+                    before, left = before + n, left - n
+
+    books = -(-shards // book)
+    return spark.range(0, books, 1, min(books, 4096)).mapInArrow(work, "src int, shard long, before long, n long")
+
+
+def slots_of(spark: SparkSession, shares: DataFrame, slots: list[int], block: int = BLOCK, shard: int = SHARD, seed: int = SEED) -> DataFrame:
+    """(shard, src, t, most, pass, block): the block that each slot takes, and how many words of it at most."""
+    drawn = write_through(draws(spark, slots, shard, seed), "mix-draws")
+    each = drawn.select("src", "shard", F.explode(F.sequence(F.col("before"), F.col("before") + F.col("n") - 1)).alias("t"))
+    most = F.when(F.col("t") == F.col("n_slots") - 1, F.col("cut")).otherwise(F.lit(block)).cast("long")
+    each = each.join(shares.select("src", "n_blocks", "n_slots", "cut"), "src").select("src", "shard", "t", "n_blocks", most.alias("most"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            src, numbers, t, n = (batch.column(i).to_numpy().astype(np.int64) for i in range(4))
+            src, t, n = (batch.column(i).to_numpy().astype(np.int64) for i in (0, 2, 3))
             turn = t // n
-            keys = mixed((src * 8 + turn).astype(np.uint64) + np.uint64(seed << 40))
-            block = permuted(t - turn * n, n, keys)
-            arrays = [batch.column(1), batch.column(0), batch.column(2), pa.array(turn.astype(np.int32)), pa.array(block)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["shard", "src", "t", "pass", "block"])
+            taken = permuted(t - turn * n, n, permutation_keys(src, turn, seed))
+            arrays = [batch.column(1), batch.column(0), batch.column(2), batch.column(4), pa.array(turn.astype(np.int32)), pa.array(taken)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["shard", "src", "t", "most", "pass", "block"])
 
-    return each.select("src", "shard", "t", "n_blocks").mapInArrow(work, "shard long, src int, t long, pass int, block long")
+    return each.mapInArrow(work, "shard long, src int, t long, most long, pass int, block long")
 
 
 def pieces(rows: DataFrame, block: Column | int = BLOCK) -> DataFrame:
-    """(src, block, row, doc_id, key, start, end): which words of which row stand in each block of a source."""
+    """(src, block, row, doc_id, key, at, start, end): which words of which row stand in each block of a source, and where."""
     some = rows.filter("size > 0")
     numbers = F.sequence(F.expr(f"offset div {block}"), F.expr(f"(offset + size - 1) div {block}"))
     each = some.select("src", "row", "doc_id", "key", "size", "offset", F.explode(numbers).alias("block"))
@@ -152,6 +177,7 @@ def pieces(rows: DataFrame, block: Column | int = BLOCK) -> DataFrame:
         "row",
         "doc_id",
         "key",
+        F.greatest(-begin, F.lit(0)).alias("at"),
         F.greatest(begin, F.lit(0)).alias("start"),
         F.least(begin + block, F.col("size")).alias("end"),
     )
@@ -167,15 +193,16 @@ def mix(docs: DataFrame, block: int = BLOCK, shard: int = SHARD, seed: int = SEE
     counted = word_counts(docs).withColumn("_order", order_id())
     rows = binned(counted, ["source", "_order", "key"], "mix-rows").withColumn("row", F.monotonically_increasing_id())
     sums = rows.groupBy("source").agg(F.sum("size").alias("size")).orderBy(F.col("source").isNull(), "source").collect()
-    known = Shares([r["source"] for r in sums], [r["size"] for r in sums], block)
+    known = Shares([r["source"] for r in sums], [r["size"] for r in sums], block, seed)
     shares = known.table(spark)
     same = F.col("l.source").eqNullSafe(F.col("r.source"))
     rows = rows.alias("l").join(F.broadcast(shares.alias("r")) if len(sums) < 10_000 else shares.alias("r"), same)
     rows = rows.select("l.*", "r.src", "r.source_size", "r.target")
     order = [F.col("_order"), F.col("key"), F.col("row")]
     rows = write_through(running_sum(rows, ["src"], "_bin", order, "size", "offset"), "mix-offsets")
-    taken = slots_of(spark, shares, known.slots, shard, seed).join(pieces(rows, block), ["src", "block"])
-    return rows, taken
+    slots = slots_of(spark, shares, known.slots, block, shard, seed)
+    taken = slots.join(pieces(rows, block), ["src", "block"]).filter("at < most")
+    return rows, taken.withColumn("end", F.expr("least(end, start + most - at)")).drop("at", "most")
 
 
 def mixed_documents(docs: DataFrame, block: int = BLOCK, shard: int = SHARD, seed: int = SEED) -> DataFrame:
