@@ -20,8 +20,8 @@ from tidegauge.llm.toxicity import fit, without_toxic
 from tidegauge.llm.vocab import public
 
 
-#: Different pieces of text that a worker of the last stage keeps encoded.
-REMEMBERED = 400_000
+#: Different pieces of text that a worker of the last stage keeps encoded, and bytes of text it works on together.
+REMEMBERED, AT_ONCE = 100_000, 1 << 19
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +48,7 @@ def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """doc_id, start, n_tokens and ids_crc32 of each document in the token store."""
     folder = scratch_path(spark, "pipeline-store")
     # the workers still hold what the stages before needed
-    write_store(docs, folder, public("word_bpe_49k.json"), remembered=REMEMBERED)
+    write_store(docs, folder, public("word_bpe_49k.json"), remembered=REMEMBERED, at_once=AT_ONCE)
     return stored_documents(spark, folder)
 
 

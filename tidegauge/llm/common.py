@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +34,14 @@ def order_id(name: str = "doc_id") -> Column:
     return F.coalesce(F.col(name).cast("long"), F.lit(NO_ID))
 
 
+def give_back() -> None:
+    """Return to the system what this worker's task has freed; the worker goes on to tasks of other stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def connected(edges: DataFrame, label: str) -> DataFrame:
     """(node, root) for every node of the undirected ``edges`` (a, b); root is the smallest node of its component.
 
@@ -90,4 +101,4 @@ def binned(df: DataFrame, order: list[str], label: str, rows_per_bin: int = 200_
     return write_through(ranged.withColumn("_bin", F.spark_partition_id()), label)
 
 
-__all__ = ["NO_ID", "binned", "connected", "order_id", "running_sum", "scratch_path", "table", "unused", "write_through"]
+__all__ = ["NO_ID", "binned", "connected", "give_back", "order_id", "running_sum", "scratch_path", "table", "unused", "write_through"]

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import scratch_path, table, write_through
+from tidegauge.llm.common import give_back, scratch_path, table, write_through
 from tidegauge.llm.sample import plain
 from tidegauge.llm.words import Words, mixed, ragged, slices, windows
 
@@ -262,6 +262,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, most: int = BLOCK_WORDS) -> Dat
                     keep = np.ones(part.num_rows, bool)
                     keep[shared.value.overlaps(words.hashes(), words.first)[0]] = False
                     yield part.filter(pa.array(keep))
+            give_back()
 
         docs = docs.mapInArrow(work, docs.schema)
     return docs

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import binned, order_id, running_sum, table, unused, write_through
+from tidegauge.llm.common import binned, give_back, order_id, running_sum, table, unused, write_through
 from tidegauge.llm.words import Words, mixed, slices
 
 #: Words of a block, slots of a shard, and the seed of draws and permutations.
@@ -249,6 +249,7 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, shard: int = SHARD, see
                 if chars is not None:
                     arrays[chars] = pa.array([len(x) for x in out]).cast(arrays[chars].type)
                 yield pa.RecordBatch.from_arrays(arrays, names=columns)
+        give_back()
 
     return joined.mapInArrow(work, docs.schema)
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.llm.common import order_id, running_sum, scratch_path, table, write_through
 from tidegauge.llm.vocab import REMEMBERED, public, vocabulary
-from tidegauge.llm.words import slices
+from tidegauge.llm.words import CHUNK, slices
 
 #: Ids of a block, coders of a block, and the bits of the shared frequencies.
 BLOCK, LANES, SCALE = 1 << 18, 2048, 20
@@ -96,14 +96,14 @@ def decode(model: Model, size: int, states: np.ndarray, words: np.ndarray) -> np
     return out
 
 
-def _tokens(docs: DataFrame, path: str, end_id: int, remembered: int) -> DataFrame:
+def _tokens(docs: DataFrame, path: str, end_id: int, remembered: int, at_once: int) -> DataFrame:
     """doc_id, n_tokens, and the ids (32 bits, little-endian, compressed) of each document with its end id."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, pack = vocabulary(path, remembered), zstandard.ZstdCompressor(level=1)
         kind = np.dtype("<u2" if known.size <= 1 << 16 else "<u4")
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", at_once):
                 ids, counts = known.encode(part.column(1))
                 ends = np.cumsum(counts)
                 ids = np.insert(ids, ends, end_id).astype(kind)
@@ -225,17 +225,18 @@ def _blocks(ids: DataFrame, model: Model, block: int) -> DataFrame:
     return ids.select("row", "doc_id", "n_tokens", "ids").mapInArrow(work, _BLOCKS)
 
 
-def write_store(docs: DataFrame, folder: str, path: str, end_id: int = 1, block: int = BLOCK, remembered: int = REMEMBERED) -> None:
+def write_store(docs: DataFrame, folder: str, path: str, end_id: int = 1, block: int = BLOCK, remembered: int = REMEMBERED, at_once: int = CHUNK) -> None:
     """Encode every text of ``docs`` and write the store into a new folder.
 
-    ``remembered`` bounds the pieces of text a worker keeps encoded: fewer take less memory and more time.
+    ``remembered`` bounds the pieces of text a worker keeps encoded, ``at_once`` the bytes of text it works on together
+    (one text at least): fewer take less memory and more time.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col("text"), F.lit(""))
     docs = docs.select("doc_id", text.alias("text"), order_id().alias("_order"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranged = docs.repartitionByRange(max(1, -(-size // PART)), "_order").sortWithinPartitions("_order")
-    ids = _tokens(ranged.select("doc_id", "text"), path, end_id, remembered)
+    ids = _tokens(ranged.select("doc_id", "text"), path, end_id, remembered, at_once)
     ids.withColumn("row", F.monotonically_increasing_id()).write.parquet(f"{folder}/ids")
     ids = spark.read.parquet(f"{folder}/ids")
     counts = _counted(ids).orderBy("id").toPandas()
