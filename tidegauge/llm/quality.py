@@ -20,6 +20,7 @@ empty result. Other columns pass through ``score`` unread.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ VOCABULARY, WIDTH, SIGNS, REACH = 8192, 64, 4, 2
 #: Hidden units, passes over the examples, rows of a step, the seed, and the score of a good text.
 HIDDEN, PASSES, STEP_ROWS, SEED, CUT = 48, 60, 128, 11, 0.7
 
-#: Distinct tokens of texts whose vectors are gathered together.
+#: Distinct tokens of a text whose vectors are gathered together.
 PIECE = 1 << 15
 
 _SHAPE = np.arange(256, dtype=np.uint8)
@@ -91,6 +92,10 @@ class Pooling:
     def __init__(self, words: np.ndarray, vectors: np.ndarray) -> None:
         self.words, self.vectors = words, vectors
 
+    @cached_property
+    def exact(self) -> np.ndarray:
+        return self.vectors.astype(np.float64)
+
     def number(self, hashes: np.ndarray) -> np.ndarray:
         at = np.searchsorted(self.words, hashes)
         at[at == len(self.words)] = 0
@@ -111,11 +116,12 @@ class Pooling:
         heads = np.flatnonzero(fresh)
         times = np.diff(np.append(heads, len(own)))
         number, of = self.number(own[heads]), of[heads]
-        for at in range(0, len(heads), PIECE):
-            vectors, texts = self.vectors[number[at : at + PIECE]].astype(np.float64), of[at : at + PIECE]
-            begins = np.flatnonzero(np.diff(texts, prepend=-1))
-            out[texts[begins], WIDTH : 2 * WIDTH] += np.add.reduceat(vectors, begins)
-            out[texts[begins], :WIDTH] += np.add.reduceat(vectors * times[at : at + PIECE, None], begins)
+        weights = np.stack([times, np.ones(len(times))])
+        bounds = np.searchsorted(of, np.arange(len(counts) + 1)).tolist()
+        for i in np.flatnonzero(counts).tolist():
+            for at in range(bounds[i], bounds[i + 1], PIECE):
+                end = min(at + PIECE, bounds[i + 1])
+                out[i, : 2 * WIDTH] += (weights[:, at:end] @ self.exact[number[at:end]]).ravel()
         out[:, :WIDTH] /= np.maximum(counts, 1)[:, None]
         out[:, WIDTH : 2 * WIDTH] /= np.maximum(distinct, 1)[:, None]
         out[:, -2] = distinct / np.maximum(counts, 1)
