@@ -196,7 +196,7 @@ def test_every_tolerated_substitution_leaves_a_seed():
 
 def test_short_texts_short_items_and_verbatim_stretches(spark):
     item = [f"v{k}" for k in range(5000)]
-    items = [(1, " ".join(item)), (2, "Seven words, that all must be equal"), (3, "seven words that all must be equal"), (4, "lone")]
+    items = [(1, " ".join(item)), (2, "Seven words, that all must be equal"), (3, "seven words that all must be equal"), (4, "lone"), (5, "four words, no more"), (6, "now these are five words")]
     docs = [
         (10, " ".join(item[40:55])),
         (11, " ".join(["x"] * 30 + item[100:113] + ["y"] * 30)),
@@ -207,11 +207,17 @@ def test_short_texts_short_items_and_verbatim_stretches(spark):
         (16, " ".join(["z"] * 9 + item[2028:2037] + ["q"] * 2 + item[2039:2041] + ["z"] * 9)),
         (17, " ".join([w if k % 5 else "q" for k, w in enumerate(item[2030:2050])])),
         (18, " ".join(item[60:72])),
+        (19, " Lone!"),
+        (20, "four words no more"),
+        (21, "these four words no more"),
+        (22, "and now these are FIVE words again"),
+        (23, "lone lone"),
     ]
-    expected = {(10, 1): (0, 15, 15), (11, 1): (30, 43, 13), (13, 2): (1, 8, 7), (13, 3): (1, 8, 7), (15, 4): (1, 2, 1), (17, 1): (0, 20, 16)}
+    expected = {(10, 1): (0, 15, 15), (11, 1): (30, 43, 13), (13, 2): (1, 8, 7), (13, 3): (1, 8, 7), (17, 1): (0, 20, 16)}
+    expected |= {(19, 4): (0, 1, 1), (20, 5): (0, 4, 4), (22, 6): (1, 6, 5)}
     table = spark.createDataFrame(docs, "doc_id long, text string")
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     for most in (1 << 19, 60):
         found = decontaminate.overlaps(table, benchmark, most).collect()
         assert {(r.doc_id, r.item_id): (r.start, r.end, r.equal) for r in found} == expected
-        assert {r.doc_id for r in decontaminate.clean(table, benchmark, most).collect()} == {12, 14, 16, 18}
+        assert {r.doc_id for r in decontaminate.clean(table, benchmark, most).collect()} == {12, 14, 15, 16, 18, 21, 23}

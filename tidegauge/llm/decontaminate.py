@@ -6,7 +6,8 @@ item are laid side by side on the hit's diagonal and compared word by word: a st
 side by side, if they are fewer, but SPAN at least) with SIMILARITY of its positions equal is an overlap, so
 substituted words are tolerated, and so are SPAN equal words in a row. The MASKS are lossless: enumerated, every
 pattern of substitutions that such a stretch may hold leaves a seed whole. An item of fewer than SPAN words overlaps
-where all its words stand in a row. Words are compared lower-cased and without ASCII punctuation.
+where all its words stand in a row, and one of fewer than LEAST, which says nothing inside other text, where they are
+the whole text. Words are compared lower-cased and without ASCII punctuation.
 
 The benchmark is a stated set, searched in blocks: the driver streams it and holds, broadcasts and joins
 BLOCK_WORDS words of it at a time, each block against all documents, without shuffling their texts. Items longer
@@ -41,6 +42,9 @@ MASKS = (
 #: The fewest words that are compared with substitutions, and the length of a verbatim overlap.
 SPAN = 13
 
+#: The fewest words of an item that are looked for inside longer texts.
+LEAST = 5
+
 #: Words of an overlap and the share of them that must be equal.
 WINDOW, SIMILARITY = 20, 0.8
 
@@ -106,13 +110,15 @@ class Block:
         return tuple(np.concatenate(x) for x in zip(*parts))
 
     def verbatim(self, words: np.ndarray, first: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, ...]:
-        """The first place in each text of each item of fewer than SPAN words."""
+        """The first place in each text of each item of fewer than SPAN words; of fewer than LEAST, in texts of these words alone."""
         out = [tuple(np.empty(0, np.int64) for _ in range(5))]
         for size, hashes, items in self.short:
             found = windows(words, size)
             left, right = np.searchsorted(hashes, found, "left"), np.searchsorted(hashes, found, "right")
             at = np.flatnonzero(right > left)
             at = at[at + size <= first[text[at] + 1]]
+            if size < LEAST:
+                at = at[np.diff(first)[text[at]] == size]
             # equal items share a hash: a text needs the first place of each hash only
             _, fresh = np.unique(text[at] * len(hashes) + left[at], return_index=True)
             at = at[fresh]
