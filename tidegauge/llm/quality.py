@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tidegauge.llm.common import table, write_through
+from tidegauge.llm.common import give_back, table, write_through
 from tidegauge.llm.sample import FIT_ROWS, labelled, mapped, plain, sigmoid
 from tidegauge.llm.words import Words, mixed, powers, slices
 
@@ -38,6 +38,9 @@ VOCABULARY, WIDTH, SIGNS, REACH = 8192, 64, 4, 2
 #: Hidden units, passes over the examples, rows of a step, the seed, and the score of a good text.
 HIDDEN, PASSES, STEP_ROWS, SEED, CUT = 48, 60, 128, 11, 0.7
 
+#: Bytes of text that the vectors and the scores work on together.
+SLICE = 1 << 20
+
 #: Distinct tokens of a text whose vectors are gathered together.
 PIECE = 1 << 15
 
@@ -46,6 +49,7 @@ for _low, _high, _sign in ((0x30, 0x3A, 0x39), (0x41, 0x5B, 0x41), (0x61, 0x7B,
     _SHAPE[_low:_high] = _sign
 _INNER = _SHAPE.copy()
 _INNER[128:] = 0x61
+_SIGNS = mixed(np.arange(1, 257, dtype=np.uint64))
 
 
 def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -53,22 +57,20 @@ def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     shaped = Words(column)
     letters = Words(plain(column))
     data = _INNER[shaped.data]
-    new = np.ones(len(data), np.uint64)
+    new = np.ones(len(data), bool)
     new[1:] = data[1:] != data[:-1]
-    new[shaped.starts] = 1
-    place = np.cumsum(new).astype(np.int64)
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(new * _signs(data) * powers(0x9E3779B97F4A7C15, len(place) + 2)[place])])
-    undo = powers(pow(0x9E3779B97F4A7C15, -1, 1 << 64), len(place) + 2)
-    shape = mixed((sums[shaped.ends] - sums[shaped.starts]) * undo[place[shaped.starts]] + np.uint64(77))
-    all_hashes = np.concatenate([shape, letters.hashes()])
-    texts = np.concatenate([shaped.text_of_word(), letters.text_of_word()])
-    order = np.argsort(texts, kind="stable")
-    first = np.searchsorted(texts[order], np.arange(len(column) + 1))
-    return all_hashes[order], first
-
-
-def _signs(data: np.ndarray) -> np.ndarray:
-    return mixed(data.astype(np.uint64) + np.uint64(1))
+    new[shaped.starts] = True
+    place, signs = np.cumsum(new), _SIGNS[data[new]]
+    sums = np.zeros(len(signs) + 1, np.uint64)
+    np.cumsum(signs * powers(0x9E3779B97F4A7C15, len(signs) + 1)[1:], out=sums[1:])
+    undo = powers(pow(0x9E3779B97F4A7C15, -1, 1 << 64), len(signs) + 1)
+    begin, end = place[shaped.starts] - 1, place[shaped.ends - 1]
+    shape = mixed((sums[end] - sums[begin]) * undo[begin + 1] + np.uint64(77))
+    # the shapes of a text, then its letters
+    out = np.empty(len(shape) + len(letters.starts), np.uint64)
+    out[np.arange(len(shape)) + np.repeat(letters.first[:-1], shaped.counts)] = shape
+    out[np.arange(len(letters.starts)) + np.repeat(shaped.first[1:], letters.counts)] = letters.hashes()
+    return out, shaped.first + letters.first
 
 
 def index_entries(hashes: np.ndarray, turn: int) -> tuple[np.ndarray, np.ndarray]:
@@ -107,7 +109,8 @@ class Pooling:
         hashes, first = tokens(column)
         counts = np.diff(first)
         text = np.repeat(np.arange(len(counts)), counts)
-        order = np.lexsort((hashes, text))
+        # equal tokens of a text side by side
+        order = np.argsort((text.astype(np.uint64) << np.uint64(44)) | (hashes >> np.uint64(20)))
         own, of = hashes[order], text[order]
         fresh = np.ones(len(own), bool)
         fresh[1:] = (own[1:] != own[:-1]) | (of[1:] != of[:-1])
@@ -190,23 +193,27 @@ def contexts(docs: DataFrame, words: np.ndarray) -> np.ndarray:
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Pooling(words, np.empty(0))
-        sums = np.zeros((len(words) + 1) * WIDTH)
+        own, size = Pooling(words, np.empty(0)), 2 * WIDTH * (len(words) + 1)
+        # how often each word meets +1 and -1 in each place; what is counted behind them crosses the end of a text
+        sums = np.zeros(size + 1, np.int64)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 hashes, first = tokens(part.column(0))
-                number = own.number(hashes) * WIDTH
-                text = np.repeat(np.arange(len(first) - 1), np.diff(first))
-                left = [np.flatnonzero(text[:-step] == text[step:]) for step in range(1, REACH + 1)]
+                number = own.number(hashes) * (2 * WIDTH)
                 for turn in range(SIGNS):
                     place, entry = index_entries(hashes, turn)
-                    for step, at in enumerate(left, 1):
-                        sums += np.bincount(number[at] + place[at + step], entry[at + step], len(sums))
-                        sums += np.bincount(number[at + step] + place[at], entry[at], len(sums))
-        table = sums.astype(np.int64).reshape(-1, WIDTH)
+                    met = 2 * place + (entry < 0)
+                    for step in range(1, min(REACH, len(hashes) - 1) + 1):
+                        across = (first[1:-1, None] - np.arange(1, step + 1)).ravel()
+                        across = across[(across >= 0) & (across < len(hashes) - step)]
+                        for keys in (number[:-step] + met[step:], number[step:] + met[:-step]):
+                            keys[across] = size
+                            sums += np.bincount(keys, minlength=size + 1)
+        table = (sums[:-1:2] - sums[1::2]).reshape(-1, WIDTH)
         some = np.flatnonzero(table.any(1))
         values = pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1) * WIDTH, pa.int32()), pa.array(table[some].ravel()))
         yield pa.RecordBatch.from_arrays([pa.array(some), values], names=["number", "sums"])
+        give_back()
 
     parts = docs.select("text").mapInArrow(work, "number long, sums array<long>")
     added = parts.groupBy("number").agg(F.array(*[F.sum(F.col("sums")[d]) for d in range(WIDTH)]).alias("sums"))
@@ -264,7 +271,7 @@ def score(docs: DataFrame, model: tuple[Pooling, Network] | None) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pooling, network = shared.value
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 found = network.probability(pooling.pooled(part.column(text)).astype(np.float64))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found)], names=names)
 
