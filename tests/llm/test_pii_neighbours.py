@@ -1,6 +1,7 @@
 """Personal data against Python's patterns, and nearest neighbours against all cosines."""
 
 import hashlib
+import random
 import re
 
 import numpy as np
@@ -64,6 +65,68 @@ def test_contexts_find_unseen_identifiers(spark):
     assert pii.find(docs.limit(0)).count() == 0
 
 
+def test_labels_and_single_words_find_unseen_identifiers(spark):
+    """Words around the cue differ from text to text: neither two words nor a word on each side repeat."""
+    draw = random.Random(4)
+
+    def other():
+        return "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9))
+
+    frames = {"label": "{} phone: {} {}", "word": "{} ring {} {}", "neither": "{} the {} {}"}
+    rows, unseen = [], {}
+    for number, (name, frame) in enumerate(frames.items()):
+        seeds = [f"+1 212 555 {1000 * (number + 1) + i}" for i in range(40)]
+        if name == "neither":
+            seeds = [s if i % 2 else f"user{'x' * i}@example.com" for i, s in enumerate(seeds)]
+        rows += [(1000 * number + i, frame.format(other(), s, other())) for i, s in enumerate(seeds)]
+        for i in range(4):
+            text = frame.format(other(), f"212 777 {1000 * (number + 1) + i}", other())
+            rows.append((1000 * number + 500 + i, text))
+            unseen[1000 * number + 500 + i] = [] if name == "neither" else [(3, text.index("212"), text.index("212") + 12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans if not s.base] for r in pii.find(docs).collect()}
+    assert found == {i: unseen.get(i, []) for i, _ in rows}
+
+
+def test_precision_and_recall_of_planted_contexts(spark):
+    """Unseen forms in the contexts of their kind among numbers and dotted words elsewhere: what is found, and what is right."""
+    draw = random.Random(9)
+    filler = ["".join(draw.choice(["ta", "ri", "mo", "le", "ku", "sha"]) for _ in range(3)) for _ in range(150)]
+    frames = {
+        0: ["write to {} for details", "mail: {}", "reachable under {} at work"],
+        1: ["the host answers at {} since monday", "ip = {}", "traffic from {} was blocked"],
+        2: ["paid with card number {} last week", "card: {}", "charged to {} on friday"],
+        3: ["call me at {} after noon", "tel: {}", "or ring {} instead"],
+    }
+
+    def card():
+        digits = "4" + "".join(draw.choice("0123456789") for _ in range(14))
+        return next(digits + c for c in "0123456789" if valid("card", digits + c))
+
+    def digits(n):
+        return "".join(draw.choice("0123456789") for _ in range(n))
+
+    seeds = [lambda: f"{draw.choice(filler)}{digits(3)}@example.com", lambda: f"10.{digits(1)}.{digits(1)}.{draw.randint(1, 99)}", card, lambda: f"+1 212 5{digits(2)} {digits(4)}"]
+    forms = [lambda: f"{draw.choice(filler)}{digits(2)}(at)example.com", lambda: f"2001:db8::{digits(4)}", lambda: f"4111-{digits(4)}-{digits(4)}-{digits(4)}", lambda: f"(212) 5{digits(2)}-{digits(4)}"]
+    noise = [lambda: f"version 2.{digits(1)}", lambda: f"in {1900 + draw.randint(0, 99)}", lambda: f"costs {digits(4)} coins", lambda: f"order {digits(8)} shipped", lambda: f"see {draw.choice(filler)}.{draw.choice(filler)}"]
+    rows, planted = [], set()
+    for i in range(2400):
+        words = [draw.choice(filler) for _ in range(12)]
+        kind = draw.randrange(5)
+        unseen = draw.random() < 0.2
+        item = "" if kind == 4 else (forms if unseen else seeds)[kind]()
+        middle = draw.choice(noise)() if kind == 4 else draw.choice(frames[kind]).format(item)
+        text = " ".join([*words[:6], middle, *words[6:], draw.choice(noise)(), draw.choice(filler)])
+        if item and unseen and not base(item):
+            planted.add((i, kind, text.index(item), text.index(item) + len(item)))
+        rows.append((i, text))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = {(r.doc_id, s.kind, s.start, s.end) for r in pii.find(docs).collect() for s in r.spans if not s.base}
+    recall, precision = len(found & planted) / len(planted), len(found & planted) / max(len(found), 1)
+    print(f"{len(planted)} planted, recall {recall:.3f}, precision {precision:.3f}", sorted(planted - found)[:5], sorted(found - planted)[:5])
+    assert recall >= 0.9 and precision >= 0.95
+
+
 def test_contexts_find_each_form(spark):
     def card(i):
         digits = f"4111{i:011d}"

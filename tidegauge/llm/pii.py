@@ -1,14 +1,15 @@
 """Personal data by bootstrapped contextual extraction, in DataFrame functions only.
 
 Base spans are the matches of a pattern per kind that pass its check; they are the seed entities. The words around an
-instance are its lexical patterns: the two words before it, and the word on each side. Candidates have a shape and
+instance are its lexical patterns: a label before it (a word and one of ``:=#``) or, without one, the two words before
+it and the word on each side; and the one word before it. Candidates have a shape and
 may become the kinds of that shape: tokens joined by @, (at) or dots an email, groups of hexadecimal digits joined by
 colons an ip, groups of digits joined by spaces, brackets, dots or hyphens all but an email, other tokens with a digit
 any kind. They touch no base span, and the longest counts where one lies in another. Nothing but the
 scores rejects them. The graph of patterns and instances is scored in ROUNDS rounds by kind: a pattern is as sure as
 the mean score of the instances that may be of the kind (seeds 1, others what the round before gave, by the share of
-their own patterns that speak for the kind, so that a number common everywhere teaches little), if SUPPORT different
-instances hold it up; an instance is as sure as one of its patterns being right, where those under EVEN do not
+their own patterns, the one-word ones or the others, that speak for the kind, so that a number common everywhere
+teaches little), if SUPPORT different instances hold it up, or LONE for a single word; an instance is as sure as one of its patterns being right, where those under EVEN do not
 speak. Candidates at SURE or more, in a pattern at SURE or more, become spans of that kind.
 
 Matching is one pass over the texts; after it a row of a small table holds a document's matches, and all else works on
@@ -40,8 +41,11 @@ NUMBER = r"(?<![\p{L}0-9_%@:])\+?+\(?+[0-9]++(?:(?:[()]\x20?[(-]?|\x20-\x20|\x20
 TOKEN = r"(?<![A-Za-z0-9._%+@-])[A-Za-z._%+@-]*+[0-9][A-Za-z0-9._%+@-]*+"
 SHAPES = {"mail": (MAIL, (0,)), "hex": (HEX, (1,)), "number": (NUMBER, (1, 2, 3)), "token": (TOKEN, (0, 1, 2, 3))}
 
-#: Characters of context, instances behind a pattern, rounds, and the scores to be sure and to speak at all.
-CONTEXT, SUPPORT, ROUNDS, SURE, EVEN = 48, 3, 3, 0.9, 0.5
+#: Characters of context, instances behind a pattern and one of a single word, rounds, and the scores to be sure and to speak at all.
+CONTEXT, SUPPORT, LONE, ROUNDS, SURE, EVEN = 48, 3, 20, 3, 0.9, 0.5
+
+#: A word that labels what follows.
+LABEL = r"([\p{L}]+)\s*[:=#]\s*$"
 
 
 def _hits(text: Column, pattern: str) -> Column:
@@ -165,8 +169,12 @@ def patterns(every: DataFrame) -> DataFrame:
     after = F.slice(F.regexp_extract_all(F.lower(F.coalesce("after", F.lit(""))), F.lit(r"[\p{L}]+"), 0), 1, 1)
     two = F.when(F.size("_b") == 2, F.concat(F.lit("2 "), F.array_join("_b", " ")))
     both = F.when((F.size("_b") > 0) & (F.size("_a") > 0), F.concat_ws(" ", F.lit("1"), F.col("_b")[0], F.lit("_"), F.col("_a")[0]))
-    worded = every.withColumn("_b", before).withColumn("_a", after).withColumn("pattern", F.explode(F.array_compact(F.array(two, both))))
-    return worded.drop("_b", "_a", "before", "after")
+    one = F.when(F.size("_b") > 0, F.concat(F.lit("0 "), F.col("_b")[0]))
+    label = F.nullif(F.regexp_extract(F.lower("before"), LABEL, 1), F.lit(""))
+    named = F.array(F.concat(F.lit("L "), F.col("_label")), one)
+    every = every.withColumn("_b", before).withColumn("_a", after).withColumn("_label", label)
+    some = F.when(F.col("_label").isNotNull(), named).otherwise(F.array(two, both, one))
+    return every.withColumn("pattern", F.explode(F.array_compact(some))).drop("_b", "_a", "_label", "before", "after")
 
 
 def bootstrap(worded: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
@@ -178,19 +186,21 @@ def bootstrap(worded: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataF
     # what speaks against a kind in a pattern: base instances of other kinds, and candidates that may be of it
     other = seeds.groupBy("pattern").agg(F.countDistinct("match").alias("known"))
     asked = open_.groupBy("pattern", "kind").agg(F.count("*").alias("asked"))
-    places = open_.groupBy("match", "kind").agg(F.count("*").alias("places"))
+    lone = F.col("pattern").startswith("0 ")
+    places = open_.groupBy("match", "kind").agg(F.count_if(lone).alias("lone_places"), F.count_if(~lone).alias("places"))
     scores = seeds
     for turn in range(rounds):
         held = scores.groupBy("pattern", "kind").agg(F.sum("score").alias("mass"), F.count("*").alias("support"))
-        rated = held.filter(F.col("support") >= SUPPORT).join(other, "pattern", "left").join(asked, ["pattern", "kind"], "left")
+        rated = held.filter(F.col("support") >= F.when(lone, LONE).otherwise(SUPPORT)).join(other, "pattern", "left").join(asked, ["pattern", "kind"], "left")
         degree = F.coalesce("known", F.lit(0)) + F.coalesce("asked", F.lit(0))
         rated = rated.select("pattern", "kind", F.least(F.col("mass") / degree, F.lit(0.99)).alias("sure"))
         rated = write_through(rated, f"pii-patterns-{turn}")
         doubt = F.exp(F.sum(F.log1p(-F.col("sure"))))
         unseen = open_.join(rated.filter(F.col("sure") >= EVEN), ["pattern", "kind"]).groupBy("match", "kind")
-        unseen = unseen.agg((1 - doubt).alias("sure"), F.count("*").alias("spoken"))
+        unseen = unseen.agg((1 - doubt).alias("sure"), F.count_if(lone).alias("lone_spoken"), F.count_if(~lone).alias("spoken"))
         unseen = write_through(unseen.join(places, ["match", "kind"]), f"pii-instances-{turn}")
-        taught = (F.col("sure") * F.col("spoken") / F.col("places")).alias("score")
+        shares = [F.coalesce(F.try_divide(a, b), F.lit(0.0)) for a, b in ((F.col("spoken"), F.col("places")), (F.col("lone_spoken"), F.col("lone_places")))]
+        taught = (F.col("sure") * F.greatest(*shares)).alias("score")
         more = open_.join(unseen, ["match", "kind"]).select("pattern", "match", "kind", taught)
         scores = seeds.unionByName(more)
     return rated.filter(F.col("sure") >= SURE), unseen.filter(F.col("sure") >= SURE)
