@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tidegauge.llm import decontaminate, quality, toxicity
 
@@ -53,6 +54,25 @@ def test_toxicity_catches_toxic_rows_and_leaves_others(corpus):
     assert kept.count() == sum(not r.toxic for r in found)
 
 
+def test_toxicity_on_held_out_rows(spark):
+    """Rows with crc32 of the id mod 4 of 2 are not learnt from: what of them is caught at CUT, and what is called toxic wrongly.
+
+    Measured: 105 of 120 toxic rows caught, 2 of 870 others called toxic.
+    """
+    folder = "/root/testdata/sf0.1"
+    held = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").filter("toxic in (0, 1)").select("doc_id", F.col("toxic").alias("marked"))
+    model = toxicity.fit(docs, labels.filter(~held).withColumnRenamed("marked", "toxic"))
+    found = toxicity.score(docs, model).join(labels.filter(held), "doc_id").groupBy("marked", "toxic").count().collect()
+    counts = {(r.marked, r.toxic): r["count"] for r in found}
+    caught, missed = counts.get((1, True), 0), counts.get((1, False), 0)
+    wrong, left = counts.get((0, True), 0), counts.get((0, False), 0)
+    print(f"held out: {caught} of {caught + missed} toxic rows caught, {wrong} of {wrong + left} others called toxic")
+    assert caught + missed and caught / (caught + missed) >= 0.85
+    assert wrong / (wrong + left) <= 0.02
+
+
 def test_thresholds_are_ordered_and_weights_shared():
     draw = np.random.default_rng(1)
     value = draw.integers(0, 4, 600)

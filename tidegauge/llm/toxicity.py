@@ -6,7 +6,8 @@ the sum of P(grade > j), with the likeliest grade, and ``toxic``: P(grade > 0) a
 
 Labels that say only toxic or not are graded first: rows not toxic are grade 0; toxic rows fall in grade 1 or 2 as
 they hold fewer or more of the telling words than the median toxic row. Telling words are those whose rate in
-toxic rows is RATE times that in others or more.
+toxic rows is RATE times that in others or more. Such grades follow from the features: what labels bear out is the
+first threshold alone, and a caller with graded labels fits them through ``fit_ordinal``.
 
 The model is fitted on at most FIT_ROWS labelled rows of each class (whole texts). Their words are counted by
 Spark; the VOCABULARY most telling (by likelihood ratio, MIN_GAIN or more, in MIN_ROWS rows or more) are kept, and the driver holds
