@@ -8,6 +8,7 @@ one returns one row per document of the store, read back from its files.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +24,25 @@ from tidegauge.llm.vocab import public
 #: Different pieces of text that a worker of the last stage keeps encoded, and bytes of text it works on together.
 REMEMBERED, AT_ONCE = 100_000, 1 << 19
 
+#: Rows that Spark hands a worker together: its default of 10,000 texts can be 64 MB, held by Spark and by the worker.
+ROWS_AT_ONCE = 500
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def in_small_batches(stage: Stage) -> Stage:
+    """``stage`` with ROWS_AT_ONCE set in the session, and left set, as its result is computed later; ``run`` sets it back."""
+
+    @wraps(stage)
+    def work(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if not 0 < int(spark.conf.get(_ROWS)) <= ROWS_AT_ONCE:
+            spark.conf.set(_ROWS, str(ROWS_AT_ONCE))
+        return stage(spark, docs, sf_dir)
+
+    return work
+
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the ordinal model, fitted on the labelled ones among them, does not call toxic."""
@@ -52,12 +72,9 @@ def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return stored_documents(spark, folder)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("toxicity", toxicity),
-    ("near_duplicates", near_duplicates),
-    ("decontamination", decontamination),
-    ("mixing", mixing),
-    ("token_output", token_output),
+STAGES: list[tuple[str, Stage]] = [
+    (stage.__name__, in_small_batches(stage))
+    for stage in (toxicity, near_duplicates, decontamination, mixing, token_output)
 ]
 
 #: SQL can express neither the model nor the file format; the stages are tested one by one.
@@ -65,7 +82,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = write_through(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    docs, rows = table(spark, sf_dir, "documents"), spark.conf.get(_ROWS)
+    try:
+        for name, stage in STAGES:
+            docs = write_through(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    finally:
+        spark.conf.set(_ROWS, rows)
     return docs

@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import order_id, running_sum, scratch_path, table, write_through
+from tidegauge.llm.common import give_back, order_id, running_sum, scratch_path, table, write_through
 from tidegauge.llm.vocab import REMEMBERED, public, vocabulary
 from tidegauge.llm.words import CHUNK, slices
 
@@ -112,6 +112,7 @@ def _tokens(docs: DataFrame, path: str, end_id: int, remembered: int, at_once: i
                 packed = [pack.compress(ids[a:b].tobytes()) for a, b in zip(begins.tolist(), ends.tolist())]
                 arrays = [part.column(0), pa.array(counts + 1), pa.array(packed, pa.binary())]
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_tokens", "ids"])
+        give_back()
 
     return docs.mapInArrow(work, "doc_id long, n_tokens long, ids binary")
 

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidegauge.llm.common import connected, order_id, table, unused, write_through
+from tidegauge.llm.common import connected, give_back, order_id, table, unused, write_through
 from tidegauge.llm.words import SPACE, Words, ragged, slices
 from tidegauge.llm.xx64 import digests
 
@@ -96,6 +96,7 @@ def fingerprints(docs: DataFrame, text: str = "text", width: int = 3, out: str =
             for part in slices(batch, text):
                 found = fingerprint_array(part.column(part.schema.get_field_index(text)), width)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found.view(np.int64))], names=names)
+        give_back()
 
     return docs.mapInArrow(work, schema)
 

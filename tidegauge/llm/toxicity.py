@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StructField, StructType
 
-from tidegauge.llm.common import table, write_through
+from tidegauge.llm.common import give_back, table, write_through
 from tidegauge.llm.sample import FIT_ROWS, Rows, labelled, plain, sigmoid
 from tidegauge.llm.words import Words, mixed, slices
 
@@ -41,6 +41,9 @@ PREFIXES = (5, 6, 7, 8, 9)
 #: Grades, steps of the fit, its step width, and the weight of the penalty.
 GRADES, STEPS, STEP, PENALTY = 3, 400, 0.05, 1e-4
 
+#: Bytes of text that ``fit`` and ``without_toxic`` work on together: their workers go on to other stages.
+SLICE = 1 << 19
+
 
 class Severity:
     """Sorted word hashes, their weights, and the thresholds."""
@@ -84,7 +87,7 @@ def word_rows(sample: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 4 << 20):
+            for part in slices(batch, "text", SLICE):
                 texts, hashes = features(part.column(0))
                 order = np.lexsort((texts, hashes))
                 texts, hashes = texts[order], hashes[order]
@@ -96,6 +99,7 @@ def word_rows(sample: DataFrame) -> DataFrame:
                 n = np.bincount(place, minlength=len(each)).astype(np.int64)
                 arrays = [pa.array(each.view(np.int64)), pa.array(n - n1), pa.array(n1)]
                 yield pa.RecordBatch.from_arrays(arrays, names=["word", "n0", "n1"])
+        give_back()
 
     each = sample.select("text", "label").mapInArrow(work, "word long, n0 long, n1 long")
     return each.groupBy("word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
@@ -164,7 +168,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = FI
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 found = counted(part.column(1), vocabulary)
                 ends = np.cumsum(np.bincount(found.row, minlength=found.n))
                 arrays = [part.column(0), part.column(2)]
@@ -208,10 +212,6 @@ def score(docs: DataFrame, model: Severity | None, cut: float = CUT) -> DataFram
     return docs.mapInArrow(work, StructType([*docs.schema.fields, *more]))
 
 
-#: Bytes of text that ``without_toxic`` works on together: its workers go on to other stages.
-SLICE = 1 << 19
-
-
 def without_toxic(docs: DataFrame, model: Severity | None, cut: float = CUT) -> DataFrame:
     """The rows of ``docs`` that ``score`` does not call toxic, with their columns."""
     if model is None:
@@ -223,6 +223,7 @@ def without_toxic(docs: DataFrame, model: Severity | None, cut: float = CUT) ->
         for batch in batches:
             for part in slices(batch, "text", SLICE):
                 yield part.filter(pa.array(shared.value.above(part.column(text))[:, 0] < cut))
+        give_back()
 
     return docs.mapInArrow(work, docs.schema)
 
