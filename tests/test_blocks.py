@@ -90,3 +90,14 @@ def test_timestamps_order_and_other_types_are_refused(spark):
     check(df, ["k"], ["at", "seq"], block_rows=200)
     with pytest.raises(TypeError):
         ordered_blocks(df.withColumn("at", F.col("t").cast("double")), ["k"], ["at"], block_rows=10).count()
+
+
+def test_tasks_follow_the_rows_and_not_the_blocks(spark):
+    """400 blocks of 5 rows, or as many keys, are no reason for 400 tasks."""
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = spark.range(2000).select((F.col("id") % 2).alias("k"), F.col("id").alias("seq"))
+    placed = check(rows, ["k"], ["seq"], block_rows=5, halo=1)
+    assert placed.select("k", BLOCK).distinct().count() == 400
+    assert placed.rdd.getNumPartitions() <= most
+    tiny = rows.withColumn("k", F.expr("seq div 5"))
+    assert check(tiny, ["k"], ["seq"], block_rows=5).rdd.getNumPartitions() <= most

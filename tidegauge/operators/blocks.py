@@ -9,7 +9,8 @@ is cut into blocks of consecutive positions, so that one key may hold any share
    only leads to more cuts, down to single order values);
 3. running totals over the slice counts give each slice its first position and hence its blocks;
    a slice that crosses a block border goes to both;
-4. one shuffle of the rows by (key, block), and a row number within the block.
+4. one shuffle of the rows by (key, block), and a row number within the block; a task takes many
+   small blocks, so the tasks follow the rows and not the number of blocks.
 
 Only the key and order columns are read in steps 1 and 2, with partial counts ahead of each
 shuffle. The lookup tables hold at most a fixed number of entries per block, and the block size
@@ -36,6 +37,7 @@ BLOCK_ROWS = 1_000_000
 LOOKUP_ROWS = 1_000_000  # most entries a broadcast lookup may hold
 SLICES_PER_BLOCK = 8  # aimed at by a cut
 OVERFULL = 4  # a slice of more than 1/4 block is cut again
+TASK_ROWS = 1_000_000  # rows that a task takes where blocks are smaller
 
 
 def as_long(df: DataFrame, name: str) -> Column:
@@ -84,7 +86,7 @@ def ordered_blocks(
     # a cut makes at most 12 slices per block, so 16 keeps each lookup below its limit
     block_rows = max(block_rows, 16 * total // lookup_rows, halo, 1)
     block_rows = -(-block_rows // align) * align
-    tasks = max(shuffles, -(-total // block_rows))
+    tasks = max(shuffles, -(-total // max(block_rows, TASK_ROWS)))
     first = F.col(start).cast("long") if start else F.lit(0).cast("long")
 
     found = None
