@@ -121,3 +121,13 @@ def test_numpy_sliding_in_any_pieces(size):
         at += step
     assert got == pytest.approx(sliding_scores(list(values), size), rel=1e-6, abs=1e-6)
     assert len(recent) == size
+
+
+def test_small_blocks_of_a_null_key_share_tasks(spark):
+    """``score`` with 200 blocks of the NULL key keeps its rows' scores and makes no task of each block."""
+    rows = spark.range(2000).select("id", F.lit(None).cast("string").alias("k"), (F.col("id") * 7 % 13).cast("double").alias("v"))
+    rows = rows.withColumnRenamed("id", "seq")
+    small = scoring.score(rows, ["k"], "v", size=10, block_rows=10)
+    assert small.rdd.getNumPartitions() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    whole = scoring.score(rows, ["k"], "v", size=10)
+    assert sorted(small.collect()) == sorted(whole.collect())
