@@ -131,3 +131,12 @@ def test_small_blocks_of_a_null_key_share_tasks(spark):
     assert small.rdd.getNumPartitions() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
     whole = scoring.score(rows, ["k"], "v", size=10)
     assert sorted(small.collect()) == sorted(whole.collect())
+
+
+def test_small_blocks_of_sliding_windows_share_tasks(spark):
+    """``score_sliding`` with 50 blocks and their halos keeps its rows' scores and makes no task of each block."""
+    rows = spark.range(2000).select(F.col("id").alias("seq"), F.lit("a").alias("k"), (F.col("id") * 7 % 13).cast("double").alias("v"))
+    small = scoring.score_sliding(rows, ["k"], "v", size=40, block_rows=40)
+    assert small.rdd.getNumPartitions() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    whole = scoring.score_sliding(rows, ["k"], "v", size=40)
+    assert sorted(r[:4] for r in small.collect()) == sorted(r[:4] for r in whole.collect())
