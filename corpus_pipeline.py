@@ -24,21 +24,22 @@ from tidegauge.llm.vocab import public
 #: Different pieces of text that a worker of the last stage keeps encoded, and bytes of text it works on together.
 REMEMBERED, AT_ONCE = 100_000, 1 << 19
 
-#: Rows that Spark hands a worker together: its default of 10,000 texts can be 64 MB, held by Spark and by the worker.
-ROWS_AT_ONCE = 500
+#: Rows, and their bytes, that Spark hands a worker together; its defaults, 10,000 and 64 MB, are held by Spark and by the worker.
+ROWS_AT_ONCE, BYTES_AT_ONCE = 500, 1 << 20
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_ROWS, _BYTES = (f"spark.sql.execution.arrow.{name}PerBatch" for name in ("maxRecords", "maxBytes"))
 
 
 def in_small_batches(stage: Stage) -> Stage:
-    """``stage`` with ROWS_AT_ONCE set in the session, and left set, as its result is computed later; ``run`` sets it back."""
+    """``stage`` with these limits set in the session, and left set, as its result is computed later; ``run`` sets them back."""
 
     @wraps(stage)
     def work(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         if not 0 < int(spark.conf.get(_ROWS)) <= ROWS_AT_ONCE:
             spark.conf.set(_ROWS, str(ROWS_AT_ONCE))
+        spark.conf.set(_BYTES, str(BYTES_AT_ONCE))
         return stage(spark, docs, sf_dir)
 
     return work
@@ -82,10 +83,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, rows = table(spark, sf_dir, "documents"), spark.conf.get(_ROWS)
+    docs, held = table(spark, sf_dir, "documents"), {key: spark.conf.get(key) for key in (_ROWS, _BYTES)}
     try:
         for name, stage in STAGES:
             docs = write_through(stage(spark, docs, sf_dir), f"pipeline-{name}")
     finally:
-        spark.conf.set(_ROWS, rows)
+        for key, value in held.items():
+            spark.conf.set(key, value)
     return docs

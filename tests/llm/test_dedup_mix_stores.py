@@ -362,26 +362,30 @@ def test_pipeline_stages_against_brute_force(spark, tmp_path):
     assert sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in after) == want
 
 
-def test_pipeline_hands_its_workers_few_rows_together(spark, monkeypatch, tmp_path):
+def test_pipeline_hands_its_workers_few_rows_together(spark, tmp_path):
     """A batch of 10,000 long texts took more than an executor's memory."""
     import corpus_pipeline as pipeline
 
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
+    keys = [f"spark.sql.execution.arrow.{name}PerBatch" for name in ("maxRecords", "maxBytes")]
+    before = {key: spark.conf.get(key) for key in keys}
     texts = spark.createDataFrame([(i, "a b", "en", "s", 3) for i in range(3)], "doc_id long, text string, lang string, source string, n_chars long")
     texts.write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(0, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([(0, "x")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
 
     def most(batches):
-        yield pa.RecordBatch.from_arrays([pa.array([max(b.num_rows for b in batches)])], names=["n"])
+        sizes = [(b.num_rows, b.nbytes) for b in batches]
+        yield pa.RecordBatch.from_arrays([pa.array([max(x)]) for x in zip(*sizes)], names=["n", "bytes"])
 
     for name, stage in pipeline.STAGES:
         try:
             stage(spark, texts, str(tmp_path))
-            rows = spark.range(0, 2000, 1, 1).mapInArrow(most, "n long").first()["n"]
-            assert rows <= pipeline.ROWS_AT_ONCE, name
+            rows = spark.range(0, 2000, 1, 1)
+            assert rows.mapInArrow(most, "n long, bytes long").first()["n"] <= pipeline.ROWS_AT_ONCE, name
+            long = rows.select(F.repeat(F.lit("x"), 10_000).alias("text"))
+            assert long.mapInArrow(most, "n long, bytes long").first()["bytes"] <= 1.1 * pipeline.BYTES_AT_ONCE, name
         finally:
-            spark.conf.set(key, before)
+            for key, value in before.items():
+                spark.conf.set(key, value)
     assert pipeline.run(spark, str(tmp_path)).count() == 1
-    assert spark.conf.get(key) == before
+    assert {key: spark.conf.get(key) for key in keys} == before
