@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidegauge.llm import common, mix, rans, simhash, substring, tokencount
+from tidegauge.llm import common, mix, rans, simhash, substring, tokencount, vocab
 from tidegauge.llm.vocab import public
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -197,6 +197,65 @@ def test_empty_token_store(spark, nothing, tmp_path):
     assert rans.stored_documents(spark, f"{tmp_path}/store").count() == 0
 
 
+def test_blocks_of_a_store_are_decoded_once(spark, docs, monkeypatch, tmp_path):
+    """Only a block that holds both whole documents and pieces of cut ones is decoded for each."""
+    rans.write_store(docs, f"{tmp_path}/store", VOCABULARY, block=512)
+    blocks = [{d.n_ids < d.n_tokens for d in r.docs} for r in spark.read.parquet(f"{tmp_path}/store/blocks").collect()]
+    seen, decoded = [], rans._decoded
+    monkeypatch.setattr(rans, "_decoded", lambda some, model: (seen.append(some.count()), decoded(some, model))[1])
+    assert rans.stored_documents(spark, f"{tmp_path}/store").count() == docs.count()
+    assert {True} in blocks and {False} in blocks
+    assert sum(seen) == sum(map(len, blocks)) < 2 * len(blocks)
+
+
+def test_token_store_takes_small_batches_and_sets_them_back(spark, docs, monkeypatch, tmp_path):
+    keys = [f"spark.sql.execution.arrow.{name}PerBatch" for name in ("maxRecords", "maxBytes")]
+    before, seen = [spark.conf.get(key) for key in keys], []
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("write_store", "digests"):
+        real = getattr(rans, name)
+        monkeypatch.setattr(rans, name, lambda *a, real=real, **k: (seen.append([int(spark.conf.get(key)) for key in keys]), real(*a, **k))[1])
+    assert rans.op7_token_store(spark, str(tmp_path)).count() == docs.count()
+    assert seen == [[rans.ROWS_AT_ONCE, rans.BYTES_AT_ONCE]] * 2
+    assert [spark.conf.get(key) for key in keys] == before
+
+
+def test_ids_counted_in_joined_arrays():
+    """Many short arrays are few to count, of bounded size, with every value in its place."""
+    found = [np.arange(n, dtype=np.uint16) for n in [1, 2, 3, 50, 0, 4, 4]]
+    joined = [x.tolist() for x in rans._gathered(iter(found), 6)]
+    assert [len(x) for x in joined] == [6, 50, 8]
+    assert sum(joined, []) == np.concatenate(found).tolist()
+    assert list(rans._gathered(iter([]), 6)) == []
+
+
+def test_known_pieces_are_looked_up_once():
+    class Places(dict):
+        asked = 0
+
+        def get(self, *key):
+            Places.asked += 1
+            return super().get(*key)
+
+        def __getitem__(self, key):
+            Places.asked += 1
+            return super().__getitem__(key)
+
+        def __contains__(self, key):
+            Places.asked += 1
+            return super().__contains__(key)
+
+    texts = ["tides rise, tides fall", None, "", "the Tide é 12 <|x|> rises"]
+    known = vocab.Vocabulary(VOCABULARY)
+    first = known.encode(pa.array(texts))
+    known.places, before = Places(known.places), len(known.places)
+    again = known.encode(pa.array(texts))
+    assert [x.tolist() for x in again] == [x.tolist() for x in first]
+    assert Places.asked == before
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    assert first[0].tolist() == [i for t in texts for i in tokenizer.encode(t or "", add_special_tokens=False).ids]
+
+
 def test_damaged_block_is_named(spark, docs, tmp_path):
     rans.write_store(docs.filter("doc_id < 5"), f"{tmp_path}/good", VOCABULARY)
     blocks = spark.read.parquet(f"{tmp_path}/good/blocks")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import ctypes
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -42,6 +44,24 @@ def give_back() -> None:
         trim(0)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int, size: int) -> Iterator[None]:
+    """For work done inside: Spark hands a worker at most ``rows`` rows and ``size`` bytes together, one row at least.
+
+    Its defaults, 10,000 and 64 MB, are held by Spark and by every worker.
+    """
+    row_key, size_key = (f"spark.sql.execution.arrow.{name}PerBatch" for name in ("maxRecords", "maxBytes"))
+    held = {key: spark.conf.get(key) for key in (row_key, size_key)}
+    try:
+        if not 0 < int(held[row_key]) <= rows:
+            spark.conf.set(row_key, str(rows))
+        spark.conf.set(size_key, str(size))
+        yield
+    finally:
+        for key, value in held.items():
+            spark.conf.set(key, value)
+
+
 def connected(edges: DataFrame, label: str) -> DataFrame:
     """(node, root) for every node of the undirected ``edges`` (a, b); root is the smallest node of its component.
 
@@ -101,4 +121,4 @@ def binned(df: DataFrame, order: list[str], label: str, rows_per_bin: int = 200_
     return write_through(ranged.withColumn("_bin", F.spark_partition_id()), label)
 
 
-__all__ = ["NO_ID", "binned", "connected", "give_back", "order_id", "running_sum", "scratch_path", "table", "unused", "write_through"]
+__all__ = ["NO_ID", "binned", "connected", "give_back", "order_id", "running_sum", "scratch_path", "small_batches", "table", "unused", "write_through"]

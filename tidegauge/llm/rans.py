@@ -14,15 +14,16 @@ takes is cut into pieces of its own. An empty table gives empty tables. Columns
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import give_back, order_id, running_sum, scratch_path, table, write_through
+from tidegauge.llm.common import give_back, order_id, running_sum, scratch_path, small_batches, table, write_through
 from tidegauge.llm.vocab import REMEMBERED, public, vocabulary
 from tidegauge.llm.words import CHUNK, slices
 
@@ -32,6 +33,9 @@ BLOCK, LANES, SCALE = 1 << 18, 2048, 20
 #: Bytes of text in a part of a store.
 PART = 32 << 20
 
+#: Of the query: pieces of text that a worker keeps encoded, and rows and bytes that Spark hands it together.
+PIECES, ROWS_AT_ONCE, BYTES_AT_ONCE = 300_000, 2_000, 4 << 20
+
 #: A state has at least LOW; words are of 32 bits.
 LOW = 1 << 31
 
@@ -117,13 +121,24 @@ def _tokens(docs: DataFrame, path: str, end_id: int, remembered: int, at_once: i
     return docs.mapInArrow(work, "doc_id long, n_tokens long, ids binary")
 
 
-def _unpacked(packed: pa.Array, counts: np.ndarray) -> list[np.ndarray]:
+def _unpacked(packed: pa.Array, counts: np.ndarray) -> Iterator[np.ndarray]:
     unpack = zstandard.ZstdDecompressor()
-    out = []
     for data, n in zip(packed, counts.tolist()):
         raw = unpack.decompress(data.as_buffer())
-        out.append(np.frombuffer(raw, "<u2" if len(raw) == 2 * n else "<u4"))
-    return out
+        yield np.frombuffer(raw, "<u2" if len(raw) == 2 * n else "<u4")
+
+
+def _gathered(found: Iterable[np.ndarray], least: int) -> Iterator[np.ndarray]:
+    """Arrays joined until they have ``least`` values, so that what is done for each costs little a value."""
+    held, n = [], 0
+    for some in found:
+        held.append(some)
+        n += len(some)
+        if n >= least:
+            yield np.concatenate(held)
+            held, n = [], 0
+    if held:
+        yield np.concatenate(held)
 
 
 def _counted(ids: DataFrame) -> DataFrame:
@@ -132,7 +147,7 @@ def _counted(ids: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(0, np.int64)
         for batch in batches:
-            for found in _unpacked(batch.column(1), batch.column(0).to_numpy()):
+            for found in _gathered(_unpacked(batch.column(1), batch.column(0).to_numpy()), BLOCK):
                 more = np.bincount(found, minlength=len(counts))
                 more[: len(counts)] += counts
                 counts = more
@@ -248,13 +263,11 @@ def write_store(docs: DataFrame, folder: str, path: str, end_id: int = 1, block:
     _blocks(ids, model, block).write.parquet(f"{folder}/blocks")
 
 
-def read_store(spark: SparkSession, folder: str) -> DataFrame:
-    """The pieces of documents in a store: row, doc_id, piece, n_tokens and ``ids`` (32 bits, little-endian).
+def _shared_model(spark: SparkSession, folder: str) -> Broadcast[Model]:
+    return spark.sparkContext.broadcast(_model(spark.read.parquet(f"{folder}/frequencies")))
 
-    Blocks are decoded apart, from their own states; one whose checksum is wrong is an error.
-    """
-    shared = spark.sparkContext.broadcast(_model(spark.read.parquet(f"{folder}/frequencies")))
 
+def _decoded(blocks: DataFrame, shared: Broadcast[Model]) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
@@ -274,30 +287,42 @@ def read_store(spark: SparkSession, folder: str) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, names=["row", "doc_id", "piece", "n_tokens", "ids"])
 
-    blocks = spark.read.parquet(f"{folder}/blocks")
     return blocks.mapInArrow(work, "row long, doc_id long, piece int, n_tokens long, ids binary")
 
 
-def digests(pieces: DataFrame) -> DataFrame:
-    """Per document of ``read_store``: row, doc_id, n_tokens and the CRC-32 of all its ids.
+def read_store(spark: SparkSession, folder: str) -> DataFrame:
+    """The pieces of documents in a store: row, doc_id, piece, n_tokens and ``ids`` (32 bits, little-endian).
+
+    Blocks are decoded apart, from their own states; one whose checksum is wrong is an error.
+    """
+    return _decoded(spark.read.parquet(f"{folder}/blocks"), _shared_model(spark, folder))
+
+
+def digests(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document of a store: row, doc_id, n_tokens and the CRC-32 of all its ids.
 
-    A document in one piece is done where it was decoded; only the pieces of others are brought together.
+    A document in one piece is done where it was decoded; only the pieces of others are brought together. Blocks
+    with whole documents and those with pieces are read apart: only a block with both is decoded twice.
     """
-    whole = (F.col("piece") == 0) & (F.octet_length("ids") == 4 * F.col("n_tokens"))
+    blocks, shared = spark.read.parquet(f"{folder}/blocks"), _shared_model(spark, folder)
+    whole = _decoded(blocks.filter(F.exists("docs", lambda d: d["n_ids"] == d["n_tokens"])), shared)
+    pieces = _decoded(blocks.filter(F.exists("docs", lambda d: d["n_ids"] < d["n_tokens"])), shared)
+    in_one = (F.col("piece") == 0) & (F.octet_length("ids") == 4 * F.col("n_tokens"))
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("piece", F.hex("ids").alias("ids")))), lambda p: p["ids"]), "")
-    cut = pieces.filter(~whole).groupBy("row", "doc_id", "n_tokens").agg(F.unhex(joined).alias("ids"))
-    every = pieces.filter(whole).select("row", "doc_id", "n_tokens", "ids").union(cut)
+    cut = pieces.filter(~in_one).groupBy("row", "doc_id", "n_tokens").agg(F.unhex(joined).alias("ids"))
+    every = whole.filter(in_one).select("row", "doc_id", "n_tokens", "ids").union(cut)
     return every.select("row", "doc_id", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
 def stored_documents(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens and ids_crc32 of each document, read from the files."""
-    found = write_through(digests(read_store(spark, folder)), "rans-read").withColumn("part", F.shiftrightunsigned("row", 33))
+    found = write_through(digests(spark, folder), "rans-read").withColumn("part", F.shiftrightunsigned("row", 33))
     found = running_sum(found, [], "part", [F.col("row")], "n_tokens", "start")
     return found.select("doc_id", F.col("start").cast("long").alias("start"), "n_tokens", "ids_crc32")
 
 
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-store")
-    write_store(table(spark, sf_dir, "documents"), folder, public("word_bpe_49k.json"))
-    return stored_documents(spark, folder)
+    with small_batches(spark, ROWS_AT_ONCE, BYTES_AT_ONCE):
+        write_store(table(spark, sf_dir, "documents"), folder, public("word_bpe_49k.json"), remembered=PIECES)
+        return stored_documents(spark, folder)

@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import re
 from functools import cache, cached_property
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -120,18 +121,21 @@ class Vocabulary:
         self.begins = np.zeros(1, np.int64)
 
     def _places(self, distinct: list[str]) -> np.ndarray:
-        """The number under which each word is remembered; new words are encoded."""
+        """The number under which each of these different words is remembered; new words are encoded."""
         if len(self.places) + len(distinct) > self.remembered:
             self._forget()
-        new = [w for w in distinct if w not in self.places]
-        if new:
-            found = self._runs(new)
-            lengths = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter((i for ids in found for i in ids), np.int32, int(lengths.sum()))
-            self.places.update(zip(new, range(len(self.places), len(self.places) + len(new))))
+        found = np.fromiter(map(self.places.get, distinct, repeat(-1)), np.int64, len(distinct))
+        unknown = np.flatnonzero(found < 0)
+        if len(unknown):
+            new = [distinct[i] for i in unknown.tolist()]
+            ids = self._runs(new)
+            lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+            flat = np.fromiter(chain.from_iterable(ids), np.int32, int(lengths.sum()))
+            found[unknown] = np.arange(len(self.places), len(self.places) + len(new))
+            self.places.update(zip(new, found[unknown].tolist()))
             self.ids = np.concatenate([self.ids, flat])
             self.begins = np.concatenate([self.begins, self.begins[-1] + np.cumsum(lengths)])
-        return np.fromiter(map(self.places.__getitem__, distinct), np.int64, len(distinct))
+        return found
 
     @cached_property
     def _spelled(self) -> dict[int, str]:
@@ -161,7 +165,9 @@ class Vocabulary:
         if not len(pieces):
             return np.empty(0, np.int64), counts
         pieces = pieces.dictionary_encode()
-        return self._places(pieces.dictionary.to_pylist())[pieces.indices.to_numpy(zero_copy_only=False)], counts
+        # by numpy: some ten times faster than to_pylist
+        distinct = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
+        return self._places(distinct)[pieces.indices.to_numpy(zero_copy_only=False)], counts
 
     def counts(self, column: pa.Array) -> np.ndarray:
         """The number of tokens of each text; nulls are empty."""
