@@ -362,6 +362,33 @@ def test_mixed_documents_hold_the_words_taken(docs, rows, nothing):
     assert mix.mixed_documents(nothing).count() == 0
 
 
+def broadcast_and_generated(df):
+    """How many nodes of the plan make rows from lists below a broadcast, and how many do at all."""
+    under, found, total = [], 0, 0
+    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+        depth = len(re.match(r"[\s:|+*-]*", line)[0])
+        under = [d for d in under if d < depth]
+        found += "Generate explode" in line and bool(under)
+        total += "Generate explode" in line
+        if "BroadcastExchange" in line:
+            under.append(depth)
+    return found, total
+
+
+def test_slots_and_pieces_of_the_mixing_stage_are_not_sent_to_the_driver(docs):
+    """Small files hold draws of which many slots are made; at 6 GB these did not fit the driver."""
+    assert broadcast_and_generated(mix.mixed_documents(docs)) == (0, 2)
+
+
+def test_many_sources_are_mixed_alike(docs, monkeypatch):
+    """The table of sources is joined by shuffle where it is large."""
+    few = mix.mix(docs, block=16, shard=32)[1].drop("row")
+    monkeypatch.setattr(mix, "FEW", 0)
+    more = mix.mix(docs, block=16, shard=32)[1].drop("row")
+    assert sorted(map(repr, few.collect())) == sorted(map(repr, more.collect()))
+    assert broadcast_and_generated(more)[0] == 0
+
+
 def test_stages_keep_columns_named_like_their_own(docs):
     names = ["_fingerprint", "_row", "_hash", "_doc", "_key", "_spans", "_ROW_"]
     from pyspark.sql import functions as F

@@ -34,6 +34,9 @@ BLOCK, SHARD, SEED = 128, 256, 7
 #: Shards that are dealt together, in one task.
 BOOK = 4096
 
+#: Sources below which the table of sources is sent to every task.
+FEW = 10_000
+
 #: Weights of the sources in order, repeating; the share of all words; the most passes over a source.
 WEIGHTS, SHARE, PASSES = (3, 1, 2), 1.5, 2
 
@@ -150,9 +153,12 @@ def draws(spark: SparkSession, slots: list[int], shard: int = SHARD, seed: int =
 def slots_of(spark: SparkSession, shares: DataFrame, slots: list[int], block: int = BLOCK, shard: int = SHARD, seed: int = SEED) -> DataFrame:
     """(shard, src, t, most, pass, block): the block that each slot takes, and how many words of it at most."""
     drawn = write_through(draws(spark, slots, shard, seed), "mix-draws")
-    each = drawn.select("src", "shard", F.explode(F.sequence(F.col("before"), F.col("before") + F.col("n") - 1)).alias("t"))
+    some = shares.select("src", "n_blocks", "n_slots", "cut")
+    # Spark takes the slots to be as small as the draws' files and would broadcast them
+    each = drawn.join(F.broadcast(some) if len(slots) < FEW else some.hint("merge"), "src")
+    each = each.select("*", F.explode(F.sequence(F.col("before"), F.col("before") + F.col("n") - 1)).alias("t"))
     most = F.when(F.col("t") == F.col("n_slots") - 1, F.col("cut")).otherwise(F.lit(block)).cast("long")
-    each = each.join(shares.select("src", "n_blocks", "n_slots", "cut"), "src").select("src", "shard", "t", "n_blocks", most.alias("most"))
+    each = each.select("src", "shard", "t", "n_blocks", most.alias("most"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -196,12 +202,13 @@ def mix(docs: DataFrame, block: int = BLOCK, shard: int = SHARD, seed: int = SEE
     known = Shares([r["source"] for r in sums], [r["size"] for r in sums], block, seed)
     shares = known.table(spark)
     same = F.col("l.source").eqNullSafe(F.col("r.source"))
-    rows = rows.alias("l").join(F.broadcast(shares.alias("r")) if len(sums) < 10_000 else shares.alias("r"), same)
+    rows = rows.alias("l").join(F.broadcast(shares.alias("r")) if len(sums) < FEW else shares.alias("r"), same)
     rows = rows.select("l.*", "r.src", "r.source_size", "r.target")
     order = [F.col("_order"), F.col("key"), F.col("row")]
     rows = write_through(running_sum(rows, ["src"], "_bin", order, "size", "offset"), "mix-offsets")
     slots = slots_of(spark, shares, known.slots, block, shard, seed)
-    taken = slots.join(pieces(rows, block), ["src", "block"]).filter("at < most")
+    # neither side is as small as the files that it is read from
+    taken = slots.join(pieces(rows, block).hint("merge"), ["src", "block"]).filter("at < most")
     return rows, taken.withColumn("end", F.expr("least(end, start + most - at)")).drop("at", "most")
 
 
