@@ -380,6 +380,17 @@ def test_slots_and_pieces_of_the_mixing_stage_are_not_sent_to_the_driver(docs):
     assert broadcast_and_generated(mix.mixed_documents(docs)) == (0, 2)
 
 
+def test_op1_sends_no_slots_to_the_driver(spark, tmp_path):
+    """Long texts in few rows: small files, yet many slots and pieces."""
+    rows = [(i, f"s{i % 3}", " ".join(f"{i}w{j}" for j in range(5000 + i))) for i in range(20)]
+    spark.createDataFrame(rows, "doc_id long, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = mix.op1_source_mix(spark, str(tmp_path))
+    assert broadcast_and_generated(found) == (0, 2)
+    taken = found.groupBy("source_size", "target").agg(F.sum("taken").alias("n"), F.sum("size").alias("size")).collect()
+    # sources of unlike sizes, so each is a group of its own
+    assert len(taken) == 3 and all(r.n == int(r.target + 0.5) and r.size == r.source_size for r in taken)
+
+
 def test_many_sources_are_mixed_alike(docs, monkeypatch):
     """The table of sources is joined by shuffle where it is large."""
     few = mix.mix(docs, block=16, shard=32)[1].drop("row")
