@@ -101,3 +101,26 @@ def test_tasks_follow_the_rows_and_not_the_blocks(spark):
     assert placed.rdd.getNumPartitions() <= most
     tiny = rows.withColumn("k", F.expr("seq div 5"))
     assert check(tiny, ["k"], ["seq"], block_rows=5).rdd.getNumPartitions() <= most
+
+
+def test_many_rows_without_an_order_are_cut_by_their_hash(spark):
+    """Hashes are further apart than a long can tell."""
+    rows = spark.range(3000).selectExpr("if(id % 3 = 0, NULL, 'k') AS k", "if(id % 2 = 0, id, NULL) AS place", "id AS seq").cache()
+    placed = ordered_blocks(rows, ["k"], ["place"], block_rows=200, halo=10).cache()
+    assert placed.groupBy("k", BLOCK).count().agg(F.max("count")).first()[0] <= 210
+    own = placed.where(OWN).collect()
+    assert sorted(r.seq for r in own) == list(range(3000))
+    for key, n in ((None, 1000), ("k", 2000)):
+        some = sorted((r for r in own if r.k == key), key=lambda r: r[POS])
+        assert [r[POS] for r in some] == list(range(n))
+        assert all(r.place is None for r in some[: n // 2])
+        assert [r.place for r in some[n // 2 :]] == sorted(r.seq for r in some if r.seq % 2 == 0)
+
+
+def test_orders_from_end_to_end_of_a_long(spark):
+    lowest, highest = -(1 << 63), (1 << 63) - 1
+    at = [lowest, lowest + 1, -1, 0, 1, highest - 1, highest]
+    at += [lowest + i * ((1 << 64) // 1000) for i in range(1, 1000)] + [highest - i for i in range(2, 700)]
+    df = spark.createDataFrame([("k", t, i) for i, t in enumerate(at)], "k string, t long, seq long").cache()
+    placed = check(df, ["k"], ["t", "seq"], block_rows=100)
+    assert placed.groupBy(BLOCK).count().agg(F.max("count")).first()[0] <= 100

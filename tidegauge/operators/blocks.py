@@ -38,6 +38,7 @@ LOOKUP_ROWS = 1_000_000  # most entries a broadcast lookup may hold
 SLICES_PER_BLOCK = 8  # aimed at by a cut
 OVERFULL = 4  # a slice of more than 1/4 block is cut again
 TASK_ROWS = 1_000_000  # rows that a task takes where blocks are smaller
+CUT = ("_column", "_shift", "_lo", "_width")  # of a cut slice: what by, the bits left out, from where, how wide
 
 
 def as_long(df: DataFrame, name: str) -> Column:
@@ -146,26 +147,29 @@ def _descend(rows, df, keys, order, cuts, limit, how):
     for level, cut in enumerate(cuts):
         rows = _lookup(rows, cut, keys + path, limit, how)
         picks = [F.when(F.col("_column") == i, as_long(df, c)) for i, c in enumerate(order)]
-        rows = rows.withColumn("_at", F.coalesce(*picks) - F.col("_lo"))
+        rows = rows.withColumn("_at", F.coalesce(*picks))
         path.append(f"_s{level}")
-        rows = rows.withColumn(path[-1], F.expr("_at div _width")).drop("_at", "_column", "_lo", "_width")
+        rows = rows.withColumn(path[-1], F.expr("(shiftright(_at, _shift) - _lo) div _width")).drop("_at", *CUT)
     return rows, path
 
 
 def _cut(counted: DataFrame, order: list[str], more_than: int, block_rows: int) -> DataFrame:
-    """How to cut each overfull slice: by the first order column that varies in it."""
-    spans = [(F.col(f"_max{i}") - F.col(f"_min{i}")) for i in range(len(order))]
-    column = F.coalesce(*[F.when(s > 0, F.lit(i)) for i, s in enumerate(spans)])
+    """How to cut each overfull slice: by the first order column that varies in it.
+
+    Values more than a long apart, as hashes are, lose their last bit, and are cut by it further on.
+    """
+    varies = [F.when(F.col(f"_max{i}") > F.col(f"_min{i}"), F.lit(i)) for i in range(len(order))]
+    ends = [F.coalesce(*[F.when(F.col("_column") == i, F.col(f"_{end}{i}")) for i in range(len(order))]) for end in ("min", "max")]
     parts = F.greatest(F.ceil(F.col("_n") * SLICES_PER_BLOCK / block_rows), F.lit(2))
     return (
         counted.where(F.col("_n") > more_than)
-        .withColumn("_column", column)
+        .withColumn("_column", F.coalesce(*varies))
         .where(F.col("_column").isNotNull())
-        .withColumn("_lo", F.coalesce(*[F.when(F.col("_column") == i, F.col(f"_min{i}")) for i in range(len(order))]))
-        .withColumn("_span", F.coalesce(*[F.when(F.col("_column") == i, s) for i, s in enumerate(spans)]))
-        .withColumn("_parts", parts)
-        .withColumn("_width", F.expr("_span div _parts") + 1)
-        .drop("_span", "_parts")
+        .withColumns({"_min": ends[0], "_max": ends[1], "_parts": parts})
+        .withColumn("_shift", F.expr(f"int(shiftright(_max, 1) - shiftright(_min, 1) >= {1 << 62})"))
+        .withColumn("_lo", F.expr("shiftright(_min, _shift)"))
+        .withColumn("_width", F.expr("(shiftright(_max, _shift) - _lo) div _parts + 1"))
+        .drop("_min", "_max", "_parts")
     )
 
 
@@ -178,7 +182,7 @@ def _slices(df, keys, order, block_rows, halo, first, limit):
 
     large = narrow.groupBy(*keys).agg(F.min("_first").alias("_first"), *measures)
     large = write_through(large.where(F.col("_n") > block_rows), "large-keys")
-    todo = _cut(large, order, block_rows, block_rows).select(*keys, "_column", "_lo", "_width")
+    todo = _cut(large, order, block_rows, block_rows).select(*keys, *CUT)
     cuts: list[DataFrame] = []
     leaves: list[DataFrame] = []
     while todo.count():
@@ -186,7 +190,7 @@ def _slices(df, keys, order, block_rows, halo, first, limit):
         rows, path = _descend(narrow, df, keys, order, cuts, limit, "inner")
         counted = write_through(rows.groupBy(*keys, *path).agg(*measures), "slices")
         again = _cut(counted, order, block_rows // OVERFULL, block_rows)
-        todo = write_through(again.select(*keys, *path, "_column", "_lo", "_width"), "cuts")
+        todo = write_through(again.select(*keys, *path, *CUT), "cuts")
         leaves.append(null_safe_join(counted, todo, keys + path, "left_anti").select(*keys, *path, "_n"))
     if not cuts:
         return None
