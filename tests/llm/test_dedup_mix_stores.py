@@ -362,6 +362,21 @@ def test_mixed_documents_hold_the_words_taken(docs, rows, nothing):
     assert mix.mixed_documents(nothing).count() == 0
 
 
+def test_files_of_a_store_hold_few_blocks(spark, tmp_path):
+    """Spark's reader holds up to 4,096 rows of a file at once; 450 blocks in a file were too much at 6 GB."""
+    rows = [(i, prose(i, 300)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    rans.write_store(docs, f"{tmp_path}/store", VOCABULARY, block=256)
+    blocks = spark.read.parquet(f"{tmp_path}/store/blocks").groupBy(F.input_file_name()).count().collect()
+    assert sum(r[1] for r in blocks) > 2 * rans.PER_FILE and max(r[1] for r in blocks) <= rans.PER_FILE
+    found = rans.stored_documents(spark, f"{tmp_path}/store").orderBy("start").collect()
+    tokenizer, start = Tokenizer.from_file(VOCABULARY), 0
+    for r, (i, text) in zip(found, rows, strict=True):
+        ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 1]
+        assert tuple(r) == (i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+
+
 def broadcast_and_generated(df):
     """How many nodes of the plan make rows from lists below a broadcast, and how many do at all."""
     under, found, total = [], 0, 0

@@ -33,6 +33,9 @@ BLOCK, LANES, SCALE = 1 << 18, 2048, 20
 #: Bytes of text in a part of a store.
 PART = 32 << 20
 
+#: Blocks in a file at most: Spark's reader takes up to 4,096 rows of a file at once, whatever their size.
+PER_FILE = 64
+
 #: Of the query: pieces of text that a worker keeps encoded, and rows and bytes that Spark hands it together.
 PIECES, ROWS_AT_ONCE, BYTES_AT_ONCE = 300_000, 2_000, 4 << 20
 
@@ -260,7 +263,7 @@ def write_store(docs: DataFrame, folder: str, path: str, end_id: int = 1, block:
     model = Model(counts["id"].to_numpy(np.int64), share)
     rows = spark.createDataFrame([(int(i), int(n)) for i, n in zip(counts["id"], share)], "id long, share long")
     rows.coalesce(1).write.parquet(f"{folder}/frequencies")
-    _blocks(ids, model, block).write.parquet(f"{folder}/blocks")
+    _blocks(ids, model, block).write.option("maxRecordsPerFile", PER_FILE).parquet(f"{folder}/blocks")
 
 
 def _shared_model(spark: SparkSession, folder: str) -> Broadcast[Model]:
